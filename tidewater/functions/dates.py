@@ -18,15 +18,19 @@ def file_date(path: Column) -> Column:
 
 
 def canonical_date(compact: Column) -> Column:
-    """``20211201`` -> ``2021-12-01``; a malformed date fails the job."""
-    parsed = F.try_to_date(compact, "yyyyMMdd")
-    return (
-        F.when(compact.isNull(), F.lit(None).cast("string"))
-        .when(
-            parsed.isNull(),
+    """``20211201`` -> ``2021-12-01``; a malformed date fails the job.
+
+    Anything but eight digits leaves dashes only, which are no date.
+    """
+    dashed = F.regexp_replace(
+        compact, r"(?s)^(?:([0-9]{4})([0-9]{2})([0-9]{2})|.*)$", "$1-$2-$3"
+    )
+    return F.coalesce(
+        dashed.try_cast("date").cast("string"),
+        F.when(
+            compact.isNotNull(),
             F.raise_error(F.concat(F.lit("not a yyyyMMdd date: "), compact)),
-        )
-        .otherwise(parsed.cast("string"))
+        ),
     )
 
 

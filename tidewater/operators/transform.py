@@ -9,9 +9,9 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from tidewater.functions.numbers import data_type, number_in, try_convert
+
 PROBE_ROWS = 10_000
-# Text that counts as a number; Java's parser alone would also take "12F" and "NaN".
-NUMBER = r"^\s*[+-]?(?:[0-9]+\.?[0-9]*|\.[0-9]+)(?:[eE][+-]?[0-9]+)?\s*$"
 
 
 def typed_mapping(
@@ -26,11 +26,8 @@ def typed_mapping(
     def mapped(source: str, source_type: str, target: str, target_type: str) -> Column:
         value = F.col(source)
         have = df.schema[source].dataType
-        for wanted in (source_type, target_type):
-            wanted_type = T.StructType.fromDDL(f"value {wanted}")["value"].dataType
-            if wanted_type != have:
-                value = value.try_cast(wanted_type)
-                have = wanted_type
+        for wanted in map(data_type, (source_type, target_type)):
+            value, have = try_convert(value, have, wanted), wanted
         return value.alias(target)
 
     return df.select(*[mapped(*m) for m in mappings])
@@ -54,7 +51,7 @@ def choice_fields(value: Column, types: Sequence[str]) -> list[Column]:
         if name == "string":
             fit = value.cast("string")
         else:
-            fit = F.when(value.rlike(NUMBER), value.try_cast(name))
+            fit = number_in(value, data_type(name))
         fields.append(F.when(~taken, fit).alias(name))
         taken = taken | fit.isNotNull()
     return fields

@@ -159,10 +159,9 @@ def security_silver(lake: Lake, business_date: str) -> None:
     lake.history.merge(source, SECURITY_KEY, guard_late=late)
     latest = lake.latest
     if latest.latest_version() is None:
-        before = lake.spark.createDataFrame([], SECURITY_SCHEMA)
+        latest.write(source)
     else:
-        before = latest.read()
-    latest.write(scd.scd1_merge(before, source, SECURITY_KEY))
+        latest.write(scd.scd1_merge(latest.read(), source, SECURITY_KEY))
     lake.register_view("security_history_silver", lake.history.read())
     lake.register_view("security_latest_silver", latest.read())
 

@@ -14,8 +14,9 @@ from tidewater.operators.aggregate import grouped_total, top_words, word_count
 from tidewater.operators.merge import delete_rows, merge_rows, update_rows
 from tidewater.plans import dml, feeds, medallion
 from tidewater.session import work_dir
-from tidewater.sinks.files import rebalanced
+from tidewater.sinks.files import append_partitioned, rebalanced
 from tidewater.sources.files import driver_table as table
+from tidewater.sources.history import HistoryTable
 from tidewater.sources.snapshots import SnapshotTable
 from tidewater.streaming.incremental import ingest_new_files
 
@@ -153,41 +154,47 @@ def merge_upsert(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-def _daily_securities(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, str]:
-    """Identified securities of every day, and the last day."""
-    events = table(spark, sf_dir, "events")
-    last_day = events.agg(F.max(feeds.day("ts")).cast("string").alias("d")).first()["d"]
-    feed = feeds.security_feed(events, feeds.day("ts"))
-    return feed.where(F.col("id_bb_global").isNotNull()), last_day
+def _daily_securities(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Identified securities of every day."""
+    feed = feeds.security_feed(table(spark, sf_dir, "events"), feeds.day("ts"))
+    return feed.where(F.col("id_bb_global").isNotNull())
+
+
+def _landed_securities(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
+    """The same from a bronze table with a partition per day: the rows before the
+    last day, and the last day's as new versions."""
+    path = work_dir(spark, "bronze")
+    feed = rebalanced(_daily_securities(spark, sf_dir), "business_date")
+    append_partitioned(feed, path, "business_date")
+    bronze = spark.read.schema(feed.schema).parquet(path).select(*feed.columns)
+    last_day = bronze.agg(F.max("business_date").alias("d")).first()["d"]
+    before = bronze.where(F.col("business_date") < last_day)
+    today = bronze.where(F.col("business_date") == last_day)
+    return before, scd.new_versions(today)
 
 
 def scd1_latest(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All days but the last in one pass, then the last day's merge."""
-    feed, last_day = _daily_securities(spark, sf_dir)
-    before = scd.scd1_backfill(feed.where(F.col("business_date") < last_day), "security_id")
-    today = scd.new_versions(feed.where(F.col("business_date") == last_day))
-    stored = SnapshotTable(spark, work_dir(spark, "latest"))
-    stored.write(before)
-    return scd.scd1_merge(stored.read(), today, "security_id")
+    before, today = _landed_securities(spark, sf_dir)
+    latest = SnapshotTable(spark, work_dir(spark, "latest"))
+    latest.write(scd.scd1_backfill(before, "security_id"))
+    return scd.scd1_merge(latest.read(), today, "security_id")
 
 
 def scd2_history(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All days but the last in one pass, then the last day's merge, which reads
     and writes open rows only."""
-    feed, last_day = _daily_securities(spark, sf_dir)
-    before = scd.scd2_backfill(feed.where(F.col("business_date") < last_day), "security_id")
-    history = medallion.HistoryTable(
-        spark, work_dir(spark, "history"), medallion.SECURITY_SCHEMA
+    before, today = _landed_securities(spark, sf_dir)
+    history = HistoryTable(spark, work_dir(spark, "history"), medallion.SECURITY_SCHEMA)
+    history.append_version(
+        rebalanced(scd.scd2_backfill(before, "security_id"), "latest")
     )
-    history.append_version(rebalanced(before, "latest"))
-    today = scd.new_versions(feed.where(F.col("business_date") == last_day))
     history.merge(today, "security_id")
     return history.read()
 
 
 def scd2_backfill(spark: SparkSession, sf_dir: str) -> DataFrame:
-    feed, _ = _daily_securities(spark, sf_dir)
-    return scd.scd2_backfill(feed, "security_id")
+    return scd.scd2_backfill(_daily_securities(spark, sf_dir), "security_id")
 
 
 def time_travel(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -216,8 +223,7 @@ def dml_walkthrough(spark: SparkSession, sf_dir: str) -> DataFrame:
 def index_gold(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every event as a constituent with its latest security."""
     events = table(spark, sf_dir, "events")
-    feed, _ = _daily_securities(spark, sf_dir)
-    latest = scd.scd1_backfill(feed, "security_id")
+    latest = scd.scd1_backfill(_daily_securities(spark, sf_dir), "security_id")
     silver = feeds.index_feed(events, feeds.day("ts")).withColumnRenamed(
         "business_date", "effective_business_date"
     )

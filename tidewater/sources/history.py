@@ -69,9 +69,7 @@ class HistoryTable:
     ) -> int:
         """Merges new versions of a day; see ``scd.scd2_merge``."""
         if self.snapshots.latest_version() is None:
-            before = self.spark.createDataFrame([], self.schema)
-        else:
-            before = self.open_rows()
+            return self.append_version(source)
         return self.append_version(
-            scd.scd2_merge(before, source, key, on_duplicate, guard_late)
+            scd.scd2_merge(self.open_rows(), source, key, on_duplicate, guard_late)
         )

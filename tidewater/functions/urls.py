@@ -15,9 +15,9 @@ _AUTHORITY = r"^//([^/?#]*)"
 # Root-relative links without empty or dot segments, parameters, query or fragment
 # need no parsing: the answer is the page's scheme and host followed by the link.
 _PLAIN_ROOT = (
-    r"^/(?:(?!\.\.?/)[^/?#;\x00-\x20]+/)*(?:(?!\.\.?$)[^/?#;\x00-\x20]+)?$"
+    r"^/(?:(?!\.\.?/)[^/?#;\x00-\x20]+/)*(?:(?!\.\.?\z)[^/?#;\x00-\x20]+)?\z"
 )
-_PLAIN_BASE = r"^(https?://[A-Za-z0-9._:@\-]+)(?:[/?#].*)?$"
+_PLAIN_BASE = r"^(https?://[A-Za-z0-9._:@\-]+)(?:[/?#].*)?\z"
 
 
 @functools.lru_cache(maxsize=1)
@@ -44,8 +44,14 @@ def _clean(url: Column) -> Column:
     return F.regexp_replace(F.regexp_replace(url, r"^[\x00-\x20]+", ""), r"[\t\r\n]", "")
 
 
-def _parts(df: DataFrame, url: Column, prefix: str) -> DataFrame:
-    """Adds the components of ``url`` as columns named ``prefix`` + component."""
+def _parts(
+    df: DataFrame, url: Column, prefix: str, default_scheme: Column
+) -> DataFrame:
+    """Adds the components of ``url`` as columns named ``prefix`` + component.
+
+    ``default_scheme`` decides whether an address without a scheme may have
+    parameters.
+    """
     p = prefix
     df = df.withColumn(f"{p}url", _clean(url))
     df = df.withColumns(
@@ -67,9 +73,8 @@ def _parts(df: DataFrame, url: Column, prefix: str) -> DataFrame:
             f"{p}path": F.regexp_extract(f"{p}rest", r"^[^?#]*", 0),
         }
     )
-    has_params = F.when(
-        F.col(f"{p}scheme") != "", F.col(f"{p}scheme").isin(*uses_params)
-    ).otherwise(F.lit(True))
+    scheme = F.when(F.col(f"{p}scheme") != "", F.col(f"{p}scheme")).otherwise(default_scheme)
+    has_params = scheme.isin(*uses_params)
     return df.withColumns(
         {
             f"{p}params": F.when(
@@ -153,11 +158,13 @@ def resolve_links(df: DataFrame, base: str, link: str, into: str) -> DataFrame:
     c = F.col
     df = df.withColumn("_plain", c(link).rlike(_PLAIN_ROOT) & c(base).rlike(_PLAIN_BASE))
     # Plain links leave the components NULL, so none of their regexes run.
-    df = _parts(df, F.when(~c("_plain"), c(base)), "_b_")
-    df = _parts(df, F.when(~c("_plain"), c(link)), "_l_")
+    df = _parts(df, F.when(~c("_plain"), c(base)), "_b_", F.lit(""))
+    df = _parts(df, F.when(~c("_plain"), c(link)), "_l_", c("_b_scheme"))
     # Early on, since Catalyst inlines all columns that a filter needs.
     df = df.where(
         c("_plain")
+        | (c(base) == "")
+        | (c(link) == "")
         | (_authority_is_valid(c("_l_authority")) & _authority_is_valid(c("_b_authority")))
     )
     df = _add_path(df, "_l_path", "_b_path", "_path")

@@ -1,32 +1,69 @@
-"""Joins that stay balanced."""
+"""Joins that stay balanced when keys are hot or missing."""
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+from functools import reduce
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
+_SPREAD = "_spread"
+_RIGHT_SPREAD = "_right_spread"
+# Types whose equal values have equal hashes.
+_HASHABLE = (
+    T.StringType,
+    T.IntegralType,
+    T.BooleanType,
+    T.DateType,
+    T.TimestampType,
+    T.TimestampNTZType,
+    T.BinaryType,
+)
 
-def lookup_join(
-    facts: DataFrame, lookup: DataFrame, fact_key: str, lookup_key: str
+
+def balanced_join(
+    left: DataFrame, right: DataFrame, keys: Sequence[tuple[str, str]], how: str
 ) -> DataFrame:
-    """``facts LEFT JOIN lookup ON fact_key = lookup_key``, both keys kept.
+    """``left JOIN right`` on equal (left, right) key pairs, all columns kept.
 
-    The two frames must not share column names.
+    ``how`` is left, left_semi or left_anti, and the two frames share no column
+    names. Spark broadcasts ``right`` when it is within its size limit. In the
+    shuffled join that it plans otherwise:
 
-    Facts with a NULL key match nothing but would all meet in one shuffle
-    partition, so a hash of the row takes the key's place in a second join
-    column: it spreads those rows and agrees for every pair with equal keys. A
-    hot non-NULL key is split by AQE, which cuts the facts' side of a skewed
-    partition; the lookup is broadcast when Spark finds it small enough.
+    * left rows with a NULL key match nothing but would all meet in one partition.
+      A hash of the whole row stands in for their key's hash in a further join
+      column and spreads them.
+    * that column also makes both sides shuffle for this join alone, even after an
+      aggregate on the same keys. Only such shuffles can be split by AQE, which
+      cuts a hot key's left rows into many tasks.
     """
-    spread = F.when(
-        F.col(fact_key).isNull(), F.xxhash64(*[F.col(c) for c in facts.columns])
-    ).otherwise(F.xxhash64(F.col(fact_key)))
-    left = facts.withColumn("_spread", spread)
-    right = lookup.withColumn("_lookup_spread", F.xxhash64(F.col(lookup_key)))
-    return left.join(
-        right,
-        (F.col(fact_key) == F.col(lookup_key))
-        & (F.col("_spread") == F.col("_lookup_spread")),
-        "left",
-    ).drop("_spread", "_lookup_spread")
+    condition = [F.col(a) == F.col(b) for a, b in keys]
+    same_types = all(
+        left.schema[a].dataType == right.schema[b].dataType
+        and isinstance(left.schema[a].dataType, _HASHABLE)
+        for a, b in keys
+    )
+    if not same_types:
+        return left.join(right, condition, how)
+    unmatched = reduce(lambda x, y: x | y, [F.col(a).isNull() for a, _ in keys])
+    spread = F.when(unmatched, F.xxhash64(*left.columns)).otherwise(
+        F.xxhash64(*[a for a, _ in keys])
+    )
+    return (
+        left.withColumn(_SPREAD, spread)
+        .join(
+            right.withColumn(_RIGHT_SPREAD, F.xxhash64(*[b for _, b in keys])),
+            [*condition, F.col(_SPREAD) == F.col(_RIGHT_SPREAD)],
+            how,
+        )
+        .drop(_SPREAD, _RIGHT_SPREAD)
+    )
+
+
+def lookup_join(
+    facts: DataFrame, lookup: DataFrame, fact_key: str, lookup_key: str
+) -> DataFrame:
+    """Facts with the columns of their lookup row, NULL where there is none."""
+    return balanced_join(facts, lookup, [(fact_key, lookup_key)], "left")

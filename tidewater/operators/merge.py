@@ -12,6 +12,8 @@ from collections.abc import Mapping, Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from tidewater.operators.joins import balanced_join
+
 _COPIES = "_copies"
 _NEW = "_new"
 _KEYS = "_key_"
@@ -57,9 +59,33 @@ def one_per_key(
     )
 
 
-def on_keys(keys: Sequence[str]) -> list[Column]:
-    """The condition that joins a frame with ``keys`` to a ``one_per_key`` frame."""
-    return [F.col(key) == F.col(f"{_KEYS}{i}") for i, key in enumerate(keys)]
+def key_pairs(keys: Sequence[str]) -> list[tuple[str, str]]:
+    """The join keys of a frame with ``keys`` and a ``one_per_key`` frame."""
+    return [(key, f"{_KEYS}{i}") for i, key in enumerate(keys)]
+
+
+def matched_rows(
+    target: DataFrame, latest: DataFrame, keys: Sequence[str], allow_copies: bool = False
+) -> DataFrame:
+    """Target rows beside their ``one_per_key`` row, whose columns are NULL where
+    there is none."""
+    matched = balanced_join(target, latest, key_pairs(keys), "left")
+    return matched if allow_copies else reject_copies(matched)
+
+
+def unmatched_rows(
+    target: DataFrame, source: DataFrame, latest: DataFrame, keys: Sequence[str]
+) -> DataFrame:
+    """Source rows whose key no target row has.
+
+    Reads the target's keys only. They are first reduced to those in the source,
+    by a broadcast of the source's keys when it is small, and combined before any
+    shuffle.
+    """
+    source_keys = latest.drop(_NEW, _COPIES)
+    present = balanced_join(target.select(*keys), source_keys, key_pairs(keys), "left_semi")
+    known = present.distinct().toDF(*[f"{_KEYS}{i}" for i in range(len(keys))])
+    return balanced_join(source, known, key_pairs(keys), "left_anti")
 
 
 def reject_copies(df: DataFrame) -> DataFrame:
@@ -75,17 +101,6 @@ def reject_copies(df: DataFrame) -> DataFrame:
     )
 
 
-def keys_present(
-    target: DataFrame, source_keys: DataFrame, keys: Sequence[str]
-) -> DataFrame:
-    """Those target rows whose key is in the source.
-
-    A daily source is small beside the target; Spark then broadcasts its keys and
-    the target is not shuffled.
-    """
-    return target.join(source_keys, on_keys(keys), "left_semi")
-
-
 def merge_rows(
     target: DataFrame,
     source: DataFrame,
@@ -121,9 +136,7 @@ def merge_rows(
     latest = one_per_key(
         source, keys, newest_by if on_duplicate == "keep_last" else None
     )
-    matched = target.join(latest, on_keys(keys), "left")
-    if on_duplicate == "error":
-        matched = reject_copies(matched)
+    matched = matched_rows(target, latest, keys, on_duplicate == "keep_last")
     hit = F.col(_COPIES).isNotNull()
     updated = matched.select(
         *[
@@ -141,12 +154,7 @@ def merge_rows(
         incoming = latest.select(f"{_NEW}.*").unionByName(
             source.where(" OR ".join(f"`{k}` IS NULL" for k in keys))
         )
-    target_keys = target.select(*keys)
-    source_keys = latest.drop(_NEW, _COPIES)
-    known = keys_present(target_keys, source_keys, keys).select(
-        *[F.col(k).alias(f"{_KEYS}{i}") for i, k in enumerate(keys)]
-    )
-    inserted = incoming.join(known, on_keys(keys), "left_anti").select(
+    inserted = unmatched_rows(target, incoming, latest, keys).select(
         *[
             (F.col(insert[c]) if c in insert else F.lit(None)).cast(types[c]).alias(c)
             for c in target.columns

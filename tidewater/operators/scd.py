@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from tidewater.operators import merge
+from tidewater.operators.joins import balanced_join
 
 # The column names and the open end of a validity range.
 EFFECTIVE = "effective_business_date"
@@ -60,7 +61,6 @@ def scd2_merge(
     ``history`` may be the open rows alone when every key has one, as this merge
     keeps it; the closed rows then need not be read at all.
     """
-    columns = history.columns
     if on_duplicate == "keep_last":
         source = _newest(source, key)
     elif on_duplicate != "error":
@@ -68,34 +68,19 @@ def scd2_merge(
     if guard_late:
         source = _without_late_rows(history, source, key)
 
-    marks = merge.one_per_key(source.select(key, EFFECTIVE), [key])
-    matched = merge.reject_copies(
-        history.join(marks, merge.on_keys([key]), "left")
-    )
-    closes = F.coalesce(F.col(LATEST), F.lit(False)) & F.col("_copies").isNotNull()
-    kept = matched.select(
-        *[
-            {
-                END: F.when(closes, F.col(f"_new.{EFFECTIVE}")).otherwise(F.col(END)),
-                LATEST: F.when(closes, F.lit(False)).otherwise(F.col(LATEST)),
-            }
-            .get(c, F.col(c))
-            .alias(c)
-            for c in columns
-        ]
-    )
+    columns = history.columns
+    latest = merge.one_per_key(source.select(*columns), [key])
+    matched = merge.matched_rows(history, latest, [key])
+    closes = F.coalesce(F.col(LATEST), F.lit(False)) & F.col("_new").isNotNull()
+    changed = {END: F.col(f"_new.{EFFECTIVE}"), LATEST: F.lit(False)}
+    old = F.struct(*columns)
+    closed = F.struct(*[changed.get(c, F.col(c)).alias(c) for c in columns])
+    # A closed row is followed by the new version that it made room for.
+    versions = F.when(closes, F.array(closed, F.col("_new"))).otherwise(F.array(old))
+    kept = matched.select(F.explode(versions).alias("row")).select("row.*")
 
-    # One row per history row of a touched key: closed ones are filtered out, and
-    # each open one calls for its own new version.
-    known = merge.keys_present(
-        history.select(key, LATEST), marks.select("_key_0"), [key]
-    ).select(F.col(key).alias("_key_0"), F.col(LATEST).alias("_was_latest"))
-    opened = (
-        source.join(known, merge.on_keys([key]), "left")
-        .where(F.col("_key_0").isNull() | F.col("_was_latest"))
-        .select(*columns)
-    )
-    return kept.unionByName(opened)
+    unknown = merge.unmatched_rows(history, source.select(*columns), latest, [key])
+    return kept.unionByName(unknown)
 
 
 def _newest(source: DataFrame, key: str) -> DataFrame:
@@ -104,19 +89,15 @@ def _newest(source: DataFrame, key: str) -> DataFrame:
 
 
 def _without_late_rows(history: DataFrame, source: DataFrame, key: str) -> DataFrame:
-    open_rows = history.where(F.col(LATEST)).select(
-        F.col(key).alias("_key_0"), F.col(EFFECTIVE).alias("_open_from")
-    )
-    keys = merge.one_per_key(source.select(key), [key]).select(
-        F.col("_key_0").alias("_source_key")
-    )
+    open_rows = history.where(F.col(LATEST)).select(key, EFFECTIVE)
+    keys = source.select(F.col(key).alias("_key_0")).dropna().distinct()
     touched = (
-        open_rows.join(keys, F.col("_key_0") == F.col("_source_key"), "left_semi")
-        .groupBy("_key_0")
-        .agg(F.max("_open_from").alias("_open_from"))
+        balanced_join(open_rows, keys, [(key, "_key_0")], "left_semi")
+        .groupBy(F.col(key).alias("_key_0"))
+        .agg(F.max(EFFECTIVE).alias("_open_from"))
     )
     return (
-        source.join(touched, merge.on_keys([key]), "left")
+        balanced_join(source, touched, [(key, "_key_0")], "left")
         .where(F.col("_open_from").isNull() | (F.col(EFFECTIVE) > F.col("_open_from")))
         .select(*source.columns)
     )

@@ -8,6 +8,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from tidewater.session import path_exists
+
 
 def create_database(spark: SparkSession, name: str, recreate: bool = False) -> None:
     """``recreate`` drops the database first, which fails while it holds tables."""
@@ -29,7 +31,8 @@ def create_table(
         f"CREATE TABLE IF NOT EXISTS {name} ({columns}) USING parquet "
         f"{partitions} LOCATION '{location}'"
     )
-    refresh(spark, name)
+    if path_exists(spark, location):
+        refresh(spark, name)
 
 
 def register_table(spark: SparkSession, name: str, location: str) -> None:

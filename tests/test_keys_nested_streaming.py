@@ -4,6 +4,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from tidewater.operators import keys, nested
+from tidewater.plans import domain
 from tidewater.session import work_dir
 from tidewater.streaming.incremental import ingest_new_files
 
@@ -66,6 +67,47 @@ def test_large_parent_is_paged_without_loss(positions):
     assert sorted(map(str, flat.collect())) == sorted(map(str, positions.collect()))
 
 
+def test_hot_parent_is_split(spark, tmp_path):
+    """A third of the rows under one parent, a third under none."""
+    spark.range(30_000).select(
+        F.when(F.col("id") % 3 == 0, -1).when(F.col("id") % 3 == 1, F.col("id")).alias("parent"),
+        "id",
+    ).write.parquet(str(tmp_path / "c"))
+    children = spark.read.parquet(str(tmp_path / "c"))
+    paged = nested.nest(children, "parent", "id", ["id"], "ids", page_size=500)
+    sizes = [r["n"] for r in paged.select(F.size("ids").alias("n")).collect()]
+    assert sum(sizes) == 30_000 and max(sizes) < 800
+
+
+def test_domain_records(spark):
+    accounts = spark.createDataFrame(
+        [(1, "a", "x"), (2, "b", "y")], "id long, name string, description string"
+    )
+    positions = spark.createDataFrame(
+        [(2.5, "long", 1, 11), (1.5, "short", 1, 10)],
+        domain.POSITION,
+    )
+    got = domain.accounts_with_positions(accounts, positions).orderBy("id")
+    lists = [[(p.security_id, p.market_value, p.exposure) for p in r.positions] for r in got.collect()]
+    assert lists == [[(10, 1.5, "short"), (11, 2.5, "long")], []]
+    in_order = got.select(
+        "id", "name", "description",
+        F.transform("positions", lambda p: F.struct(*[p[n] for n in domain.POSITION.names])).cast(
+            domain.ACCOUNT["positions"].dataType
+        ).alias("positions"),
+    )
+    assert in_order.dtypes == spark.createDataFrame([], domain.ACCOUNT).dtypes
+    securities = spark.createDataFrame(
+        [(7, "s", "d", "c")], "id long, name string, description string, cusip string"
+    )
+    industries = spark.createDataFrame(
+        [(7, 2, "n2", "src", "v"), (7, 1, "n1", "src", "v")],
+        "security_id long, id long, name string, source string, value string",
+    )
+    row = domain.securities_with_industries(securities, industries).first()
+    assert [i.name for i in row.industries] == ["n1", "n2"]
+
+
 def test_each_file_arrives_once(spark, tmp_path):
     source, target, bookmark = (str(tmp_path / n) for n in ("in", "out", "mark"))
     schema = spark.range(1).withColumn("d", F.lit("x")).schema

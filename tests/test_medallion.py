@@ -127,6 +127,7 @@ def test_tables_are_registered(spark, lake):
     assert gold_lines(gold) == GOLD
     assert spark.table("harbour.index_bronze").count() == 15
     assert spark.table("harbour.index_silver").count() == 15
+    assert dict(gold.dtypes)["effective_business_date"] == "string"
     assert spark.table("harbour.security_bronze").count() == 9
     assert spark.table("security_history_silver").count() == 8
     assert spark.table("security_latest_silver").count() == 7
@@ -170,6 +171,22 @@ def test_safe_rerun_changes_nothing(spark, files, tmp_path):
     assert before == sorted(HISTORY)
 
 
+def test_safe_rerun_replaces_only_the_file_itself(spark, files, tmp_path):
+    """A file with a stray row of another day must not touch that day's file."""
+    lake = Lake(spark, str(tmp_path / "lake"), safe_rerun=True)
+    medallion.ingest_index_file(lake, f"{files}/index_20211201.csv")
+    stray = FILES["index_20211202.csv"] + "\nMSCI,C9,X,BBG9,0.1,0.1,2021-12-01"
+    (tmp_path / "index_20211202.csv").write_text(stray)
+    for _ in range(2):
+        medallion.ingest_index_file(lake, str(tmp_path / "index_20211202.csv"))
+    assert spark.read.parquet(lake.path("index", "bronze")).count() == 4 + 7
+    silver = spark.read.parquet(lake.path("index", "silver"))
+    assert sorted(map(tuple, silver.groupBy("effective_business_date").count().selectExpr(
+        "cast(effective_business_date as string)", "count").collect())) == [
+        ("2021-12-01", 4), ("2021-12-02", 6)
+    ]
+
+
 def test_safe_rerun_of_a_security_date(spark, files, tmp_path):
     lake = Lake(spark, str(tmp_path), safe_rerun=True)
     medallion.ingest_security_file(lake, f"{files}/security_20211201.csv")

@@ -34,12 +34,23 @@ def test_append_partitioned_and_register(spark, db, tmp_path):
     assert sorted(r["d"] for r in spark.table(f"{db}.parts").collect()) == ["d1", "d2", "d3"]
     files.append_partitioned(rows, path, "d")
     assert spark.read.parquet(path).count() == 5
-    files.append_partitioned(
-        spark.createDataFrame([(9, "d1")], "a int, d string"), path, "d", replace_partitions=True
-    )
+    for _ in range(2):
+        one = spark.createDataFrame([(9, "d1")], "a int, d string")
+        files.replace_partition(one, path, "d", "d1")
     assert sorted(r["a"] for r in spark.read.parquet(path).collect()) == [2, 2, 3, 9]
 
 
+def test_registered_schema_keeps_dates_as_text(spark, db, tmp_path):
+    path = str(tmp_path / "t")
+    rows = spark.createDataFrame([(1, "2021-12-01")], "a int, d string")
+    files.append_partitioned(rows, path, "d")
+    catalog.register_table(spark, f"{db}.inferred", path)
+    catalog.register_table(spark, f"{db}.declared", path, rows.schema, "d")
+    assert spark.table(f"{db}.inferred").dtypes == [("a", "int"), ("d", "date")]
+    assert spark.table(f"{db}.declared").dtypes == [("a", "int"), ("d", "string")]
+    assert spark.table(f"{db}.declared").where("d = '2021-12-01'").count() == 1
+
+
 def test_rebalanced_keeps_all_rows(spark, tmp_path):
     df = spark.range(1000).withColumn("d", F.when(F.col("id") < 600, "hot").otherwise("cold"))
     files.append_partitioned(files.rebalanced(df, "d"), str(tmp_path / "t"), "d")

@@ -7,6 +7,8 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from tidewater.operators.joins import balanced_join
+
 PAGE_SIZE = 10_000
 
 
@@ -31,8 +33,15 @@ def nest(
         .where(F.col("count") > page_size)
         .select("_parent", F.ceil(F.col("count") / page_size).alias("_pages"))
     )
-    # At most rows / page_size parents are large; the others stay on page 0.
-    paged = children.join(sizes, F.col(parent).eqNullSafe(F.col("_parent")), "left")
+    # At most rows / page_size parents are large; the others stay on page 0. The
+    # hash makes both sides shuffle for this join, so that AQE can split a hot
+    # parent (see balanced_join); NULL is a parent too.
+    paged = children.join(
+        sizes,
+        (F.xxhash64(parent) == F.xxhash64("_parent"))
+        & F.col(parent).eqNullSafe(F.col("_parent")),
+        "left",
+    )
     page = F.coalesce(F.pmod(F.xxhash64(child_key), F.col("_pages")), F.lit(0))
     ordered = [child_key, *[f for f in fields if f != child_key]]
     return (
@@ -47,3 +56,20 @@ def flatten(nested: DataFrame, column: str) -> DataFrame:
     return nested.select(*others, F.explode(column).alias(column)).select(
         *others, f"{column}.*"
     )
+
+
+def attach(
+    parents: DataFrame, key: str, nested: DataFrame, nested_key: str, into: str
+) -> DataFrame:
+    """Parents with their nested children; one without children has an empty list.
+
+    A parent repeats per page of a large list.
+    """
+    children = nested.withColumnRenamed(nested_key, "_child_parent")
+    joined = balanced_join(parents, children, [(key, "_child_parent")], "left")
+    empty = F.array().cast(nested.schema[into].dataType)
+    return joined.select(
+        *parents.columns,
+        F.coalesce("page", F.lit(0)).alias("page"),
+        F.coalesce(into, empty).alias(into),
+    )

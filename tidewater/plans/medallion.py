@@ -2,17 +2,18 @@
 
 Layout under a root folder:
 
-    index/bronze             all rows, partitioned by their business_date
+    index/bronze             all rows, by their business_date
     index/silver             rows of the file's date, by effective_business_date
-    security/bronze          all rows, partitioned by their business_date
+    security/bronze          all rows, by their business_date
     security/history_silver  type 2 history (see sources.history)
     security/latest_silver   type 1 snapshots, newest version current
     index_security           gold, by effective_business_date
 
 Each step commits on its own. With ``safe_rerun`` a date can be loaded again
-after a failure: bronze, silver and gold replace the date's partition and the
-security merges skip rows that are not newer. Without it a second load of a date
-adds its rows again, and a security date then fails on its duplicate keys.
+after a failure: bronze folders are kept per file, so that a file replaces its own
+rows only, silver and gold replace the date's partition, and the history skips
+rows that are not newer. Without it a second load of a date adds its rows again,
+and a security date then fails on its duplicate keys.
 """
 
 from __future__ import annotations
@@ -28,7 +29,7 @@ from tidewater.functions import dates
 from tidewater.operators import scd
 from tidewater.operators.joins import lookup_join
 from tidewater.sinks import catalog
-from tidewater.sinks.files import append_partitioned
+from tidewater.sinks.files import append_partitioned, replace_partition
 from tidewater.sources.files import read_csv
 from tidewater.sources.history import HistoryTable
 from tidewater.sources.snapshots import SnapshotTable
@@ -99,9 +100,10 @@ class Lake:
     def latest(self) -> SnapshotTable:
         return SnapshotTable(self.spark, self.path("security", "latest_silver"))
 
-    def register(self, name: str, location: str) -> None:
+    def register(self, name: str, location: str, schema: T.StructType, by: str) -> None:
         if self.database:
-            catalog.register_table(self.spark, f"{self.database}.{name}", location)
+            full_name = f"{self.database}.{name}"
+            catalog.register_table(self.spark, full_name, location, schema, by)
 
     def register_view(self, name: str, df: DataFrame) -> None:
         if self.database:
@@ -126,37 +128,61 @@ def security_versions(bronze: DataFrame, business_date: str) -> DataFrame:
 
 def gold_rows(index_silver: DataFrame, latest: DataFrame) -> DataFrame:
     """Constituents with their security, looked up by the global id."""
-    lookup = latest.select("id_bb_global", "security_id", "cusip")
+    lookup = latest.select("id_bb_global", SECURITY_KEY, "cusip")
     joined = lookup_join(index_silver, lookup, "figi", "id_bb_global")
     return catalog.in_schema(joined.select(*GOLD_SCHEMA.names), GOLD_SCHEMA)
 
 
-def land(lake: Lake, domain: str, rows: DataFrame) -> None:
-    """Bronze: rows as they came, partitioned by their own date."""
+def _strings(columns: Sequence[str]) -> T.StructType:
+    return T.StructType([T.StructField(c, T.StringType()) for c in columns])
+
+
+BRONZE_SCHEMAS = {
+    "index": _strings(INDEX_COLUMNS),
+    "security": _strings(SECURITY_COLUMNS),
+}
+INDEX_SILVER_SCHEMA = _strings([*INDEX_COLUMNS[:-1], scd.EFFECTIVE])
+
+
+def land(lake: Lake, domain: str, rows: DataFrame, file_date: str | None = None) -> None:
+    """Bronze: rows as they came, partitioned by their own date.
+
+    With ``safe_rerun`` the rows of a file, known by its date, lie in a folder of
+    their own.
+    """
     path = lake.path(domain, "bronze")
-    append_partitioned(rows, path, "business_date", lake.safe_rerun)
-    lake.register(f"{domain}_bronze", path)
+    if lake.safe_rerun and file_date is not None:
+        replace_partition(rows, path, "file_date", file_date, "business_date")
+        return
+    append_partitioned(rows, path, "business_date")
+    lake.register(f"{domain}_bronze", path, BRONZE_SCHEMAS[domain], "business_date")
+
 
+def _bronze(lake: Lake, domain: str) -> DataFrame:
+    schema = BRONZE_SCHEMAS[domain]
+    rows = lake.spark.read.schema(schema).parquet(lake.path(domain, "bronze"))
+    return rows.select(*schema.names)
 
-def _bronze(lake: Lake, domain: str, columns: Sequence[str]) -> DataFrame:
-    schema = T.StructType([T.StructField(c, T.StringType()) for c in columns])
-    return lake.spark.read.schema(schema).parquet(lake.path(domain, "bronze"))
+
+def _write_date(
+    lake: Lake, name: str, path: str, rows: DataFrame, business_date: str, schema: T.StructType
+) -> None:
+    if lake.safe_rerun:
+        replace_partition(rows, path, scd.EFFECTIVE, business_date)
+    else:
+        append_partitioned(rows, path, scd.EFFECTIVE)
+    lake.register(name, path, schema, scd.EFFECTIVE)
 
 
 def index_silver(lake: Lake, business_date: str) -> None:
-    bronze = _bronze(lake, "index", INDEX_COLUMNS)
+    rows = index_silver_rows(_bronze(lake, "index"), business_date)
     path = lake.path("index", "silver")
-    append_partitioned(
-        index_silver_rows(bronze, business_date), path, scd.EFFECTIVE, lake.safe_rerun
-    )
-    lake.register("index_silver", path)
+    _write_date(lake, "index_silver", path, rows, business_date, INDEX_SILVER_SCHEMA)
 
 
 def security_silver(lake: Lake, business_date: str) -> None:
-    bronze = _bronze(lake, "security", SECURITY_COLUMNS)
-    source = security_versions(bronze, business_date)
-    late = lake.safe_rerun
-    lake.history.merge(source, SECURITY_KEY, guard_late=late)
+    source = security_versions(_bronze(lake, "security"), business_date)
+    lake.history.merge(source, SECURITY_KEY, guard_late=lake.safe_rerun)
     latest = lake.latest
     if latest.latest_version() is None:
         latest.write(source)
@@ -168,19 +194,14 @@ def security_silver(lake: Lake, business_date: str) -> None:
 
 def gold(lake: Lake, business_date: str) -> None:
     """Adds a date to the gold table, with the securities as they are now."""
-    schema = T.StructType(
-        [
-            T.StructField(c, T.StringType())
-            for c in (*INDEX_COLUMNS[:-1], scd.EFFECTIVE)
-        ]
+    silver = lake.spark.read.schema(INDEX_SILVER_SCHEMA).parquet(
+        lake.path("index", "silver")
     )
-    silver = lake.spark.read.schema(schema).parquet(lake.path("index", "silver"))
     rows = gold_rows(
         silver.where(F.col(scd.EFFECTIVE) == business_date), lake.latest.read()
     )
     path = lake.path("index_security")
-    append_partitioned(rows, path, scd.EFFECTIVE, lake.safe_rerun)
-    lake.register("index_security", path)
+    _write_date(lake, "index_security", path, rows, business_date, GOLD_SCHEMA)
 
 
 def read_gold(lake: Lake) -> DataFrame:
@@ -199,7 +220,7 @@ def file_business_date(spark: SparkSession, uri: str) -> str:
 def ingest_index_file(lake: Lake, uri: str, business_date: str | None = None) -> str:
     """One daily index file into bronze and silver; returns its date."""
     date = business_date or file_business_date(lake.spark, uri)
-    land(lake, "index", read_csv(lake.spark, uri, INDEX_COLUMNS))
+    land(lake, "index", read_csv(lake.spark, uri, INDEX_COLUMNS), date)
     index_silver(lake, date)
     return date
 
@@ -207,7 +228,7 @@ def ingest_index_file(lake: Lake, uri: str, business_date: str | None = None) ->
 def ingest_security_file(lake: Lake, uri: str, business_date: str | None = None) -> str:
     """One daily security file into bronze, history and latest; returns its date."""
     date = business_date or file_business_date(lake.spark, uri)
-    land(lake, "security", read_csv(lake.spark, uri, SECURITY_COLUMNS))
+    land(lake, "security", read_csv(lake.spark, uri, SECURITY_COLUMNS), date)
     security_silver(lake, date)
     return date
 

@@ -159,10 +159,11 @@ SELECT s_suppkey, s_name,
        CAST(1000 + row_number() OVER (ORDER BY s_suppkey) AS BIGINT) AS security_id
 FROM supplier""",
     "nest_positions": """
-SELECT o_custkey AS account_id, CAST(0 AS BIGINT) AS page,
-       CAST(count(*) AS INTEGER) AS n_positions,
-       string_agg(CAST(o_orderkey AS VARCHAR), ',' ORDER BY o_orderkey) AS position_ids
-FROM orders GROUP BY 1""",
+SELECT c_custkey AS account_id, c_name AS name, CAST(0 AS BIGINT) AS page,
+       CAST(count(o_orderkey) AS INTEGER) AS n_positions,
+       coalesce(string_agg(CAST(o_orderkey AS VARCHAR), ',' ORDER BY o_orderkey), '')
+         AS position_ids
+FROM customer LEFT JOIN orders ON c_custkey = o_custkey GROUP BY 1, 2""",
     "flatten_positions": """
 SELECT o_custkey AS account_id, o_orderkey AS position_id,
        o_totalprice AS market_value, o_orderpriority AS exposure

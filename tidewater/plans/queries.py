@@ -292,8 +292,14 @@ def _positions(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def nest_positions(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return _positions(spark, sf_dir).select(
-        F.col("o_custkey").alias("account_id"),
+    """Customers as accounts with their orders as positions, or with none."""
+    accounts = table(spark, sf_dir, "customer").select("c_custkey", "c_name")
+    nest = nested.attach(
+        accounts, "c_custkey", _positions(spark, sf_dir), "o_custkey", "positions"
+    )
+    return nest.select(
+        F.col("c_custkey").alias("account_id"),
+        F.col("c_name").alias("name"),
         "page",
         F.size("positions").alias("n_positions"),
         F.array_join(

@@ -35,11 +35,23 @@ def create_table(
         refresh(spark, name)
 
 
-def register_table(spark: SparkSession, name: str, location: str) -> None:
-    """An external table over existing files: their schema and partition folders.
+def register_table(
+    spark: SparkSession,
+    name: str,
+    location: str,
+    schema: T.StructType | None = None,
+    partitioned_by: str | None = None,
+) -> None:
+    """An external table over existing files.
 
-    Also to be called after files were added, to make new partitions visible.
+    Columns and partitions come from the files, where folder names that look like
+    dates become dates, or from ``schema``. To be called again after files were
+    added, to make new partitions visible.
     """
+    if schema is not None:
+        columns = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in schema)
+        create_table(spark, name, columns, location, partitioned_by)
+        return
     spark.sql(f"CREATE TABLE IF NOT EXISTS {name} USING parquet LOCATION '{location}'")
     refresh(spark, name)
 

@@ -5,20 +5,20 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 
 
-def append_partitioned(
-    df: DataFrame, path: str, column: str, replace_partitions: bool = False
-) -> None:
-    """Appends parquet files in folders by ``column``.
+def append_partitioned(df: DataFrame, path: str, column: str) -> None:
+    """Appends parquet files in folders by ``column``."""
+    df.write.mode("append").partitionBy(column).parquet(path)
 
-    ``replace_partitions`` replaces the partitions that ``df`` has rows for, so
-    that a re-run of a day does not add it twice.
-    """
-    writer = df.write.partitionBy(column)
-    if replace_partitions:
-        writer = writer.mode("overwrite").option("partitionOverwriteMode", "dynamic")
-    else:
-        writer = writer.mode("append")
-    writer.parquet(path)
+
+def replace_partition(
+    df: DataFrame, path: str, column: str, value: str, partition_by: str | None = None
+) -> None:
+    """Makes ``df`` the whole content of one partition, so that writing it again
+    changes nothing. All other partitions stay."""
+    writer = df.drop(column).write.mode("overwrite")
+    if partition_by:
+        writer = writer.partitionBy(partition_by)
+    writer.parquet(f"{path}/{column}={value}")
 
 
 def rebalanced(df: DataFrame, column: str) -> DataFrame:

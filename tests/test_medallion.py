@@ -108,7 +108,7 @@ def test_history(lake):
 
 
 def test_latest_is_the_open_history(lake):
-    assert lines(lake.latest.read()) == sorted(h for h in HISTORY if h.endswith("True"))
+    assert lines(lake.latest) == sorted(h for h in HISTORY if h.endswith("True"))
 
 
 def test_gold(lake):
@@ -193,7 +193,7 @@ def test_safe_rerun_of_a_security_date(spark, files, tmp_path):
     before = lines(lake.history.read())
     medallion.ingest_security_file(lake, f"{files}/security_20211201.csv")
     assert lines(lake.history.read()) == before
-    assert lines(lake.latest.read()) == before
+    assert lines(lake.latest) == before
 
 
 def test_lookup_repeats_a_constituent_per_security_with_its_id(spark):

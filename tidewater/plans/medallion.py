@@ -6,9 +6,12 @@ Layout under a root folder:
     index/silver             rows of the file's date, by effective_business_date
     security/bronze          all rows, by their business_date
     security/history_silver  type 2 history (see sources.history)
-    security/latest_silver   type 1 snapshots, newest version current
     index_security           gold, by effective_business_date
 
+The type 1 latest table is the history's open rows. A type 1 merge of the same
+files gives just these: where it updates a row the history opens one for the row it
+closes, and both add the rows of unknown keys. So one merge a day serves both.
+
 Each step commits on its own. With ``safe_rerun`` a date can be loaded again
 after a failure: bronze folders are kept per file, so that a file replaces its own
 rows only, silver and gold replace the date's partition, and the history skips
@@ -18,7 +21,7 @@ and a security date then fails on its duplicate keys.
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession
@@ -32,7 +35,6 @@ from tidewater.sinks import catalog
 from tidewater.sinks.files import append_partitioned, replace_partition
 from tidewater.sources.files import read_csv
 from tidewater.sources.history import HistoryTable
-from tidewater.sources.snapshots import SnapshotTable
 
 # The columns of the daily files and of the layers.
 INDEX_COLUMNS = (
@@ -97,17 +99,18 @@ class Lake:
         )
 
     @property
-    def latest(self) -> SnapshotTable:
-        return SnapshotTable(self.spark, self.path("security", "latest_silver"))
+    def latest(self) -> DataFrame:
+        """The newest row per security."""
+        return self.history.open_rows()
 
     def register(self, name: str, location: str, schema: T.StructType, by: str) -> None:
         if self.database:
             full_name = f"{self.database}.{name}"
             catalog.register_table(self.spark, full_name, location, schema, by)
 
-    def register_view(self, name: str, df: DataFrame) -> None:
+    def register_view(self, name: str, rows: Callable[[], DataFrame]) -> None:
         if self.database:
-            df.createOrReplaceTempView(name)
+            rows().createOrReplaceTempView(name)
 
 
 def index_silver_rows(bronze: DataFrame, business_date: str) -> DataFrame:
@@ -183,13 +186,8 @@ def index_silver(lake: Lake, business_date: str) -> None:
 def security_silver(lake: Lake, business_date: str) -> None:
     source = security_versions(_bronze(lake, "security"), business_date)
     lake.history.merge(source, SECURITY_KEY, guard_late=lake.safe_rerun)
-    latest = lake.latest
-    if latest.latest_version() is None:
-        latest.write(source)
-    else:
-        latest.write(scd.scd1_merge(latest.read(), source, SECURITY_KEY))
-    lake.register_view("security_history_silver", lake.history.read())
-    lake.register_view("security_latest_silver", latest.read())
+    lake.register_view("security_history_silver", lake.history.read)
+    lake.register_view("security_latest_silver", lake.history.open_rows)
 
 
 def gold(lake: Lake, business_date: str) -> None:
@@ -198,7 +196,7 @@ def gold(lake: Lake, business_date: str) -> None:
         lake.path("index", "silver")
     )
     rows = gold_rows(
-        silver.where(F.col(scd.EFFECTIVE) == business_date), lake.latest.read()
+        silver.where(F.col(scd.EFFECTIVE) == business_date), lake.latest
     )
     path = lake.path("index_security")
     _write_date(lake, "index_security", path, rows, business_date, GOLD_SCHEMA)
@@ -226,7 +224,7 @@ def ingest_index_file(lake: Lake, uri: str, business_date: str | None = None) ->
 
 
 def ingest_security_file(lake: Lake, uri: str, business_date: str | None = None) -> str:
-    """One daily security file into bronze, history and latest; returns its date."""
+    """One daily security file into bronze and history; returns its date."""
     date = business_date or file_business_date(lake.spark, uri)
     land(lake, "security", read_csv(lake.spark, uri, SECURITY_COLUMNS), date)
     security_silver(lake, date)

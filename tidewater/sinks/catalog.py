@@ -32,7 +32,7 @@ def create_table(
         f"{partitions} LOCATION '{location}'"
     )
     if path_exists(spark, location):
-        refresh(spark, name)
+        refresh(spark, name, partitioned_by is not None)
 
 
 def register_table(
@@ -53,11 +53,15 @@ def register_table(
         create_table(spark, name, columns, location, partitioned_by)
         return
     spark.sql(f"CREATE TABLE IF NOT EXISTS {name} USING parquet LOCATION '{location}'")
-    refresh(spark, name)
+    refresh(spark, name, _is_partitioned(spark, name))
 
 
-def refresh(spark: SparkSession, name: str) -> None:
-    partitioned = any(c.isPartition for c in spark.catalog.listColumns(name))
+def _is_partitioned(spark: SparkSession, name: str) -> bool:
+    return any(c.isPartition for c in spark.catalog.listColumns(name))
+
+
+def refresh(spark: SparkSession, name: str, partitioned: bool) -> None:
+    """Makes files and partitions visible that were added by path."""
     if partitioned:
         spark.sql(f"MSCK REPAIR TABLE {name}")
     spark.catalog.refreshTable(name)
@@ -74,7 +78,7 @@ def discover(
     spark.sql(f"DROP TABLE IF EXISTS {name}")
     options = "OPTIONS (header 'true', inferSchema 'true')" if file_format == "csv" else ""
     spark.sql(f"CREATE TABLE {name} USING {file_format} {options} LOCATION '{location}'")
-    refresh(spark, name)
+    refresh(spark, name, _is_partitioned(spark, name))
     return spark.table(name)
 
 

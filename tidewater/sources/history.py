@@ -24,22 +24,24 @@ class HistoryTable:
         self.schema = schema
         self.snapshots = SnapshotTable(spark, path)
 
-    def _scan(self, upto: int | None) -> tuple[DataFrame, int]:
+    def _version(self, upto: int | None) -> int:
+        """The newest version, or the newest one up to ``upto``."""
         versions = self.snapshots.versions()
         newest = max((v for v in versions if upto is None or v <= upto), default=None)
         if newest is None:
             raise ValueError(f"{self.snapshots.path} has no version {upto}")
-        paths = [self.snapshots.version_path(v) for v in versions if v <= newest]
+        return newest
+
+    def _scan(self, *versions: int) -> DataFrame:
         stored = T.StructType(
             [f for f in self.schema if f.name != scd.LATEST]
             + [T.StructField(VERSION, T.LongType()), T.StructField(scd.LATEST, T.StringType())]
         )
-        rows = (
+        return (
             self.spark.read.schema(stored)
             .option("basePath", self.snapshots.path)
-            .parquet(*paths)
+            .parquet(*[self.snapshots.version_path(v) for v in versions])
         )
-        return rows, newest
 
     def _typed(self, rows: DataFrame) -> DataFrame:
         return rows.select(
@@ -48,16 +50,16 @@ class HistoryTable:
 
     def read(self, version: int | None = None) -> DataFrame:
         """The whole history, at the newest or the given version."""
-        rows, newest = self._scan(version)
+        newest = self._version(version)
+        rows = self._scan(*[v for v in self.snapshots.versions() if v <= newest])
         return self._typed(
             rows.where((F.col(scd.LATEST) == "false") | (F.col(VERSION) == newest))
         )
 
     def open_rows(self, version: int | None = None) -> DataFrame:
-        rows, newest = self._scan(version)
-        return self._typed(
-            rows.where((F.col(scd.LATEST) == "true") & (F.col(VERSION) == newest))
-        )
+        """The rows valid now, or at the given version."""
+        rows = self._scan(self._version(version))
+        return self._typed(rows.where(F.col(scd.LATEST) == "true"))
 
     def append_version(self, rows: DataFrame) -> int:
         """Writes open rows and newly closed rows as the next version."""

@@ -1,4 +1,5 @@
 import itertools
+import unicodedata
 from urllib.parse import urljoin
 
 import pytest
@@ -45,6 +46,15 @@ def test_resolve_links_equals_urljoin(spark):
     assert wrong == []
 
 
+def test_unsafe_host_characters_follow_their_rule():
+    """All of them lie in the basic plane's compatibility blocks."""
+    found = [
+        c for c in map(chr, [*range(0x80, 0xD800), *range(0xE000, 0x10000)])
+        if set(unicodedata.normalize("NFKC", c)) & set("/?#@:")
+    ]
+    assert "".join(found) == urls.UNSAFE_HOST_CHARS
+
+
 def test_page_links_are_sets_per_page(spark):
     pages = spark.createDataFrame(
         [

@@ -2,9 +2,6 @@
 
 from __future__ import annotations
 
-import functools
-import sys
-import unicodedata
 from urllib.parse import uses_netloc, uses_params, uses_relative
 
 from pyspark.sql import Column, DataFrame
@@ -20,16 +17,9 @@ _PLAIN_ROOT = (
 _PLAIN_BASE = r"^(https?://[A-Za-z0-9._:@\-]+)(?:[/?#].*)?\z"
 
 
-@functools.lru_cache(maxsize=1)
-def _unsafe_authority_chars() -> str:
-    """Characters whose compatibility form holds a delimiter; a host with one is
-    invalid."""
-    return "".join(
-        c
-        for c in map(chr, range(0x80, sys.maxunicode + 1))
-        if not 0xD800 <= ord(c) <= 0xDFFF
-        and any(d in unicodedata.normalize("NFKC", c) for d in "/?#@:")
-    )
+# Characters whose compatibility form holds one of "/?#@:"; a host
+# with one is invalid.
+UNSAFE_HOST_CHARS = "⁇⁈⁉℀℁℅℆⩴︓︖﹕﹖﹟﹫＃／：？＠"
 
 
 def _authority_is_valid(authority: Column) -> Column:
@@ -37,7 +27,7 @@ def _authority_is_valid(authority: Column) -> Column:
     bracketed = authority.rlike(
         r"^(?:[^\[\]]*@)?\[(?:v[0-9A-Fa-f]+\..+|(?=[^\]]*:[^\]]*:)[0-9A-Fa-f:.]+(?:%[^\]]+)?)\](?::.*)?$"
     )
-    return (plain | bracketed) & ~authority.rlike(f"[{_unsafe_authority_chars()}]")
+    return (plain | bracketed) & ~authority.rlike(f"[{UNSAFE_HOST_CHARS}]")
 
 
 def _clean(url: Column) -> Column:

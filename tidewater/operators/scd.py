@@ -112,14 +112,17 @@ def scd2_backfill(
     key never matches, so each of its rows stays open.
     """
     attributes = [c for c in source.columns if c != date]
-    following = F.lead(date).over(Window.partitionBy(key).orderBy(date))
-    keyed = source.where(F.col(key).isNotNull()).select(
+    unmatched = F.col(key).isNull()
+    # NULL keys are spread by a hash of the row instead of meeting in one window.
+    alone = F.when(unmatched, F.xxhash64(*source.columns))
+    by_key = Window.partitionBy(key, alone).orderBy(date)
+    following = F.when(~unmatched, F.lead(date).over(by_key))
+    return source.select(
         *attributes,
         F.col(date).alias(EFFECTIVE),
         F.coalesce(following, F.lit(OPEN_END)).alias(END),
         following.isNull().alias(LATEST),
     )
-    return keyed.unionByName(new_versions(source.where(F.col(key).isNull()), date))
 
 
 def scd1_backfill(

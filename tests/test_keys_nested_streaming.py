@@ -1,4 +1,5 @@
 import datetime
+import pathlib
 
 import pytest
 from pyspark.sql import functions as F
@@ -21,8 +22,14 @@ def test_ids_with_a_hot_value(spark):
     df = spark.range(3000).select(
         F.when(F.col("id") % 3 == 0, "hot").otherwise(F.col("id").cast("string")).alias("k"), "id"
     )
-    got = keys.assign_ids(df, ["k", "id"], into="key")
-    assert sorted(r["key"] for r in got.collect()) == list(range(1, 3001))
+    got = keys.assign_ids(df, ["k"], into="key").collect()
+    assert sorted(r["key"] for r in got) == list(range(1, 3001))
+    assert max(r["key"] for r in got if r["k"] != "hot") == 2000
+    # The hot value lies in several ranges.
+    staged = max(pathlib.Path(spark.conf.get("spark.checkpoint.dir")).glob("ids-*"),
+                 key=lambda p: p.stat().st_mtime)
+    parts = spark.read.parquet(str(staged)).where("k = 'hot'").select("_part").distinct().count()
+    assert parts > 1
 
 
 def test_high_water_mark(spark, tmp_path):

@@ -31,7 +31,8 @@ def element_texts(html: Column, tag: str, class_: str | None = None) -> Column:
     For tags that do not hold themselves (headings, list items of a flat list,
     paragraphs); nested layouts need ``operators.html.select_cards``. With
     ``class_`` only elements with that class among theirs are taken. Tags inside
-    are removed and the references of ``NAMED_REFERENCES`` are decoded.
+    are removed and the references of ``NAMED_REFERENCES`` are decoded; others stay
+    as they are.
     """
     attrs = r"(?:\s[^>]*)?"
     if class_ is not None:
@@ -46,4 +47,4 @@ def _plain_text(fragment: Column) -> Column:
     text = F.regexp_replace(fragment, r"(?s)<!--.*?-->|<[^>]*>", "")
     for reference, char in NAMED_REFERENCES.items():
         text = F.replace(text, F.lit(reference), F.lit(char))
-    return F.regexp_replace(text, r"^\s+|\s+$", "")
+    return F.regexp_replace(text, r"^[\s\x{a0}]+|[\s\x{a0}]+\z", "")

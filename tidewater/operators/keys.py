@@ -24,15 +24,17 @@ def assign_ids(
     sorted, written with their partition and row number, and each partition's
     start is the count of the rows before it. The written table keeps both reads
     on the same ranges, whichever executors are lost. Only the partition sizes,
-    one row per written partition, are broadcast. ``order_by`` should be unique:
-    equal rows share a range, and their order among each other is open.
+    one row per written partition, are broadcast. Rows equal in ``order_by`` are
+    ordered by a hash of the whole row, which also splits a hot value into many
+    ranges.
     """
     spark = df.sparkSession
     staged = work_dir(spark, "ids")
     position = F.monotonically_increasing_id()
+    order = [*order_by, F.xxhash64(*df.columns)]
     (
-        df.repartitionByRange(*order_by)
-        .sortWithinPartitions(*order_by)
+        df.repartitionByRange(*order)
+        .sortWithinPartitions(*order)
         .withColumn("_position", position)
         .withColumn(_PART, F.shiftright("_position", _ROW_BITS))
         .withColumn(_ROW, F.col("_position") - F.shiftleft(_PART, _ROW_BITS))

@@ -40,9 +40,9 @@ _CONSTITUENT = """
   CAST(json_extract_string(props, '$.k') AS FLOAT) AS market_cap"""
 
 _TEXT = (
-    "trim(replace(replace(replace(replace(replace(regexp_replace("
+    "trim(replace(replace(replace(replace(regexp_replace("
     "{0}, '<[^>]*>', '', 'g'), '&quot;', '\"'), '&copy;', '©'), '&middot;', '·'), "
-    "'&nbsp;', ' '), '&amp;', '&'))"
+    "'&amp;', '&'))"
 )
 
 _WORDS = """

@@ -13,7 +13,7 @@ class SnapshotTable:
 
     A version counts only when its write was committed (its ``_SUCCESS`` marker
     is there), so a failed or lost write leaves the previous version in place and
-    is overwritten by the next attempt.
+    is overwritten by the next attempt. One job writes a table at a time.
     """
 
     def __init__(self, spark: SparkSession, path: str):

@@ -220,3 +220,16 @@ def test_gold_rejects_a_weight_that_is_no_number(spark):
     latest = spark.createDataFrame([], medallion.SECURITY_SCHEMA)
     with pytest.raises(Exception, match="CAST_INVALID_INPUT"):
         medallion.gold_rows(silver, latest).collect()
+
+
+def test_day_without_identified_securities(spark, files, tmp_path):
+    lake = Lake(spark, str(tmp_path / "lake"))
+    with pytest.raises(ValueError, match="no committed version"):
+        lake.latest  # noqa: B018
+    (tmp_path / "security_20211130.csv").write_text(
+        ",".join(medallion.SECURITY_COLUMNS) + "\nS1,Apple,,123W456,2021-11-30"
+    )
+    medallion.ingest_security_file(lake, str(tmp_path / "security_20211130.csv"))
+    assert lake.latest.count() == 0 and lake.history.read().count() == 0
+    medallion.ingest_security_file(lake, f"{files}/security_20211201.csv")
+    assert lake.latest.count() == 5

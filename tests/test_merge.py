@@ -96,3 +96,21 @@ def test_keep_last(spark, target):
     )
     with pytest.raises(ValueError):
         merge_rows(target, source, ["k"], on_duplicate="keep_last")
+
+
+def test_keys_of_different_types(spark):
+    target = spark.createDataFrame([(1, "a"), (2, "b")], "k int, v string")
+    source = spark.createDataFrame([(2, "c"), (3, "d")], "k long, v string")
+    got = merge_rows(target, source, ["k"])
+    assert got.dtypes == target.dtypes
+    assert sorted(map(tuple, got.collect())) == [(1, "a"), (2, "c"), (3, "d")]
+
+
+def test_columns_that_cannot_be_hashed_or_ordered(spark):
+    schema = "k string, day int, m map<string,int>"
+    target = spark.createDataFrame([("a", 1, {"x": 1}), (None, 1, {"x": 2})], schema)
+    source = spark.createDataFrame([("a", 2, {"y": 3}), ("a", 3, {"z": 4})], schema)
+    got = merge_rows(target, source, ["k"], on_duplicate="keep_last", newest_by="day")
+    assert sorted(((r.k, r.day, r.m) for r in got.collect()), key=str) == [
+        ("a", 3, {"z": 4}), (None, 1, {"x": 2})
+    ]

@@ -9,6 +9,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from tidewater.functions.hashes import row_hash
+
 _SPREAD = "_spread"
 _RIGHT_SPREAD = "_right_spread"
 # Types whose equal values have equal hashes.
@@ -48,7 +50,7 @@ def balanced_join(
     if not same_types:
         return left.join(right, condition, how)
     unmatched = reduce(lambda x, y: x | y, [F.col(a).isNull() for a, _ in keys])
-    spread = F.when(unmatched, F.xxhash64(*left.columns)).otherwise(
+    spread = F.when(unmatched, row_hash(left)).otherwise(
         F.xxhash64(*[a for a, _ in keys])
     )
     return (

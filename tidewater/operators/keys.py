@@ -7,6 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
+from tidewater.functions.hashes import row_hash
 from tidewater.session import work_dir
 from tidewater.sources.snapshots import SnapshotTable
 
@@ -31,7 +32,7 @@ def assign_ids(
     spark = df.sparkSession
     staged = work_dir(spark, "ids")
     position = F.monotonically_increasing_id()
-    order = [*order_by, F.xxhash64(*df.columns)]
+    order = [*order_by, row_hash(df)]
     (
         df.repartitionByRange(*order)
         .sortWithinPartitions(*order)

@@ -12,6 +12,7 @@ from collections.abc import Mapping, Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from tidewater.functions.hashes import row_hash
 from tidewater.operators.joins import balanced_join
 
 _COPIES = "_copies"
@@ -49,7 +50,7 @@ def one_per_key(
     """
     row = F.struct(*source.columns)
     if newest_by:
-        pick = F.max(F.struct(F.col(newest_by).alias("by"), row.alias("row")))["row"]
+        pick = F.max_by(row, F.struct(F.col(newest_by), row_hash(source)))
     else:
         pick = F.first(row)
     return (

@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from tidewater.functions.hashes import row_hash
 from tidewater.operators import merge
 from tidewater.operators.joins import balanced_join
 
@@ -114,7 +115,7 @@ def scd2_backfill(
     attributes = [c for c in source.columns if c != date]
     unmatched = F.col(key).isNull()
     # NULL keys are spread by a hash of the row instead of meeting in one window.
-    alone = F.when(unmatched, F.xxhash64(*source.columns))
+    alone = F.when(unmatched, row_hash(source))
     by_key = Window.partitionBy(key, alone).orderBy(date)
     following = F.when(~unmatched, F.lead(date).over(by_key))
     return source.select(

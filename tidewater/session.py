@@ -45,17 +45,19 @@ def build_session(
 def work_dir(spark: SparkSession, name: str) -> str:
     """A fresh folder for one run's written tables.
 
-    It lies under ``spark.checkpoint.dir``, which every executor can reach. A
-    machine-local folder is used only by a local-mode session that sets none.
+    It lies under ``spark.checkpoint.dir``, or the checkpoint folder set on the
+    context, which every executor can reach. A machine-local folder is used only by
+    a local-mode session that sets neither.
     """
-    base = spark.conf.get("spark.checkpoint.dir", None)
+    context = spark.sparkContext
+    base = spark.conf.get("spark.checkpoint.dir", None) or context.getCheckpointDir()
     if not base:
-        if not spark.sparkContext.master.startswith("local"):
+        if not context.master.startswith("local"):
             raise ValueError(
                 "set spark.checkpoint.dir to a folder that all executors share"
             )
-        base = tempfile.mkdtemp(prefix="tidewater-")
-        spark.conf.set("spark.checkpoint.dir", base)
+        context.setCheckpointDir(tempfile.mkdtemp(prefix="tidewater-"))
+        base = context.getCheckpointDir()
     return f"{base.rstrip('/')}/{name}-{uuid.uuid4().hex}"
 
 

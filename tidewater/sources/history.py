@@ -29,7 +29,7 @@ class HistoryTable:
         versions = self.snapshots.versions()
         newest = max((v for v in versions if upto is None or v <= upto), default=None)
         if newest is None:
-            raise ValueError(f"{self.snapshots.path} has no version {upto}")
+            raise ValueError(f"{self.snapshots.path} has no committed version")
         return newest
 
     def _scan(self, *versions: int) -> DataFrame:

@@ -54,7 +54,7 @@ class SnapshotTable:
         if version is None:
             version = self.latest_version()
         if version is None or version not in self.versions():
-            raise ValueError(f"{self.path} has no version {version}")
+            raise ValueError(f"{self.path} has no committed version {version}")
         return self.spark.read.parquet(self.version_path(version))
 
     def read_all(self) -> DataFrame:

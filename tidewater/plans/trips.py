@@ -5,10 +5,12 @@ from __future__ import annotations
 from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import types as T
 
 from tidewater.operators.aggregate import grouped_total
 from tidewater.operators.transform import drop_null_columns, resolve_choice, typed_mapping
 from tidewater.sinks.files import append_parquet, overwrite_parquet
+from tidewater.streaming.incremental import ingest_new_files
 
 # The trip columns and their types.
 TRIP_TYPES = {
@@ -52,10 +54,32 @@ def raw_to_silver(
     append_parquet(silver_rows(spark.table(table), choices), path)
 
 
+def new_files_to_silver(
+    spark: SparkSession, source: str, schema: T.StructType, path: str, bookmark: str
+) -> None:
+    """Adds the trips of raw files not seen before, typed, each exactly once.
+
+    Which columns are all NULL is only known over all rows, so they stay; readers
+    with a schema, as below, see no difference.
+    """
+    ingest_new_files(
+        spark,
+        source,
+        schema,
+        path,
+        bookmark,
+        transform=lambda rows: typed_mapping(rows, trip_mapping()),
+    )
+
+
 def fare_totals(trips: DataFrame) -> DataFrame:
     return grouped_total(trips, FARE_KEYS, "fare_amount", "total_fare_amount")
 
 
 def silver_to_gold(spark: SparkSession, silver: str, gold: str) -> None:
-    """Replaces the fare totals."""
-    overwrite_parquet(fare_totals(spark.read.parquet(silver)), gold)
+    """Replaces the fare totals.
+
+    A column that some silver files lack, having had no values, reads as NULL.
+    """
+    columns = ", ".join(f"{c} {TRIP_TYPES[c]}" for c in (*FARE_KEYS, "fare_amount"))
+    overwrite_parquet(fare_totals(spark.read.schema(columns).parquet(silver)), gold)

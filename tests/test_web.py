@@ -109,6 +109,22 @@ def test_cards(jobs):
     assert select_cards(jobs, ("div", "card-content"), FIELDS).count() == 5
 
 
+def test_broken_pages_do_not_fail_the_job(spark):
+    broken = ["<div><p>a</p></div><![foo[ <div><p>b", "<div><p>c<!", "<div <p>d</p>", "</div></p>", "<", "\x00"]
+    pages = spark.createDataFrame(list(enumerate(broken)), "page_id int, html string")
+    got = select_cards(pages, ("p", None), {}).select("page_id").distinct().collect()
+    assert {r[0] for r in got} >= {0, 1}
+
+
+def test_many_pages_pass_in_slices(spark):
+    pages = spark.range(500, numPartitions=2).select(
+        F.col("id").alias("page_id"),
+        F.when(F.col("id") % 2 == 0, F.concat(F.lit("<p>x<p>"), F.col("id").cast("string"))).alias("html"),
+    )
+    got = select_cards(pages, ("p", None), {}).groupBy("page_id").count().collect()
+    assert {r["page_id"]: r["count"] for r in got} == {i: 2 for i in range(0, 500, 2)}
+
+
 def test_links_of_keyword_cards(jobs):
     cards = select_cards(jobs, ("div", "card-content"), FIELDS, container_id="ResultsContainer")
     got = keyword_card_links(cards.select("title", "links"), "title", "PYTHON")

@@ -18,6 +18,8 @@ VOID_TAGS = frozenset(
     "area base br col embed hr img input link meta source track wbr".split()
 )
 HIDDEN_TAGS = frozenset(("script", "style"))
+# Pages held as Python objects at one time.
+PAGES_AT_ONCE = 64
 
 
 class _Element:
@@ -80,9 +82,13 @@ class _PageParser(HTMLParser):
 
 
 def _parse(html: str | None) -> _Element:
+    """The page's tree; markup that the parser rejects ends it early."""
     parser = _PageParser()
-    parser.feed(html or "")
-    parser.close()
+    try:
+        parser.feed(html or "")
+        parser.close()
+    except AssertionError:
+        pass
     return parser.root
 
 
@@ -102,7 +108,8 @@ def select_cards(
     the element with that id. ``link_ancestor=(field, n)`` takes the links of the
     n-th ancestor of the field's element instead.
 
-    Rows stream through Arrow batches, so a task holds one batch of pages.
+    Rows stream through Arrow batches, so a task holds one batch of pages, whose
+    size ``spark.sql.execution.arrow.maxBytesPerBatch`` bounds.
     """
     others = [f for f in pages.schema if f.name != content]
     schema = T.StructType(
@@ -139,16 +146,21 @@ def select_cards(
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            rows = [
-                {**{n: row[n] for n in names}, **values}
-                for row in batch.to_pylist()
-                for values in cards_of(_parse(row[content]))
-            ]
-            fields_out = [batch.schema.field(n) for n in names]
-            fields_out.append(pa.field("card_no", pa.int64()))
-            fields_out += [pa.field(n, pa.string()) for n in fields]
-            fields_out.append(pa.field("links", pa.list_(pa.string())))
-            yield pa.RecordBatch.from_pylist(rows, schema=pa.schema(fields_out))
+            out = pa.schema(
+                [
+                    *[batch.schema.field(n) for n in names],
+                    pa.field("card_no", pa.int64()),
+                    *[pa.field(n, pa.string()) for n in fields],
+                    pa.field("links", pa.list_(pa.string())),
+                ]
+            )
+            for start in range(0, batch.num_rows, PAGES_AT_ONCE):
+                rows = [
+                    {**{n: row[n] for n in names}, **values}
+                    for row in batch.slice(start, PAGES_AT_ONCE).to_pylist()
+                    for values in cards_of(_parse(row[content]))
+                ]
+                yield pa.RecordBatch.from_pylist(rows, schema=out)
 
     return pages.mapInArrow(run, schema)
 

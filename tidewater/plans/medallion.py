@@ -210,6 +210,11 @@ def read_gold(lake: Lake) -> DataFrame:
     )
 
 
+def in_report_order(gold: DataFrame) -> DataFrame:
+    """By date and constituent, NULLs first."""
+    return gold.orderBy(scd.EFFECTIVE, "constituent_id")
+
+
 def file_business_date(spark: SparkSession, uri: str) -> str:
     """The canonical date in a file's name."""
     return spark.range(1).select(dates.business_date(F.lit(uri)).alias("d")).first()["d"]
@@ -234,7 +239,7 @@ def ingest_security_file(lake: Lake, uri: str, business_date: str | None = None)
 def replay(
     lake: Lake, index_dates: Sequence[str], security_dates: Sequence[str]
 ) -> DataFrame:
-    """Silver and gold of landed rows, date by date; returns the gold table.
+    """Silver and gold of landed rows, date by date; returns the gold table in order.
 
     A date may lack a security file: its gold uses the securities of the dates
     before. Every step reads only its date's partition and writes a table, so no
@@ -246,4 +251,4 @@ def replay(
         if date in index_dates:
             index_silver(lake, date)
             gold(lake, date)
-    return read_gold(lake)
+    return in_report_order(read_gold(lake))

@@ -15,6 +15,8 @@ SESSION_CONF = {
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.adaptive.optimizeSkewsInRebalancePartitions.enabled": "true",
+    # Pages can be large, so the default of 10,000 rows is no bound on memory.
+    "spark.sql.execution.arrow.maxBytesPerBatch": str(64 << 20),
     "spark.sql.session.timeZone": "UTC",
 }
 

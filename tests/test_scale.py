@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from tidewater.operators import aggregate, scd
 from tidewater.operators.joins import lookup_join
 from tidewater.operators.merge import merge_rows, update_rows
+from tidewater.operators.transform import dynamic_filter
 from tidewater.plans import medallion
 from tidewater.sources.history import HistoryTable
 
@@ -49,6 +50,27 @@ def test_aggregate_combines_before_its_only_shuffle_and_reads_needed_columns(spa
     assert "ReadSchema: struct<l_extendedprice:double,l_returnflag:string>" in text
 
 
+def test_word_count_reads_texts_once_and_shuffles_counts_once(spark):
+    documents = spark.read.parquet(f"{SF}/documents.parquet")
+    text = plan(aggregate.word_count(documents, "text"))
+    assert text.count("Exchange") == 1 and text.count("Generate") == 1
+    assert text.count("HashAggregate") == 2
+    assert "ReadSchema: struct<text:string>" in text
+    top = plan(aggregate.top_words(aggregate.word_count(documents, "text")))
+    assert "TakeOrderedAndProject" in top
+
+
+def test_backfill_shuffles_once(spark):
+    rows = spark.createDataFrame([("a", "x", "d")], "k string, a string, business_date string")
+    assert plan(scd.scd2_backfill(rows, "k")).count("Exchange") == 1
+
+
+def test_filters_reach_the_scan(spark):
+    customer = spark.read.parquet(f"{SF}/customer.parquet")
+    got = dynamic_filter(customer, [{"column_name": "c_mktsegment", "column_value": "BUILDING"}])
+    assert "EqualTo(c_mktsegment,BUILDING)" in plan(got)
+
+
 def test_update_does_not_shuffle(spark):
     orders = spark.read.parquet(f"{SF}/orders.parquet")
     text = plan(update_rows(orders, F.col("o_orderkey") > 5, {"o_totalprice": F.lit(0.0)}))

@@ -17,7 +17,11 @@ _ROW_BITS = 33  # monotonically_increasing_id: partition number << 33 | row numb
 
 
 def assign_ids(
-    df: DataFrame, order_by: Sequence[str], last_id: int = 0, into: str = "id"
+    df: DataFrame,
+    order_by: Sequence[str],
+    last_id: int = 0,
+    into: str = "id",
+    staging: str | None = None,
 ) -> DataFrame:
     """Adds ``last_id + 1, last_id + 2, ...`` in the order of ``order_by``.
 
@@ -27,10 +31,11 @@ def assign_ids(
     on the same ranges, whichever executors are lost. Only the partition sizes,
     one row per written partition, are broadcast. Rows equal in ``order_by`` are
     ordered by a hash of the whole row, which also splits a hot value into many
-    ranges.
+    ranges. The result reads the written table (``staging``, or a work folder),
+    which can go once the result is stored.
     """
     spark = df.sparkSession
-    staged = work_dir(spark, "ids")
+    staged = staging or work_dir(spark, "ids")
     position = F.monotonically_increasing_id()
     order = [*order_by, row_hash(df)]
     (

@@ -186,9 +186,7 @@ def scd2_history(spark: SparkSession, sf_dir: str) -> DataFrame:
     and writes open rows only."""
     before, today = _landed_securities(spark, sf_dir)
     history = HistoryTable(spark, work_dir(spark, "history"), medallion.SECURITY_SCHEMA)
-    history.append_version(
-        rebalanced(scd.scd2_backfill(before, "security_id"), "latest")
-    )
+    history.append_version(scd.scd2_backfill(before, "security_id"))
     history.merge(today, "security_id")
     return history.read()
 

@@ -24,8 +24,11 @@ def replace_partition(
 def rebalanced(df: DataFrame, column: str) -> DataFrame:
     """Rows of one ``column`` value brought together into files of a good size.
 
-    For loads of many dates: AQE merges small dates and splits a hot one.
+    For loads of many dates: AQE merges small dates and splits a hot one. Without
+    AQE nothing would split it, so the rows then stay where they are.
     """
+    if df.sparkSession.conf.get("spark.sql.adaptive.enabled") != "true":
+        return df
     return df.hint("rebalance", column)
 
 

@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tidewater.functions import text
+from tidewater.operators.spread import spread_if_few
 
 # Elements that never have an end tag, and those whose content is
 # not text of the page.
@@ -162,7 +163,7 @@ def select_cards(
                 ]
                 yield pa.RecordBatch.from_pylist(rows, schema=out)
 
-    return pages.mapInArrow(run, schema)
+    return spread_if_few(pages).mapInArrow(run, schema)
 
 
 def keyword_card_links(cards: DataFrame, title: str, keyword: str) -> DataFrame:

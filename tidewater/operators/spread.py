@@ -1,0 +1,18 @@
+"""Using all cores on small inputs."""
+
+from __future__ import annotations
+
+from pyspark.sql import DataFrame
+
+
+def spread_if_few(df: DataFrame) -> DataFrame:
+    """Rows over all cores when ``df`` has fewer input splits than cores.
+
+    For Python work that costs far more than moving the rows. A few small files give too
+    few tasks; a large input has splits enough and is left alone, so the shuffle
+    added here never carries more than one split per core.
+    """
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    if df.isStreaming or df.rdd.getNumPartitions() >= cores:
+        return df
+    return df.repartition(cores)

@@ -184,13 +184,20 @@ def test_safe_rerun_changes_nothing(spark, files, tmp_path):
 
 def test_safe_rerun_replaces_only_the_file_itself(spark, files, tmp_path):
     """A file with a stray row of another day must not touch that day's file."""
-    lake = Lake(spark, str(tmp_path / "lake"), safe_rerun=True)
+    create_database(spark, "bay")
+    lake = Lake(spark, str(tmp_path / "lake"), database="bay", safe_rerun=True)
     medallion.ingest_index_file(lake, f"{files}/index_20211201.csv")
     stray = FILES["index_20211202.csv"] + "\nMSCI,C9,X,BBG9,0.1,0.1,2021-12-01"
     (tmp_path / "index_20211202.csv").write_text(stray)
     for _ in range(2):
         medallion.ingest_index_file(lake, str(tmp_path / "index_20211202.csv"))
     assert spark.read.parquet(lake.path("index", "bronze")).count() == 4 + 7
+    by_file = spark.table("bay.index_bronze").groupBy("file_date", "business_date").count()
+    assert sorted(map(tuple, by_file.collect())) == [
+        ("2021-12-01", "2021-12-01", 4),
+        ("2021-12-02", "2021-12-01", 1),
+        ("2021-12-02", "2021-12-02", 6),
+    ]
     silver = spark.read.parquet(lake.path("index", "silver"))
     assert sorted(map(tuple, silver.groupBy("effective_business_date").count().selectExpr(
         "cast(effective_business_date as string)", "count").collect())) == [

@@ -154,11 +154,13 @@ def land(lake: Lake, domain: str, rows: DataFrame, file_date: str | None = None)
     their own.
     """
     path = lake.path(domain, "bronze")
+    schema, folders = BRONZE_SCHEMAS[domain], "business_date"
     if lake.safe_rerun and file_date is not None:
         replace_partition(rows, path, "file_date", file_date, "business_date")
-        return
-    append_partitioned(rows, path, "business_date")
-    lake.register(f"{domain}_bronze", path, BRONZE_SCHEMAS[domain], "business_date")
+        schema, folders = _strings([*schema.names, "file_date"]), "file_date, business_date"
+    else:
+        append_partitioned(rows, path, "business_date")
+    lake.register(f"{domain}_bronze", path, schema, folders)
 
 
 def _bronze(lake: Lake, domain: str) -> DataFrame:

@@ -1,11 +1,15 @@
 import itertools
+import subprocess
+import sys
 import unicodedata
 from urllib.parse import urljoin
 
 import pytest
+from pyspark import cloudpickle
 from pyspark.sql import functions as F
 
 from tidewater.functions import html, urls
+from tidewater.operators import cards
 from tidewater.operators.cards import keyword_card_links, select_cards
 from tidewater.operators.links import keyword_page_links, page_links
 
@@ -116,6 +120,18 @@ def test_broken_pages_do_not_fail_the_job(spark):
     assert {r[0] for r in got} >= {0, 1}
 
 
+def test_parser_runs_where_the_package_is_missing(tmp_path):
+    code = (
+        "import pickle, sys; parse = pickle.load(sys.stdin.buffer); "
+        "print(next(parse('<div><p> x&amp;y<p>z').find_all('p')).text())"
+    )
+    done = subprocess.run(
+        [sys.executable, "-c", code], input=cloudpickle.dumps(cards._parse),
+        cwd=tmp_path, capture_output=True, check=True,
+    )
+    assert done.stdout.decode().strip() == "x&yz"
+
+
 def test_many_pages_pass_in_slices(spark):
     pages = spark.range(500, numPartitions=2).select(
         F.col("id").alias("page_id"),

@@ -2,10 +2,12 @@
 
 from __future__ import annotations
 
+import sys
 from collections.abc import Iterator, Mapping
 from html.parser import HTMLParser
 
 import pyarrow as pa
+from pyspark import cloudpickle
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -13,6 +15,9 @@ from pyspark.sql import types as T
 from tidewater.functions import text
 from tidewater.operators.spread import spread_if_few
 
+# The parser below travels with the job, so workers need not have this package.
+cloudpickle.register_pickle_by_value(sys.modules[__name__])
+
 # Elements that never have an end tag, and those whose content is
 # not text of the page.
 VOID_TAGS = frozenset(

@@ -49,7 +49,9 @@ class MergeEncoder:
             if model.is_byte(i):
                 text = int(piece[3:5], 16)
                 self.byte_ids[text] = i
-            elif not (model.is_control(i) or model.is_unknown(i) or model.is_unused(i)):
+            elif model.is_unknown(i):
+                text = model.decode([i])
+            elif not (model.is_control(i) or model.is_unused(i)):
                 if MARK in piece.lstrip(MARK):
                     raise ValueError(f"a piece goes over a word's end: {piece!r}")
                 self.ids[piece], self.scores[piece] = i, model.get_score(i)
@@ -57,6 +59,7 @@ class MergeEncoder:
             self.texts.append(text)
         if len(self.byte_ids) < 256:
             raise ValueError("the vocabulary has no byte fallback")
+        self.marked = {i for piece, i in self.ids.items() if piece.startswith(MARK)}
         self.known: dict[str, np.ndarray] = {}
         self.unproven: list[str] = []
 
@@ -137,8 +140,13 @@ class MergeEncoder:
         """The text of ``ids``: byte runs as UTF-8, without the first word's mark."""
         parts: list[str] = []
         run = bytearray()
+        first = True
         for i in ids:
             text = self.texts[i]
+            if first and text is not None:
+                first = False
+                if isinstance(text, str):
+                    text = text.removeprefix(" ") if i in self.marked else text
             if isinstance(text, int):
                 run.append(text)
                 continue
@@ -149,7 +157,7 @@ class MergeEncoder:
                 parts.append(text)
         if run:
             parts.append(_from_bytes(run))
-        return "".join(parts).removeprefix(" ")
+        return "".join(parts)
 
 
 def _from_bytes(run: bytearray) -> str:

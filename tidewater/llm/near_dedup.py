@@ -211,8 +211,8 @@ def components(links: DataFrame) -> DataFrame:
             return labels
 
 
-def text_classes(docs: DataFrame, rows: DataFrame) -> tuple[DataFrame, DataFrame]:
-    """(key, class) of the distinct texts of ``rows`` that have links, and the links.
+def text_classes(docs: DataFrame, rows: DataFrame) -> DataFrame:
+    """key and class of the distinct texts of ``rows`` that have links.
 
     Texts of one band bucket are not paired with each other. A bucket's first text leads
     and is compared with the rest. What then still lies in different classes is compared
@@ -285,33 +285,29 @@ def text_classes(docs: DataFrame, rows: DataFrame) -> tuple[DataFrame, DataFrame
             F.count_if(~F.col("led")).alias("n"), F.min("class").alias("x"), F.max("class").alias("y")
         )
         if waiting.where("n > 1 AND x <> y").isEmpty():
-            return classes, links
+            return classes
         leaders *= 2
 
 
 def near_duplicates(documents: DataFrame) -> DataFrame:
-    """doc_id, class_id, class_size and n_links of every row of ``documents`` (doc_id, text).
+    """doc_id, class_id and class_size of every row of ``documents`` (doc_id, text).
 
     ``class_id`` is the least doc_id of the documents joined by chains of equal texts and
-    of texts with a similarity of SIMILARITY or more; ``n_links`` counts the verified
-    links of the row's text to different texts. A null text counts as empty; texts
+    of texts with a similarity of SIMILARITY or more. A null text counts as empty; texts
     without words are duplicates of exactly equal texts only. Null ids are in the
     classes of their texts; class_id is null if a class has no other id.
     """
     rows = written(signed(documents, ["doc_id"]), "dedup-rows")
-    classes, links = text_classes(documents, rows)
-    ends = links.select(F.col("a").alias("key")).unionByName(links.select(F.col("b").alias("key")))
-    degree = ends.groupBy("key").agg(F.count("*").alias("n_links"))
+    classes = text_classes(documents, rows)
     by_key = rows.groupBy("key").agg(F.min("doc_id").alias("least"), F.count("*").alias("n"))
     in_class = written(
         by_key.join(classes, "key", "left")
-        .join(degree, "key", "left")
-        .select("key", "least", "n", F.coalesce("class", "key").alias("class"), F.coalesce("n_links", F.lit(0)).alias("n_links")),
+        .select("key", "least", "n", F.coalesce("class", "key").alias("class")),
         "dedup-keys",
     )
     of_class = in_class.groupBy("class").agg(F.min("least").alias("class_id"), F.sum("n").alias("class_size"))
-    named = in_class.join(of_class, "class").select("key", "class_id", "class_size", "n_links")
-    return rows.select("doc_id", "key").join(named, "key").select("doc_id", "class_id", "class_size", "n_links")
+    named = in_class.join(of_class, "class").select("key", "class_id", "class_size")
+    return rows.select("doc_id", "key").join(named, "key").select("doc_id", "class_id", "class_size")
 
 
 def one_of_each(documents: DataFrame) -> DataFrame:
@@ -319,7 +315,7 @@ def one_of_each(documents: DataFrame) -> DataFrame:
     least doc_id, of equal ids the one of the least text key, and one of repeated rows.
     """
     rows = written(signed(documents, ["doc_id"]), "dedup-rows")
-    classes, _ = text_classes(documents, rows)
+    classes = text_classes(documents, rows)
     ids = rows.groupBy("key").agg(F.min(F.struct(F.col("doc_id").isNull().alias("_none"), "doc_id", "key")).alias("first"))
     stays = (
         ids.join(classes, "key", "left")

@@ -3,16 +3,22 @@
 from __future__ import annotations
 
 import sys
+from collections.abc import Iterator
 
+import numpy as np
 import public_tokenizers
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark import cloudpickle
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tidewater.session import work_dir
 
-# Ids below this many bytes of a table are certain to fit every executor.
+# A table of no more bytes may be sent to every executor.
 BROADCAST_BYTES = 32 << 20
+# Text that a task takes apart at one time, one longer text aside.
+TEXT_AT_ONCE = 2 << 20
 
 
 def travels(module: str) -> None:
@@ -49,3 +55,41 @@ def id_remainder(doc_id: str | Column, n: int) -> Column:
 def text_bytes(column: str = "text") -> Column:
     """The text as UTF-8 bytes; a null text is empty."""
     return F.coalesce(F.col(column), F.lit("")).cast("binary")
+
+
+def slices(batches: Iterator[pa.RecordBatch], column: str) -> Iterator[pa.RecordBatch]:
+    """The same rows in batches of TEXT_AT_ONCE bytes of ``column``, or one row.
+
+    Words of a text take many times its bytes as Python objects, so Arrow's batches are
+    too large to be taken apart as a whole.
+    """
+    for batch in batches:
+        ends = np.cumsum(pc.binary_length(batch[column]).fill_null(0).to_numpy(zero_copy_only=False))
+        start = 0
+        while start < batch.num_rows:
+            most = TEXT_AT_ONCE + (int(ends[start - 1]) if start else 0)
+            stop = max(start + 1, int(np.searchsorted(ends, most, "right")))
+            yield batch.slice(start, stop - start)
+            start = stop
+
+
+class Remembered:
+    """A map of bounded size: old entries go once ``most`` newer ones were used."""
+
+    def __init__(self, most: int):
+        self.most, self.new, self.old = most, {}, {}
+
+    def get(self, key):
+        value = self.new.get(key)
+        if value is None and (value := self.old.get(key)) is not None:
+            self.put(key, value)
+        return value
+
+    def put(self, key, value) -> None:
+        self.turn()[key] = value
+
+    def turn(self) -> dict:
+        """The newer entries, emptied if they are too many."""
+        if len(self.new) >= self.most:
+            self.old, self.new = self.new, {}
+        return self.new

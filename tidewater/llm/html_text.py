@@ -21,7 +21,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidewater.llm.common import BROADCAST_BYTES, table, travels, written
+from tidewater.llm.common import BROADCAST_BYTES, slices, table, travels, written
 from tidewater.llm.urls import host_of
 
 travels(__name__)
@@ -338,7 +338,7 @@ def wrappers(pages: DataFrame) -> DataFrame:
                 ["host", "share", "wrapper"],
             )
 
-        for batch in batches:
+        for batch in slices(batches, "html"):
             for host, page in zip(batch["host"].to_pylist(), batch["html"].to_pylist(), strict=True):
                 own = found.get(host)
                 if own is None:
@@ -399,7 +399,7 @@ def main_texts(pages: DataFrame) -> DataFrame:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         sets: dict[tuple, frozenset] = {}
-        for batch in batches:
+        for batch in slices(batches, "html"):
             texts = []
             for page, main in zip(batch["html"].to_pylist(), batch["main"].to_pylist(), strict=True):
                 key = tuple(main or ())

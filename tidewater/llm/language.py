@@ -10,7 +10,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidewater.llm.common import id_remainder, table, text_bytes, tokenizer_path, travels
+from tidewater.llm.common import id_remainder, slices, table, text_bytes, tokenizer_path, travels
 from tidewater.llm.lattice import Lattice, Vocabulary
 
 travels(__name__)
@@ -18,7 +18,7 @@ travels(__name__)
 # Distinct words a task holds before it passes their piece counts on.
 WORDS_AT_ONCE = 50_000
 # Words whose scores a task keeps for later texts.
-WORDS_KEPT = 300_000
+WORDS_KEPT = 150_000
 # Occurrences that a language's smoothing counts for.
 SMOOTHING = 500.0
 UNKNOWN = "und"
@@ -57,7 +57,7 @@ def fit(docs: DataFrame, path: str) -> LanguageModel:
             counts[:] += lattice.expected(list(words), weights)
             words.clear()
 
-        for batch in batches:
+        for batch in slices(batches, "text"):
             for text, lang in zip(batch[0].to_pylist(), batch[1].to_pylist(), strict=True):
                 k = at[lang]
                 for w in text.decode().lower().split():
@@ -99,7 +99,7 @@ def predict(docs: DataFrame, model: LanguageModel, text: str = "text") -> DataFr
         at: dict[str, int] = {}
         values = np.zeros((0, len(model.languages)))
         log_prior = np.log(model.prior)
-        for batch in batches:
+        for batch in slices(batches, "_bytes"):
             texts = [
                 b.decode().lower().split() if letter and lattice else None
                 for b, letter in zip(batch["_bytes"].to_pylist(), batch["_letters"].to_pylist(), strict=True)

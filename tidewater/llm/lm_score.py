@@ -11,15 +11,23 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidewater.llm.common import id_remainder, table, text_bytes, tokenizer_path, travels, written
+from tidewater.llm.common import (
+    id_remainder,
+    slices,
+    table,
+    text_bytes,
+    tokenizer_path,
+    travels,
+    written,
+)
 from tidewater.llm.lattice import Lattice, Vocabulary
 
 travels(__name__)
 
 # Distinct words a task holds before it passes their counts on.
-WORDS_AT_ONCE = 200_000
+WORDS_AT_ONCE = 150_000
 # Words at most that every task gets; the counts of all others reach it by a join.
-FREQUENT_WORDS = 150_000
+FREQUENT_WORDS = 100_000
 # Occurrences that the vocabulary's own scores count for.
 PRIOR_COUNT = 200.0
 # Estimation rounds of the pieces' probabilities.
@@ -55,7 +63,7 @@ def _word_counts(docs: DataFrame, classes: int) -> DataFrame:
                 [pa.array(words, pa.binary()), pa.array(sum(by)), *map(pa.array, by[:-1])], names
             )
 
-        for batch in batches:
+        for batch in slices(batches, "text"):
             for text, k in zip(batch[0].to_pylist(), batch[1].to_pylist(), strict=True):
                 counts[k].update(text.lower().split())
                 if sum(map(len, counts)) > WORDS_AT_ONCE:
@@ -232,7 +240,7 @@ def score(docs: DataFrame, model: Model, columns: list[str]) -> DataFrame:
         of_word = np.vstack([of_word, np.zeros((1, 2 + size))])
         of_end = np.array([float(ends > 0), end_base, *end_p])
         none, get = len(at), at.get
-        for batch in batches:
+        for batch in slices(batches, "text"):
             n, sums, rare = [], [], []
             for text in batch["text"].to_pylist():
                 words = text.lower().split()

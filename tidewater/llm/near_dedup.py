@@ -13,7 +13,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from tidewater.llm.common import table, text_bytes, travels, written
+from tidewater.llm.common import slices, table, text_bytes, travels, written
 
 travels(__name__)
 
@@ -127,7 +127,7 @@ def signed(docs: DataFrame, kept: list[str]) -> DataFrame:
     """``kept`` columns with the text's key (two hashes), size (shingles) and bands."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in slices(batches, "_bytes"):
             sizes, bands = [], []
             for raw in batch["_bytes"].to_pylist():
                 hashes, weights = shingles(raw)
@@ -163,7 +163,7 @@ def verified(pairs: DataFrame, texts: DataFrame) -> DataFrame:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         last, bag = None, None
-        for batch in batches:
+        for batch in slices(batches, "text_b"):
             found = []
             columns = [batch[c].to_pylist() for c in ("a", "text_a", "text_b")]
             for a, text_a, text_b in zip(*columns, strict=True):

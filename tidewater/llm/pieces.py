@@ -9,7 +9,9 @@ sentencepiece library.
 from __future__ import annotations
 
 import heapq
+import itertools
 import re
+import struct
 from collections.abc import Iterator
 
 import numpy as np
@@ -19,13 +21,16 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tidewater.llm.common import table, text_bytes, tokenizer_path, travels
+from tidewater.llm.common import Remembered, slices, table, text_bytes, tokenizer_path, travels
 
 travels(__name__)
 
 MARK = "▁"
-# Words whose ids a task keeps for later texts.
-WORDS_KEPT = 300_000
+# Words, and parts of words, whose ids a task keeps for later texts.
+WORDS_KEPT = 120_000
+# Words up to this length have their agenda in a list.
+SHORT = 48
+NONE = float("-inf")
 
 
 class MergeEncoder:
@@ -60,11 +65,30 @@ class MergeEncoder:
         if len(self.byte_ids) < 256:
             raise ValueError("the vocabulary has no byte fallback")
         self.marked = {i for piece, i in self.ids.items() if piece.startswith(MARK)}
-        self.known: dict[str, np.ndarray] = {}
-        self.unproven: list[str] = []
+        self.special = np.array([not isinstance(t, str) for t in self.texts])
+        self.beside = {pair for piece in self.ids for pair in zip(piece, piece[1:])}
+        self.words, self.segments = Remembered(WORDS_KEPT), Remembered(WORDS_KEPT)
+        self.unproven: list[tuple[str, bytes]] = []
 
     def merged(self, word: str) -> list[str]:
         """The symbols of ``word`` after all merges."""
+        if len(word) > SHORT:
+            return self._merged_long(word)
+        # The agenda of a short word is the list of its pairs' scores, left to right.
+        get, symbols = self.scores.get, list(word)
+        agenda = [get(a + b, NONE) for a, b in zip(word, word[1:])]
+        while agenda and (best := max(agenda)) != NONE:
+            i = agenda.index(best)
+            symbols[i] += symbols.pop(i + 1)
+            del agenda[i]
+            if i:
+                agenda[i - 1] = get(symbols[i - 1] + symbols[i], NONE)
+            if i < len(agenda):
+                agenda[i] = get(symbols[i] + symbols[i + 1], NONE)
+        return symbols
+
+    def _merged_long(self, word: str) -> list[str]:
+        """The same with the agenda in a heap, from which stale pairs are skipped."""
         scores, symbols = self.scores, list(word)
         n = len(symbols)
         left, right = list(range(-1, n - 1)), list(range(1, n + 1))
@@ -92,32 +116,46 @@ class MergeEncoder:
                 offer(left[i], i)
         return [s for s in symbols if s]
 
-    def _encode_word(self, word: str) -> np.ndarray:
-        out: list[int] = []
-        for symbol in self.merged(word):
-            found = self.ids.get(symbol)
-            if found is not None:
-                out.append(found)
-            else:
-                out.extend(self.byte_ids[b] for b in symbol.encode())
-        self.unproven.append(word)
-        return np.array(out, np.int32)
+    def _segment_ids(self, segment: str) -> bytes:
+        ids = self.segments.get(segment)
+        if ids is None:
+            out: list[int] = []
+            for symbol in self.merged(segment):
+                found = self.ids.get(symbol)
+                if found is not None:
+                    out.append(found)
+                else:
+                    out.extend(self.byte_ids[b] for b in symbol.encode())
+            ids = struct.pack(f"={len(out)}i", *out)
+            self.segments.put(segment, ids)
+            if segment[0] == MARK:
+                self.unproven.append((segment, ids))
+        return ids
+
+    def _word_ids(self, word: str) -> bytes:
+        """Parts a word from punctuation behind it where no piece has both side by side."""
+        core = word.rstrip(".,!?:;")
+        n = len(core)
+        if 1 < n < len(word) and (core[-1], word[n]) not in self.beside:
+            return self._segment_ids(core) + self._segment_ids(word[n:])
+        return self._segment_ids(word)
 
     def _check(self) -> None:
         """Compares the words met since the last call with the library."""
-        # The library puts one mark before the text, so the word's own first mark goes.
-        texts = [w[1:].replace(MARK, " ") for w in self.unproven]
-        for word, ids in zip(self.unproven, self.library.encode(texts, num_threads=1), strict=True):
-            # No text gives a mark alone; it is the piece itself.
-            ids = ids or [self.library.piece_to_id(word)]
-            if self.known[word].tolist() != ids:
-                raise RuntimeError(f"the library encodes {word!r} otherwise")
+        # The library puts one mark before the text, so the word's own first mark goes;
+        # no text gives a mark alone, which is the piece itself.
+        proven = [(w, ids) for w, ids in self.unproven if w != MARK]
+        texts = [w[1:].replace(MARK, " ") for w, _ in proven]
+        found = self.library.encode(texts, num_threads=1)
+        flat = np.fromiter(itertools.chain.from_iterable(found), np.int32)
+        if flat.tobytes() != b"".join([ids for _, ids in proven]):
+            for (word, ids), other in zip(proven, found, strict=True):
+                if np.frombuffer(ids, np.int32).tolist() != other:
+                    raise RuntimeError(f"the library encodes {word!r} otherwise")
         self.unproven.clear()
 
     def encode(self, texts: list[str]) -> list[np.ndarray]:
-        if len(self.known) > WORDS_KEPT:
-            self.known.clear()
-        known, out = self.known, []
+        get, put, out = self.words.get, self.words.put, []
         for text in texts:
             if not text:
                 out.append(np.zeros(0, np.int32))
@@ -126,16 +164,26 @@ class MergeEncoder:
                 words = re.findall(f"{MARK}+[^{MARK}]*", MARK + text.replace(" ", MARK))
             else:
                 words = (MARK + text.replace(" ", f" {MARK}")).split(" ")
-            parts = []
-            for w in words:
-                ids = known.get(w)
-                if ids is None:
-                    ids = known[w] = self._encode_word(w)
-                parts.append(ids)
-            out.append(np.concatenate(parts))
+            parts = list(map(self.words.new.get, words))
+            if None in parts:
+                for k, ids in enumerate(parts):
+                    if ids is None:
+                        word = words[k]
+                        ids = get(word)
+                        if ids is None:
+                            ids = self._word_ids(word)
+                            put(word, ids)
+                        parts[k] = ids
+            out.append(np.frombuffer(b"".join(parts), np.int32))
         self._check()
         return out
 
+    def decode_array(self, ids: np.ndarray) -> str:
+        """``decode`` with less work where no single bytes occur."""
+        if len(ids) == 0 or self.special[ids].any() or int(ids[0]) not in self.marked:
+            return self.decode(ids.tolist())
+        return "".join(map(self.texts.__getitem__, ids.tolist()))[1:]
+
     def decode(self, ids: list[int]) -> str:
         """The text of ``ids``: byte runs as UTF-8, without the first word's mark."""
         parts: list[str] = []
@@ -180,25 +228,33 @@ def _from_bytes(run: bytearray) -> str:
         return "".join(out)
 
 
-def encode(docs: DataFrame, text: str = "text", to: str = "ids", path: str | None = None) -> DataFrame:
+def encode(
+    docs: DataFrame, text: str = "text", to: str = "ids", decoded: str | None = None, path: str | None = None
+) -> DataFrame:
     """``docs`` with the ids of ``text`` in place of the text, as array<int> ``to``.
 
-    Whole texts, without begin or end ids. A null text is empty and has no ids. A
-    column that is called ``to`` already is replaced.
+    Whole texts, without begin or end ids. A null text is empty and has no ids.
+    ``decoded`` names a column for what the ids decode to. Columns that have these names
+    already are replaced.
     """
     path = path or tokenizer_path("piece_bpe_32k.model")
-    kept = [c for c in docs.columns if c not in (text, to)]
+    kept = [c for c in docs.columns if c not in (text, to, decoded)]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         encoder = MergeEncoder(path)
-        for batch in batches:
+        for batch in slices(batches, "_bytes"):
             ids = encoder.encode([b.decode() for b in batch["_bytes"].to_pylist()])
             starts = np.cumsum([0, *map(len, ids)], dtype=np.int32)
             flat = np.concatenate([*ids, np.zeros(0, np.int32)])
-            made = pa.ListArray.from_arrays(pa.array(starts, pa.int32()), pa.array(flat))
-            yield pa.RecordBatch.from_arrays([*[batch[c] for c in kept], made], [*kept, to])
+            columns = [batch[c] for c in kept]
+            columns.append(pa.ListArray.from_arrays(pa.array(starts, pa.int32()), pa.array(flat)))
+            if decoded:
+                columns.append(pa.array(map(encoder.decode_array, ids), pa.string()))
+            yield pa.RecordBatch.from_arrays(columns, names)
 
+    names = [*kept, to, *([decoded] if decoded else [])]
     schema = docs.select(*kept).schema.add(to, T.ArrayType(T.IntegerType()))
+    schema = schema.add(decoded, "string") if decoded else schema
     return docs.select(*kept, text_bytes(text).alias("_bytes")).mapInArrow(run, schema)
 
 
@@ -220,7 +276,7 @@ def decode(docs: DataFrame, ids: str = "ids", to: str = "decoded", path: str | N
 
 def op8_pieces(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
-    return decode(encode(docs)).select(
+    return encode(docs, decoded="decoded").select(
         "doc_id",
         F.size("ids").cast("long").alias("n_tokens"),
         F.sha2(F.concat_ws(",", F.col("ids").cast("array<string>")).cast("binary"), 256).alias("ids_sha256"),

@@ -11,7 +11,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tidewater.llm.common import table, text_bytes, travels, written
+from tidewater.llm.common import slices, table, text_bytes, travels, written
 
 travels(__name__)
 
@@ -94,7 +94,7 @@ def with_counts(docs: DataFrame, text: str = "text") -> DataFrame:
     kept = [c for c in docs.columns if c != text and c not in names]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in slices(batches, "_bytes"):
             found = np.array([counts_of(b) for b in batch["_bytes"].to_pylist()], np.int64)
             found = found.reshape(-1, len(names))
             columns = [batch[c] for c in kept] + [pa.array(found[:, k]) for k in range(len(names))]
@@ -245,7 +245,7 @@ def good_documents(documents: DataFrame, labels: DataFrame) -> DataFrame:
     columns = documents.columns
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in slices(batches, "_bytes"):
             counts = np.array([counts_of(b) for b in batch["_bytes"].to_pylist()], np.int64).reshape(-1, 10)
             passed = (counts[:, 0] >= LEAST_WORDS) & (100 * counts[:, 4] <= MOST_REPEATED * counts[:, 0])
             if forest.trees:

@@ -7,7 +7,9 @@ readers take stripes in parallel and skip those without the wanted documents.
 
 from __future__ import annotations
 
+import itertools
 import os
+import struct
 import zlib
 from collections.abc import Iterator
 
@@ -18,50 +20,118 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
-from tidewater.llm.common import table, text_bytes, tokenizer_path, travels
+from tidewater.llm.common import Remembered, slices, table, text_bytes, tokenizer_path, travels
 from tidewater.session import work_dir
 
 travels(__name__)
 
 END_ID = 1
-# Words whose ids a task keeps for later texts.
-WORDS_KEPT = 300_000
+# Words, and words without punctuation, whose ids a task keeps for later texts.
+WORDS_KEPT = 150_000
+# Runs of letters that the library gets as one text.
+WORDS_TOGETHER = 500
 SCHEMA = "doc_id long, part int, part_start long, n_tokens int, ids array<int>"
 
 
+class WordEncoder:
+    """Encodes each word between white space once while it is remembered.
+
+    The vocabulary's rules never look over white space, take letters of either case as
+    the same, part a letter or digit from ASCII punctuation behind it, and end each run
+    of letters with an id that no run has before its end.
+    """
+
+    def __init__(self, path: str):
+        self.tokenizer = Tokenizer.from_file(path)
+        self.words, self.cores = Remembered(WORDS_KEPT), Remembered(WORDS_KEPT)
+        vocabulary = self.tokenizer.get_vocab()
+        self.ends = np.zeros(max(vocabulary.values()) + 1, bool)
+        self.ends[[i for piece, i in vocabulary.items() if piece.endswith("</w>")]] = True
+
+    def _library(self, words: list[bytes]) -> list[bytes]:
+        """The ids of each of ``words``, which hold no white space."""
+        texts = [w.decode() for w in words]
+        encode = self.tokenizer.encode_batch_fast
+        runs = [k for k, text in enumerate(texts) if text.isalpha()]
+        out: list[bytes | None] = [None] * len(words)
+        # Runs of letters go as one text for each WORDS_TOGETHER, cut after their ends.
+        together = [runs[k : k + WORDS_TOGETHER] for k in range(0, len(runs), WORDS_TOGETHER)]
+        joined = encode([" ".join([texts[k] for k in part]) for part in together], add_special_tokens=False)
+        for part, found in zip(together, joined, strict=True):
+            ids = np.array(found.ids, np.int32)
+            edges = np.flatnonzero(self.ends[ids]) + 1
+            if len(edges) == len(part):
+                raw, first = ids.tobytes(), 0
+                for k, last in zip(part, (4 * edges).tolist(), strict=True):
+                    out[k] = raw[first:last]
+                    first = last
+        others = [k for k, ids in enumerate(out) if ids is None]
+        for k, found in zip(others, encode([texts[k] for k in others], add_special_tokens=False), strict=True):
+            out[k] = struct.pack(f"={len(found.ids)}i", *found.ids)
+        return out
+
+    def _learn(self, words: list[bytes]) -> None:
+        cut: dict[bytes, tuple[bytes, bytes]] = {}
+        for w in words:
+            core = w.rstrip(b".,!?:;")
+            if core and core != w and (core[-1:].isalnum() or core.decode()[-1].isalpha()):
+                cut[w] = (core, w[len(core) :])
+            else:
+                cut[w] = (w, b"")
+        parts = dict.fromkeys(p for both in cut.values() for p in both if p)
+        parts = {p: self.cores.get(p) for p in parts}
+        missing = [p for p, ids in parts.items() if ids is None]
+        for p, ids in zip(missing, self._library(missing), strict=True):
+            parts[p] = ids
+            self.cores.put(p, ids)
+        parts[b""] = b""
+        self.words.new.update((w, parts[core] + parts[tail]) for w, (core, tail) in cut.items())
+
+    def encode(self, texts: list[bytes]) -> list[bytes]:
+        """The ids of each text as 32-bit integers."""
+        # Special tokens are told apart by case.
+        split = [(t if b"<|" in t else t.lower()).split() for t in texts]
+        flat = list(itertools.chain.from_iterable(split))
+        have = self.words.turn()
+        found = list(map(have.get, flat))
+        if None in found:
+            new = {w for w, ids in zip(flat, found, strict=True) if ids is None}
+            older = self.words.old
+            have.update((w, older[w]) for w in new if w in older)
+            self._learn([w for w in new if w not in have])
+            found = list(map(have.get, flat))
+        out, at = [], 0
+        for words in split:
+            out.append(b"".join(found[at : at + len(words)]))
+            at += len(words)
+        return out
+
+
 def encode(docs: DataFrame, path: str, end_id: int = END_ID) -> DataFrame:
     """SCHEMA rows from ``docs`` (doc_id, text as bytes), whose partitions hold ascending ids.
 
-    ``part_start`` counts the ids before a document in its partition. The library
-    encodes each word between white space once while a task remembers it: its
-    vocabulary's rules never look over white space.
+    ``part_start`` counts the ids before a document in its partition.
     """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
-        tokenizer = Tokenizer.from_file(path)
+        encoder = WordEncoder(path)
         part, start = TaskContext.get().partitionId(), 0
-        known: dict[bytes, np.ndarray] = {}
-        end = np.array([end_id], np.int32)
-        for batch in batches:
-            texts = [b.split() for b in batch["text"].to_pylist()]
-            if len(known) > WORDS_KEPT:
-                known.clear()
-            new = list(dict.fromkeys(w for words in texts for w in words if w not in known))
-            found = tokenizer.encode_batch_fast([w.decode() for w in new], add_special_tokens=False)
-            known.update((w, np.array(e.ids, np.int32)) for w, e in zip(new, found, strict=True))
-            ids = [np.concatenate([*[known[w] for w in words], end]) for words in texts]
-            sizes = np.array([len(x) for x in ids], np.int64)
+        end = np.array([end_id], np.int32).tobytes()
+        for batch in slices(batches, "text"):
+            ids = [x + end for x in encoder.encode(batch["text"].to_pylist())]
+            sizes = np.array([len(x) // 4 for x in ids], np.int64)
             starts = start + np.cumsum(sizes) - sizes
             start += int(sizes.sum())
             offsets = np.concatenate([[0], np.cumsum(sizes)]).astype(np.int32)
+            flat = np.frombuffer(b"".join(ids), np.int32)
             yield pa.RecordBatch.from_arrays(
                 [
                     batch["doc_id"],
                     pa.array(np.full(len(ids), part, np.int32)),
                     pa.array(starts),
                     pa.array(sizes.astype(np.int32)),
-                    pa.ListArray.from_arrays(pa.array(offsets), pa.array(np.concatenate([*ids, end[:0]]))),
+                    pa.ListArray.from_arrays(pa.array(offsets), pa.array(flat)),
                 ],
                 ["doc_id", "part", "part_start", "n_tokens", "ids"],
             )

@@ -27,7 +27,7 @@ travels(__name__)
 
 END_ID = 1
 # Words, and words without punctuation, whose ids a task keeps for later texts.
-WORDS_KEPT = 150_000
+WORDS_KEPT = 250_000
 # Runs of letters that the library gets as one text.
 WORDS_TOGETHER = 500
 SCHEMA = "doc_id long, part int, part_start long, n_tokens int, ids array<int>"

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import string
+from collections import Counter
 from collections.abc import Iterator
 from dataclasses import dataclass
 
@@ -16,12 +18,19 @@ from tidewater.llm.lattice import Lattice, Vocabulary
 travels(__name__)
 
 # Distinct words a task holds before it passes their piece counts on.
-WORDS_AT_ONCE = 50_000
+WORDS_AT_ONCE = 200_000
 # Words whose scores a task keeps for later texts.
 WORDS_KEPT = 150_000
 # Occurrences that a language's smoothing counts for.
 SMOOTHING = 500.0
 UNKNOWN = "und"
+PUNCTUATION = string.punctuation
+
+
+def words_of(raw: bytes) -> list[str]:
+    """Lower-case words between white space, without ASCII punctuation around them."""
+    words = [w.strip(PUNCTUATION) for w in raw.decode().lower().split()]
+    return list(filter(None, words))
 
 
 @dataclass
@@ -47,28 +56,24 @@ def fit(docs: DataFrame, path: str) -> LanguageModel:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         lattice = Lattice(vocabulary, vocabulary.prior)
         counts = np.zeros((len(vocabulary), len(at)))
-        words: dict[str, dict[int, int]] = {}
+        by_language = [Counter() for _ in at]
 
         def count() -> None:
-            weights = np.zeros((len(words), len(at)))
-            for k, by in enumerate(words.values()):
-                for lang, n in by.items():
-                    weights[k, lang] = n
-            counts[:] += lattice.expected(list(words), weights)
-            words.clear()
+            words = list(dict.fromkeys(w for by in by_language for w in by))
+            for k in range(0, len(words), 10_000):
+                part = words[k : k + 10_000]
+                weights = np.array([[by[w] for by in by_language] for w in part], float)
+                counts[:] += lattice.expected(part, weights)
+            for by in by_language:
+                by.clear()
 
         for batch in slices(batches, "text"):
             for text, lang in zip(batch[0].to_pylist(), batch[1].to_pylist(), strict=True):
-                k = at[lang]
-                for w in text.decode().lower().split():
-                    by = words.get(w)
-                    if by is None:
-                        words[w] = {k: 1}
-                    else:
-                        by[k] = by.get(k, 0) + 1
-                if len(words) > WORDS_AT_ONCE:
+                by_language[at[lang]].update(words_of(text))
+                if sum(map(len, by_language)) > WORDS_AT_ONCE:
                     count()
-        count()
+        if any(by_language):
+            count()
         rows, columns = np.nonzero(counts)
         yield pa.RecordBatch.from_arrays(
             [pa.array(rows), pa.array(columns), pa.array(counts[rows, columns])], ["piece", "lang", "n"]
@@ -95,13 +100,13 @@ def predict(docs: DataFrame, model: LanguageModel, text: str = "text") -> DataFr
     source = docs.select(*kept, letters.alias("_letters"), text_bytes(text).alias("_bytes"))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        lattice = Lattice(model.vocabulary, model.p) if model.languages else None
+        lattice = Lattice(model.vocabulary, model.p, linear=True) if model.languages else None
         at: dict[str, int] = {}
         values = np.zeros((0, len(model.languages)))
         log_prior = np.log(model.prior)
         for batch in slices(batches, "_bytes"):
             texts = [
-                b.decode().lower().split() if letter and lattice else None
+                words_of(b) if letter and lattice else None
                 for b, letter in zip(batch["_bytes"].to_pylist(), batch["_letters"].to_pylist(), strict=True)
             ]
             if len(at) > WORDS_KEPT:

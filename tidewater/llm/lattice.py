@@ -57,6 +57,49 @@ class Vocabulary:
         return len(self.prior)
 
 
+class _PieceTable:
+    """Row of every piece by a 64-bit hash of its characters, for arrays of substrings."""
+
+    BITS = 17
+    ODD = np.uint64(0x9E3779B97F4A7C15)
+
+    def __init__(self, at: dict[str, int]):
+        hashes = np.array([self.of_piece(piece) for piece in at], np.uint64)
+        rows = np.array(list(at.values()), np.int64)
+        self.levels: list[tuple[np.uint64, np.ndarray, np.ndarray]] = []
+        # What shares a slot goes to a further table with other slots.
+        while len(hashes):
+            shift = np.uint64(64 - self.BITS - len(self.levels))
+            slots, first = np.unique((hashes * self.ODD) >> shift, return_index=True)
+            keys, values = np.zeros(1 << self.BITS, np.uint64), np.zeros(1 << self.BITS, np.int64)
+            slots = slots & np.uint64((1 << self.BITS) - 1)
+            keys[slots], values[slots] = hashes[first], rows[first]
+            self.levels.append((shift, keys, values))
+            left = self.find(hashes) != rows
+            hashes, rows = hashes[left], rows[left]
+
+    @classmethod
+    def of_piece(cls, piece: str) -> int:
+        h = 0
+        for c in piece:
+            h = ((h ^ ord(c)) + 1) * int(cls.ODD) % 2**64
+        return h
+
+    @classmethod
+    def longer(cls, h: np.ndarray, codes: np.ndarray) -> np.ndarray:
+        """Hashes of substrings made one character longer."""
+        return ((h ^ codes) + np.uint64(1)) * cls.ODD
+
+    def find(self, hashes: np.ndarray) -> np.ndarray:
+        """Rows, 0 where there is no such piece."""
+        mixed = hashes * self.ODD
+        out = np.zeros(hashes.shape, np.int64)
+        for shift, keys, values in self.levels:
+            slots = ((mixed >> shift) & np.uint64((1 << self.BITS) - 1)).astype(np.int64)
+            np.copyto(out, values[slots], where=keys[slots] == hashes)
+        return out
+
+
 def _log_sum(terms: np.ndarray) -> np.ndarray:
     top = terms.max(axis=0)
     return top + np.log(np.exp(terms - top).sum(axis=0))
@@ -65,16 +108,20 @@ def _log_sum(terms: np.ndarray) -> np.ndarray:
 class Lattice:
     """Marginal log-probabilities of words under ``p`` (pieces x L)."""
 
-    def __init__(self, vocabulary: Vocabulary, p: np.ndarray):
+    def __init__(self, vocabulary: Vocabulary, p: np.ndarray, linear: bool = False):
+        """``linear`` sums probabilities themselves where they are no smaller than 1e-250."""
+        self.linear = linear
         p = p.reshape(len(vocabulary), -1)
         # Row 0 is the arc that does not exist.
         self.log_p = np.vstack([np.full((1, p.shape[1]), -np.inf), np.log(p)])
+        self.p = np.exp(self.log_p)
         self.at = {piece: row + 1 for piece, row in vocabulary.rows.items()}
         self.byte_at = {b: row + 1 for b, row in vocabulary.byte_rows.items()}
         self.longest = max(map(len, self.at))
         self.known = {c for c in self.at if len(c) == 1}
         self.size = len(vocabulary)
         self.extra: list[list[int]] = []
+        self.table = _PieceTable(self.at)
         self.spans: dict[int, list[tuple[int, int]]] = {}
 
     def _learn(self, word: str) -> None:
@@ -87,17 +134,37 @@ class Lattice:
             self.extra.append(parts)
             rows.append(self.log_p[parts].sum(axis=0))
         self.log_p = np.vstack([self.log_p, *rows])
+        self.p = np.exp(self.log_p)
+        self.table = _PieceTable(self.at)
 
     def _arcs(self, words: Sequence[str], n: int) -> np.ndarray:
+        """Rows of the substrings of ``words``, all of length ``n``, by end and start."""
         if n not in self.spans:
             self.spans[n] = [
                 (i, j) for j in range(1, n + 1) for i in range(max(0, j - self.longest), j)
             ]
-        spans, get = self.spans[n], self.at.get
-        for w in words:
-            if not self.known.issuperset(w):
-                self._learn(w)
-        return np.array([[get(w[i:j], 0) for i, j in spans] for w in words], np.int64).T
+        text = "".join(words)
+        if not self.known.issuperset(text):
+            self._learn(text)
+        at = {span: k for k, span in enumerate(self.spans[n])}
+        codes = np.frombuffer(text.encode("utf-32-le", "surrogatepass"), np.uint32)
+        codes = codes.reshape(len(words), n).T.astype(np.uint64)
+        arcs = np.empty((len(at), len(words)), np.int64)
+        hashes = np.zeros_like(codes)
+        for k in range(1, min(n, self.longest) + 1):
+            hashes = self.table.longer(hashes[: n - k + 1], codes[k - 1 :])
+            arcs[[at[i, i + k] for i in range(n - k + 1)]] = self.table.find(hashes)
+        return arcs
+
+    def _forward_linear(self, arcs: np.ndarray, n: int) -> np.ndarray:
+        total = np.empty((n + 1, arcs.shape[1], self.p.shape[1]))
+        total[0] = 1.0
+        k = 0
+        for j in range(1, n + 1):
+            first = max(0, j - self.longest)
+            np.einsum("iwl,iwl->wl", total[first:j], self.p[arcs[k : k + j - first]], out=total[j])
+            k += j - first
+        return total
 
     def _forward(self, arcs: np.ndarray, n: int) -> np.ndarray:
         width = arcs.shape[1]
@@ -139,8 +206,18 @@ class Lattice:
             if n > LONG:
                 for at in where:
                     out[at] = self._long(words[at])
-            else:
-                out[where] = self._forward(self._arcs([words[at] for at in where], n), n)[n]
+                continue
+            arcs = self._arcs([words[at] for at in where], n)
+            if not self.linear:
+                out[where] = self._forward(arcs, n)[n]
+                continue
+            found = self._forward_linear(arcs, n)[n]
+            small = np.flatnonzero((found < 1e-250).any(axis=1))
+            with np.errstate(divide="ignore"):
+                found = np.log(found)
+            if len(small):
+                found[small] = self._forward(arcs[:, small], n)[n]
+            out[where] = found
         return out
 
     def expected(self, words: Sequence[str], weights: np.ndarray) -> np.ndarray:

@@ -147,7 +147,7 @@ def canonical_json(records: DataFrame, column: str, conv_id: str = "conv_id") ->
                 yield pa.RecordBatch.from_arrays([ids, *made], ["conv_id", "turn", "role", "text"])
 
     source = records.select(F.col(conv_id).alias("conv_id"), F.col(column))
-    schema = source.select("conv_id").schema.add("turn", "int").add("role", "string").add("text", "string")
+    schema = source.select("conv_id").schema.add("turn", "integer").add("role", "string").add("text", "string")
     return source.mapInArrow(run, schema)
 
 

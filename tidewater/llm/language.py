@@ -89,13 +89,16 @@ def fit(docs: DataFrame, path: str) -> LanguageModel:
     return LanguageModel(vocabulary, languages, prior / max(prior.sum(), 1.0), p / p.sum(axis=0))
 
 
-def predict(docs: DataFrame, model: LanguageModel, text: str = "text") -> DataFrame:
-    """``docs`` with lang_pred and score, the posterior probability of lang_pred.
+def predict(
+    docs: DataFrame, model: LanguageModel, text: str = "text", to: tuple[str, str] = ("lang_pred", "score")
+) -> DataFrame:
+    """``docs`` with the columns ``to``: the predicted language and its score, the posterior probability
+    of that language.
 
     Reads the whole text. A text that is null or has no letter, and every text if
     nothing was learned, is ``und`` with score 0. Columns of these names are replaced.
     """
-    kept = [c for c in docs.columns if c not in ("lang_pred", "score")]
+    kept = [c for c in docs.columns if c not in to]
     letters = F.coalesce(F.col(text).rlike(r"\p{L}"), F.lit(False))
     source = docs.select(*kept, letters.alias("_letters"), text_bytes(text).alias("_bytes"))
 
@@ -128,10 +131,10 @@ def predict(docs: DataFrame, model: LanguageModel, text: str = "text") -> DataFr
             columns = [batch[c] for c in kept]
             yield pa.RecordBatch.from_arrays(
                 [*columns, pa.array(names, pa.string()), pa.array(scores, pa.float64())],
-                [*kept, "lang_pred", "score"],
+                [*kept, *to],
             )
 
-    schema = docs.select(*kept).schema.add("lang_pred", "string").add("score", "double")
+    schema = docs.select(*kept).schema.add(to[0], "string").add(to[1], "double")
     return source.mapInArrow(run, schema)
 
 
@@ -152,11 +155,10 @@ def languages(documents: DataFrame, path: str | None = None) -> DataFrame:
 def known_language(documents: DataFrame, path: str | None = None, least: float = 0.5) -> DataFrame:
     """The rows of ``documents`` whose language is told with a score of ``least`` or more."""
     model = fit(training_rows(documents), path or tokenizer_path("piece_bpe_32k.model"))
-    taken = [c for c in documents.columns if c not in ("lang_pred", "score")]
     return (
-        predict(documents.select(*taken), model)
-        .where((F.col("lang_pred") != UNKNOWN) & (F.col("score") >= least))
-        .select(*taken)
+        predict(documents, model, to=("_language", "_certainty"))
+        .where((F.col("_language") != UNKNOWN) & (F.col("_certainty") >= least))
+        .select(*documents.columns)
     )
 
 

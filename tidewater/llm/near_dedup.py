@@ -214,8 +214,8 @@ def components(links: DataFrame) -> DataFrame:
 def text_classes(docs: DataFrame, rows: DataFrame) -> DataFrame:
     """key and class of the distinct texts of ``rows`` that have links.
 
-    Texts of one band bucket are not paired with each other. A bucket's first text leads
-    and is compared with the rest. What then still lies in different classes is compared
+    Texts of one band bucket are not paired with each other. A bucket's most central text
+    leads and is compared with the rest. What then still lies in different classes is compared
     with 2, 4, 8 ... further leaders, until every bucket is one class or all its texts
     have led: no link between classes is lost, and a bucket of copies costs a multiple of
     its size.
@@ -224,7 +224,10 @@ def text_classes(docs: DataFrame, rows: DataFrame) -> DataFrame:
     one = rows.where("size > 0").groupBy("key").agg(F.first("size").alias("size"), F.first("bands").alias("bands"))
     members = one.select("key", "size", F.posexplode("bands").alias("band", "hash"))
     full = members.groupBy("band", "hash").agg(F.count("*").alias("n")).where("n > 1")
-    members = written(members.join(full.drop("n"), ["band", "hash"]), "dedup-members")
+    members = written(members.join(full, ["band", "hash"]), "dedup-members")
+    # Texts that share many buckets with many others lead first: the text that a group of
+    # copies was made from is near to all of them, while two of its copies may not be.
+    pull = members.groupBy("key").agg(F.sum("n").alias("pull"))
     wanted = members.select("key").distinct()
     texts = written(
         docs.select(text_key().alias("key"), text_bytes().alias("text"))
@@ -234,7 +237,8 @@ def text_classes(docs: DataFrame, rows: DataFrame) -> DataFrame:
         "dedup-texts",
     )
     links = spark.createDataFrame([], "a binary, b binary, similarity double")
-    state = members.select("*", F.col("key").alias("class"), F.lit(False).alias("led"))
+    state = members.drop("n").join(pull, "key")
+    state = state.select("*", F.col("key").alias("class"), F.lit(False).alias("led"))
     classes, leaders, seen = None, 1, None
     while True:
         split = (
@@ -245,10 +249,10 @@ def text_classes(docs: DataFrame, rows: DataFrame) -> DataFrame:
         )
         state = written(state.join(split, ["band", "hash"]), "dedup-state")
         if leaders == 1:
-            chosen = state.groupBy("band", "hash").agg(F.min_by(F.struct("key", "size", "class"), "key").alias("l"))
+            chosen = state.groupBy("band", "hash").agg(F.max_by(F.struct("key", "size", "class"), F.struct("pull", "key")).alias("l"))
         else:
             # Spark keeps only the first rows of each bucket before the shuffle.
-            rank = F.row_number().over(Window.partitionBy("band", "hash").orderBy("key"))
+            rank = F.row_number().over(Window.partitionBy("band", "hash").orderBy(F.desc("pull"), "key"))
             chosen = (
                 state.where("NOT led")
                 .withColumn("rank", rank)
@@ -276,7 +280,7 @@ def text_classes(docs: DataFrame, rows: DataFrame) -> DataFrame:
             .join(led, ["band", "hash", "key"], "left")
             .join(classes, "key", "left")
             .select(
-                "band", "hash", "key", "size", F.coalesce("class", "key").alias("class"),
+                "band", "hash", "key", "size", "pull", F.coalesce("class", "key").alias("class"),
                 (F.col("led") | F.coalesce("now", F.lit(False))).alias("led"),
             )
         )

@@ -8,7 +8,6 @@ from pyspark.sql import functions as F
 from tidewater.operators import aggregate, scd
 from tidewater.operators.joins import lookup_join
 from tidewater.operators.merge import merge_rows, update_rows
-from tidewater.operators.spread import spread_if_few
 from tidewater.operators.transform import dynamic_filter
 from tidewater.plans import medallion
 from tidewater.sources.history import HistoryTable
@@ -61,14 +60,6 @@ def test_word_count_reads_texts_once_and_shuffles_counts_once(spark):
     assert "TakeOrderedAndProject" in top
 
 
-def test_only_inputs_with_fewer_splits_than_cores_are_spread(spark):
-    cores = spark.sparkContext.defaultParallelism
-    few, many = spark.range(0, 99, 1, 1), spark.range(0, 99, 1, cores)
-    assert spread_if_few(few).rdd.getNumPartitions() == cores
-    assert sorted(r[0] for r in spread_if_few(few).collect()) == list(range(99))
-    assert spread_if_few(many) is many
-
-
 def test_backfill_shuffles_once(spark):
     rows = spark.createDataFrame([("a", "x", "d")], "k string, a string, business_date string")
     assert plan(scd.scd2_backfill(rows, "k")).count("Exchange") == 1

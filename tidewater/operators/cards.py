@@ -13,7 +13,6 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tidewater.functions import text
-from tidewater.operators.spread import spread_if_few
 
 # The parser below travels with the job, so workers need not have this package.
 cloudpickle.register_pickle_by_value(sys.modules[__name__])
@@ -83,18 +82,23 @@ class _PageParser(HTMLParser):
         if element is not None and element.parent is not None:
             self.current = element.parent
 
+    def parse_html_declaration(self, i):
+        """A declaration that the parser rejects is skipped to its end."""
+        try:
+            return super().parse_html_declaration(i)
+        except AssertionError:
+            end = self.rawdata.find(">", i)
+            return end + 1 if end >= 0 else -1
+
     def handle_data(self, data):
         self.current.children.append(data)
 
 
 def _parse(html: str | None) -> _Element:
-    """The page's tree; markup that the parser rejects ends it early."""
+    """The page's tree."""
     parser = _PageParser()
-    try:
-        parser.feed(html or "")
-        parser.close()
-    except AssertionError:
-        pass
+    parser.feed(html or "")
+    parser.close()
     return parser.root
 
 
@@ -168,7 +172,7 @@ def select_cards(
                 ]
                 yield pa.RecordBatch.from_pylist(rows, schema=out)
 
-    return spread_if_few(pages).mapInArrow(run, schema)
+    return pages.mapInArrow(run, schema)
 
 
 def keyword_card_links(cards: DataFrame, title: str, keyword: str) -> DataFrame:

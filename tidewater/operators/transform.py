@@ -11,7 +11,6 @@ from pyspark.sql import types as T
 
 from tidewater.functions.numbers import data_type, number_in, try_convert
 
-PROBE_ROWS = 10_000
 
 
 def typed_mapping(
@@ -91,21 +90,12 @@ def resolve_choice(
 
 
 def null_columns(df: DataFrame) -> list[str]:
-    """Columns that are NULL in every row.
-
-    A look at the first rows rules out most columns, so the full pass reads only
-    those that may be all NULL.
-    """
-
-    def without_values(frame: DataFrame, names: Sequence[str]) -> list[str]:
-        if not names:
-            return []
-        row = frame.agg(*[F.bool_or(F.col(n).isNotNull()).alias(n) for n in names]).first()
-        return [n for n in names if not row[n]]
-
-    nullable = [f.name for f in df.schema if f.nullable]
-    suspects = without_values(df.limit(PROBE_ROWS), nullable)
-    return without_values(df.select(*suspects), suspects)
+    """Columns that are NULL in every row, by one pass over the nullable columns."""
+    names = [f.name for f in df.schema if f.nullable]
+    if not names:
+        return []
+    row = df.agg(*[F.bool_or(F.col(n).isNotNull()).alias(n) for n in names]).first()
+    return [n for n in names if not row[n]]
 
 
 def drop_null_columns(df: DataFrame) -> DataFrame:

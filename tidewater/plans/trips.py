@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, SparkSession
@@ -10,7 +11,7 @@ from pyspark.sql import types as T
 from tidewater.operators.aggregate import grouped_total
 from tidewater.operators.transform import drop_null_columns, resolve_choice, typed_mapping
 from tidewater.sinks.files import append_parquet, overwrite_parquet
-from tidewater.streaming.incremental import ingest_new_files
+from tidewater.streaming.incremental import load_new_files
 
 # The trip columns and their types.
 TRIP_TYPES = {
@@ -50,25 +51,29 @@ def silver_rows(raw: DataFrame, choices: Sequence[str] = ()) -> DataFrame:
 def raw_to_silver(
     spark: SparkSession, table: str, path: str, choices: Sequence[str] = ()
 ) -> None:
-    """Adds a registered raw table's rows to the silver files."""
-    append_parquet(silver_rows(spark.table(table), choices), path)
+    """Adds a registered raw table's rows to the silver files, in a folder ``load=...``."""
+    append_parquet(silver_rows(spark.table(table), choices), f"{path}/load={uuid.uuid4().hex}")
 
 
 def new_files_to_silver(
-    spark: SparkSession, source: str, schema: T.StructType, path: str, bookmark: str
+    spark: SparkSession,
+    source: str,
+    schema: T.StructType,
+    path: str,
+    bookmark: str,
+    choices: Sequence[str] = (),
 ) -> None:
-    """Adds the trips of raw files not seen before, typed, each exactly once.
+    """Adds the silver rows of raw files not seen before, each exactly once.
 
-    Which columns are all NULL is only known over all rows, so they stay; readers
-    with a schema, as below, see no difference.
+    The files may share ``path`` with those of ``raw_to_silver``.
     """
-    ingest_new_files(
+    load_new_files(
         spark,
         source,
         schema,
         path,
         bookmark,
-        transform=lambda rows: typed_mapping(rows, trip_mapping()),
+        transform=lambda rows: silver_rows(rows, choices),
     )
 
 

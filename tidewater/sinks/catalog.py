@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tidewater.session import path_exists
+from tidewater.session import path_exists, work_dir
 
 
 def create_database(spark: SparkSession, name: str, recreate: bool = False) -> None:
@@ -108,14 +108,18 @@ def insert_into(df: DataFrame, table: str, columns: Sequence[str] | None = None)
 def load_table(df: DataFrame, table: str, truncate: bool = False) -> None:
     """Loads rows into a warehouse table of the catalog, by column name.
 
-    With ``truncate`` the new rows replace the old ones in one commit, otherwise
-    they are added.
+    With ``truncate`` the new rows replace the old ones, otherwise they are added. The
+    new rows are computed and written aside before the old ones go.
     """
     spark = df.sparkSession
     if not spark.catalog.tableExists(table):
         df.write.saveAsTable(table)
         return
     rows = df.select(*spark.table(table).columns)
+    if truncate:
+        aside = work_dir(spark, "load")
+        rows.write.parquet(aside)
+        rows = spark.read.schema(rows.schema).parquet(aside)
     rows.write.mode("overwrite" if truncate else "append").insertInto(
         table, overwrite=truncate
     )

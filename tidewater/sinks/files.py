@@ -2,7 +2,24 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+import uuid
+
+from pyspark.sql import DataFrame, DataFrameWriter
+
+
+def _replace(writer: DataFrameWriter, df: DataFrame, folder: str, beside: str) -> None:
+    """Writes to a hidden folder in ``beside`` and puts it in the place of ``folder``.
+
+    A failed job leaves the old rows as they were; ``df`` may not read ``folder``.
+    """
+    spark = df.sparkSession
+    new = f"{beside.rstrip('/')}/_new-{uuid.uuid4().hex}"
+    writer.parquet(new)
+    path = spark._jvm.org.apache.hadoop.fs.Path
+    files = path(folder).getFileSystem(spark._jsc.hadoopConfiguration())
+    files.delete(path(folder), True)
+    if not files.rename(path(new), path(folder)):
+        raise OSError(f"the new rows of {folder} are still in {new}")
 
 
 def append_partitioned(df: DataFrame, path: str, column: str) -> None:
@@ -15,10 +32,10 @@ def replace_partition(
 ) -> None:
     """Makes ``df`` the whole content of one partition, so that writing it again
     changes nothing. All other partitions stay."""
-    writer = df.drop(column).write.mode("overwrite")
+    writer = df.drop(column).write
     if partition_by:
         writer = writer.partitionBy(partition_by)
-    writer.parquet(f"{path}/{column}={value}")
+    _replace(writer, df, f"{path}/{column}={value}", path)
 
 
 def rebalanced(df: DataFrame, column: str) -> DataFrame:
@@ -37,8 +54,8 @@ def append_parquet(df: DataFrame, path: str) -> None:
 
 
 def overwrite_parquet(df: DataFrame, path: str) -> None:
-    """Replaces the whole table. ``df`` must not read ``path``."""
-    df.write.mode("overwrite").parquet(path)
+    """Replaces the whole table once the new rows are written."""
+    _replace(df.write, df, path, path.rstrip("/").rpartition("/")[0] or "/")
 
 
 def append_tsv(df: DataFrame, path: str) -> None:

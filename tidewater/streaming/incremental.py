@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import hashlib
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
@@ -43,3 +44,38 @@ def ingest_new_files(
     if partition_by:
         writer = writer.partitionBy(partition_by)
     writer.start().awaitTermination()
+
+
+def load_new_files(
+    spark: SparkSession,
+    source: str,
+    schema: T.StructType,
+    target: str,
+    bookmark: str,
+    file_format: str = "parquet",
+    transform: Callable[[DataFrame], DataFrame] | None = None,
+    options: dict[str, str] | None = None,
+) -> None:
+    """The same into folders ``load=...`` of ``target``, which batch loads may share.
+
+    Each batch of files has a folder of its own that a rerun replaces, so a row arrives
+    once although a run may fail at any point; ``transform`` sees a batch as a plain
+    table.
+    """
+    name = hashlib.sha256(bookmark.encode()).hexdigest()[:16]
+
+    def load(rows: DataFrame, number: int) -> None:
+        rows = transform(rows) if transform else rows
+        rows.write.mode("overwrite").parquet(f"{target}/load={name}-{number}")
+
+    (
+        spark.readStream.format(file_format)
+        .schema(schema)
+        .options(**(options or {}))
+        .load(source)
+        .writeStream.foreachBatch(load)
+        .option("checkpointLocation", bookmark)
+        .trigger(availableNow=True)
+        .start()
+        .awaitTermination()
+    )

@@ -1,6 +1,7 @@
 import collections
 import hashlib
 import math
+import random
 import re
 import struct
 import zlib
@@ -195,6 +196,51 @@ def test_near_duplicates(docs, rows, no_docs):
     assert near_dedup.near_duplicates(no_docs).collect() == []
 
 
+def test_near_copies_of_a_few_texts(spark):
+    """Most copies are near their original but not near each other, and many are near neither."""
+    pick = random.Random(3)
+    fresh = (f"n{k}" for k in range(10**6))
+
+    def edited(text, n):
+        out = text.split()
+        for _ in range(n):
+            at = pick.randrange(len(out))
+            out[at : at + pick.choice([0, 1, 1, 1, 2])] = [next(fresh)] * pick.choice([0, 1, 1, 1, 3])
+        return " ".join(out)
+
+    first = " ".join(f"w{pick.randrange(90)}" for _ in range(140))
+    second, third = edited(first, 4), edited(first, 8)
+    texts = [edited(pick.choice([first, first, second, third]), pick.randrange(1, 9)) for _ in range(220)]
+    texts += [edited(pick.choice(texts), 1) for _ in range(60)] + [first, second]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    bags = [near_dedup.shingles(t.encode()) for t in texts]
+    label = list(range(len(texts)))
+    for a in range(len(texts)):
+        for b in range(a):
+            if label[a] != label[b] and near_dedup.overlap(bags[a], bags[b]) >= 0.8:
+                old, new = max(label[a], label[b]), min(label[a], label[b])
+                label = [new if x == old else x for x in label]
+    assert 20 < len(set(label)) < 200
+    found = {r.doc_id: r.class_id for r in near_dedup.near_duplicates(docs).collect()}
+    assert [found[i] for i in range(len(texts))] == label
+
+
+def test_differences_of_linked_texts_meet_in_the_prefix():
+    pick = np.random.default_rng(4)
+    met = 0
+    for _ in range(3000):
+        n = int(pick.integers(20, 60))
+        leader = set(range(n))
+        x = {k for k in leader if pick.random() > 0.15} | set(range(100, 100 + int(pick.integers(0, 12))))
+        y = {k for k in x if pick.random() > 0.06} | set(range(200, 200 + int(pick.integers(0, 4))))
+        x, y = (x, y) if pick.random() < 0.5 else (y, x)
+        if len(x & y) / len(x | y) >= 0.8 > len(x & leader) / len(x | leader):
+            met += 1
+            shared = (x ^ leader) & (y ^ leader)
+            assert len(shared) >= near_dedup.shared_needed(len(y ^ leader), n, len(y)) >= 1
+    assert met > 100
+
+
 def test_signatures_estimate_weighted_similarity():
     a = {i: w for i, w in enumerate([1, 1, 2, 3, 9, 40] * 20)}
     b = {i: max(1, w - (i % 3)) for i, w in a.items() if i % 10}

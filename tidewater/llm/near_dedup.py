@@ -6,6 +6,7 @@ every link that counts is verified on the whole multisets of shingles.
 
 from __future__ import annotations
 
+import math
 from collections.abc import Iterator
 
 import numpy as np
@@ -211,16 +212,142 @@ def components(links: DataFrame) -> DataFrame:
             return labels
 
 
+def copies(hashes: np.ndarray, weights: np.ndarray) -> np.ndarray:
+    """A multiset as a set: the k-th copy of an element has a hash of its own."""
+    first = np.repeat(np.cumsum(weights) - weights, weights)
+    copy = np.arange(len(first)).astype(np.uint64) - first.astype(np.uint64)
+    return _mix(np.repeat(hashes, weights) + copy * _ODD)
+
+
+def shared_needed(n: int, leader: int, size: int) -> int:
+    """How many elements two texts' differences to a leader must share at least.
+
+    Similarity S or more means that x and y differ in at most r(|x| + |y|) elements, with
+    r = (1 - S) / (1 + S). Their differences X and Y to the leader c share
+    (|X| + |Y| - |x ^ y|) / 2 elements, where ^ is the symmetric difference. If x itself
+    is not linked to c, |X| > r(|x| + |c|), so they share more than
+    (|Y| + r(|c| - |y|)) / 2. ``n`` is |Y|, ``leader`` |c| and ``size`` |y|.
+    """
+    ratio = (1 - SIMILARITY) / (1 + SIMILARITY)
+    return math.floor((n + ratio * (leader - size)) / 2 - 1e-9) + 1
+
+
+def differences(state: DataFrame, texts: DataFrame) -> DataFrame:
+    """``state`` (group, leader, key and more) with ``diff``, the elements that only one of
+    text and leader has; ``far``, whether they are not linked; and ``prefix``: of any
+    order of ``diff``, that many first elements hold one of every far text linked to this.
+    """
+    kept = [c for c in state.columns if c not in ("leader", "leader_size")]
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        last, bag = None, None
+        for batch in slices(batches, "text_b"):
+            diffs, far, prefix = [], [], []
+            columns = [batch[c].to_pylist() for c in ("leader", "text_a", "text_b")]
+            for leader, text_a, text_b in zip(*columns, strict=True):
+                if leader != last:
+                    last, bag = leader, copies(*shingles(text_a))
+                own = copies(*shingles(text_b))
+                diff = np.setxor1d(bag, own)
+                total, n = len(bag) + len(own), len(diff)
+                diffs.append(diff.view(np.int64))
+                far.append((total - n) / (total + n) < SIMILARITY)
+                prefix.append(n - shared_needed(n, len(bag), len(own)) + 1)
+            yield pa.RecordBatch.from_arrays(
+                [
+                    *[batch[c] for c in kept],
+                    pa.array(diffs, pa.list_(pa.int64())),
+                    pa.array(far, pa.bool_()),
+                    pa.array(prefix, pa.int64()),
+                ],
+                [*kept, "diff", "far", "prefix"],
+            )
+
+    both = state.join(texts.select("key", F.col("text").alias("text_b")), "key").join(
+        texts.select(F.col("key").alias("leader"), F.col("text").alias("text_a")), "leader"
+    )
+    schema = state.select(*kept).schema.simpleString()[7:-1] + ",diff:array<bigint>,far:boolean,prefix:bigint"
+    return both.select(*kept, "leader", "text_a", "text_b").mapInArrow(run, schema)
+
+
+def difference_buckets(apart: DataFrame) -> DataFrame:
+    """Buckets (group, element) of the texts of ``apart`` (written ``differences``) in which
+    every two linked texts of different classes meet: one not linked to the leader comes by
+    all elements of its difference, the other, ``indexed``, by its prefix of the rarest.
+    """
+    elements = apart.select(
+        "group", "key", "size", "pull", "class", "far", "prefix",
+        F.size("diff").alias("many"), F.explode("diff").alias("element"),
+    )
+    at = ["group", "element"]
+    useful = (
+        elements.groupBy(*at)
+        .agg(F.count("*").alias("n"), F.min("class").alias("x"), F.max("class").alias("y"), F.bool_or("far").alias("any"))
+        .where("any AND x <> y")
+        .select(*at, "n")
+    )
+    # Elements that bring no two classes together come first in every prefix.
+    text = Window.partitionBy("group", "key")
+    place = F.col("many") - F.count("*").over(text) + F.row_number().over(text.orderBy("n", "element"))
+    buckets = (
+        elements.join(useful, at)
+        .withColumn("indexed", place <= F.col("prefix"))
+        .where("indexed OR far")
+        .select(*at, "key", "size", "pull", "class", "far", "indexed")
+    )
+    buckets = written(buckets, "dedup-buckets")
+    full = (
+        buckets.groupBy(*at)
+        .agg(
+            F.bool_or("indexed").alias("i"), F.bool_or("far").alias("f"),
+            F.min("class").alias("x"), F.max("class").alias("y"),
+        )
+        .where("i AND f AND x <> y")
+    )
+    return buckets.join(full, at, "left_semi")
+
+
+class Links:
+    """Verified links between texts and the classes that they make so far."""
+
+    def __init__(self, texts: DataFrame):
+        spark = texts.sparkSession
+        self.texts = texts
+        self.found = spark.createDataFrame([], "a binary, b binary, similarity double")
+        self.seen = self.found.select("a", "b")
+        self.classes = spark.createDataFrame([], "key binary, class binary")
+
+    def add(self, pairs: DataFrame) -> None:
+        """Compares ``pairs`` (a, b) that have not been compared before."""
+        new = pairs.distinct().join(self.seen, ["a", "b"], "left_anti")
+        checked = written(verified(new, self.texts), "dedup-pairs")
+        self.seen = self.seen.unionByName(checked.select("a", "b"))
+        near = checked.where(F.col("similarity") >= SIMILARITY)
+        if not near.isEmpty():
+            self.found = self.found.unionByName(near)
+            self.classes = components(self.found)
+
+    def classed(self, df: DataFrame) -> DataFrame:
+        """``df`` with the class of its ``key``; a text without links is its own."""
+        rest = df.drop("class").join(self.classes, "key", "left")
+        return rest.withColumn("class", F.coalesce("class", "key"))
+
+
+def alike_in_size(a: str, b: str) -> Column:
+    """False where two sizes alone rule out a link."""
+    return F.least(a, b) >= F.lit(SIMILARITY) * F.greatest(a, b)
+
+
 def text_classes(docs: DataFrame, rows: DataFrame) -> DataFrame:
     """key and class of the distinct texts of ``rows`` that have links.
 
     Texts of one band bucket are not paired with each other. A bucket's most central text
-    leads and is compared with the rest. What then still lies in different classes is compared
-    with 2, 4, 8 ... further leaders, until every bucket is one class or all its texts
-    have led: no link between classes is lost, and a bucket of copies costs a multiple of
-    its size.
+    leads and is compared with the rest. Texts that then still lie in different classes are
+    dealt anew by how they differ from their leader: linked texts share so much of their
+    differences that they meet in a bucket of one element (``difference_buckets``). There
+    1, 2, 4 ... indexed texts lead, until every bucket is one class or all its indexed
+    texts have led: no link between classes is lost.
     """
-    spark = docs.sparkSession
     one = rows.where("size > 0").groupBy("key").agg(F.first("size").alias("size"), F.first("bands").alias("bands"))
     members = one.select("key", "size", F.posexplode("bands").alias("band", "hash"))
     full = members.groupBy("band", "hash").agg(F.count("*").alias("n")).where("n > 1")
@@ -228,68 +355,65 @@ def text_classes(docs: DataFrame, rows: DataFrame) -> DataFrame:
     # Texts that share many buckets with many others lead first: the text that a group of
     # copies was made from is near to all of them, while two of its copies may not be.
     pull = members.groupBy("key").agg(F.sum("n").alias("pull"))
-    wanted = members.select("key").distinct()
     texts = written(
         docs.select(text_key().alias("key"), text_bytes().alias("text"))
-        .join(wanted, "key", "left_semi")
+        .join(members.select("key").distinct(), "key", "left_semi")
         .groupBy("key")
         .agg(F.first("text").alias("text")),
         "dedup-texts",
     )
-    links = spark.createDataFrame([], "a binary, b binary, similarity double")
-    state = members.drop("n").join(pull, "key")
-    state = state.select("*", F.col("key").alias("class"), F.lit(False).alias("led"))
-    classes, leaders, seen = None, 1, None
+    links = Links(texts)
+
+    first = members.drop("n").join(pull, "key")
+    chosen = first.groupBy("band", "hash").agg(F.max_by(F.struct("key", "size"), F.struct("pull", "key")).alias("l"))
+    # Buckets with one leader are one group.
+    groups = written(
+        first.join(chosen, ["band", "hash"])
+        .where(F.col("key") != F.col("l.key"))
+        .groupBy(F.col("l.key").alias("leader"), F.col("l.size").alias("leader_size"), "key")
+        .agg(F.first("size").alias("size"), F.first("pull").alias("pull"))
+        .withColumn("group", F.col("leader")),
+        "dedup-groups",
+    )
+    links.add(
+        groups.where(alike_in_size("size", "leader_size"))
+        .select(F.least("key", "leader").alias("a"), F.greatest("key", "leader").alias("b"))
+    )
+    state = links.classed(groups)
+    split = state.groupBy("group").agg(F.min("class").alias("x"), F.max("class").alias("y")).where("x <> y")
+    apart = written(differences(state.join(split, "group", "left_semi"), texts), "dedup-differences")
+
+    at = ["group", "element"]
+    state = difference_buckets(apart).withColumn("led", ~F.col("indexed")).drop("indexed")
+    leaders = 1
     while True:
         split = (
-            state.groupBy("band", "hash")
-            .agg(F.min("class").alias("x"), F.max("class").alias("y"))
-            .where("x <> y")
-            .select("band", "hash")
+            state.groupBy(*at)
+            .agg(F.min("class").alias("x"), F.max("class").alias("y"), F.bool_and("led").alias("done"))
+            .where("x <> y AND NOT done")
         )
-        state = written(state.join(split, ["band", "hash"]), "dedup-state")
-        if leaders == 1:
-            chosen = state.groupBy("band", "hash").agg(F.max_by(F.struct("key", "size", "class"), F.struct("pull", "key")).alias("l"))
-        else:
-            # Spark keeps only the first rows of each bucket before the shuffle.
-            rank = F.row_number().over(Window.partitionBy("band", "hash").orderBy(F.desc("pull"), "key"))
-            chosen = (
-                state.where("NOT led")
-                .withColumn("rank", rank)
-                .where(F.col("rank") <= leaders)
-                .select("band", "hash", F.struct("key", "size", "class").alias("l"))
-            )
-        chosen = written(chosen, "dedup-leaders")
-        small, large = F.least("size", "l.size"), F.greatest("size", "l.size")
-        pairs = (
-            state.join(chosen, ["band", "hash"])
-            .where((F.col("class") != F.col("l.class")) & (small >= F.lit(SIMILARITY) * large))
-            .select(F.least("key", "l.key").alias("a"), F.greatest("key", "l.key").alias("b"))
-            .distinct()
+        state = written(state.join(split, at, "left_semi"), "dedup-state")
+        if state.isEmpty():
+            return links.classes
+        # Spark keeps only the first rows of each bucket before the shuffle.
+        rank = F.row_number().over(Window.partitionBy(*at).orderBy(F.desc("pull"), "key"))
+        chosen = written(
+            state.where("NOT led")
+            .withColumn("rank", rank)
+            .where(F.col("rank") <= leaders)
+            .select(*at, F.struct("key", "size", "class", "far").alias("l")),
+            "dedup-leaders",
         )
-        if seen is not None:
-            pairs = pairs.join(seen, ["a", "b"], "left_anti")
-        checked = written(verified(pairs, texts), "dedup-pairs")
-        seen = checked.select("a", "b") if seen is None else seen.unionByName(checked.select("a", "b"))
-        links = links.unionByName(checked.where(F.col("similarity") >= SIMILARITY))
-        if leaders == 1 or not checked.where(F.col("similarity") >= SIMILARITY).isEmpty():
-            classes = components(links)
-        led = chosen.select("band", "hash", F.col("l.key").alias("key"), F.lit(True).alias("now"))
-        state = (
-            state.drop("class")
-            .join(led, ["band", "hash", "key"], "left")
-            .join(classes, "key", "left")
-            .select(
-                "band", "hash", "key", "size", "pull", F.coalesce("class", "key").alias("class"),
-                (F.col("led") | F.coalesce("now", F.lit(False))).alias("led"),
-            )
-        )
-        # A bucket's last text needs no turn: all others have been compared with it.
-        waiting = state.groupBy("band", "hash").agg(
-            F.count_if(~F.col("led")).alias("n"), F.min("class").alias("x"), F.max("class").alias("y")
+        links.add(
+            state.join(chosen, at)
+            .where((F.col("class") != F.col("l.class")) & (F.col("far") | F.col("l.far")))
+            .where(alike_in_size("size", "l.size"))
+            .select(F.least("key", "l.key").alias("a"), F.greatest("key", "l.key").alias("b"))
         )
-        if waiting.where("n > 1 AND x <> y").isEmpty():
-            return classes
+        led = chosen.select(*at, F.col("l.key").alias("key"), F.lit(True).alias("now"))
+        state = links.classed(state.join(led, [*at, "key"], "left")).withColumn(
+            "led", F.col("led") | F.coalesce("now", F.lit(False))
+        ).drop("now")
         leaders *= 2
 
 

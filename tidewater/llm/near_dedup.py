@@ -20,6 +20,8 @@ travels(__name__)
 
 SHINGLE = 5
 SIMILARITY = 0.8
+# Linked texts differ in at most this part of the elements of both.
+RATIO = (1 - SIMILARITY) / (1 + SIMILARITY)
 # A pair at SIMILARITY shares no band with a probability of 0.0002.
 BANDS = 16
 BAND_ROWS = 4
@@ -228,21 +230,31 @@ def shared_needed(n: int, leader: int, size: int) -> int:
     is not linked to c, |X| > r(|x| + |c|), so they share more than
     (|Y| + r(|c| - |y|)) / 2. ``n`` is |Y|, ``leader`` |c| and ``size`` |y|.
     """
-    ratio = (1 - SIMILARITY) / (1 + SIMILARITY)
-    return math.floor((n + ratio * (leader - size)) / 2 - 1e-9) + 1
+    return math.floor((n + RATIO * (leader - size)) / 2 - 1e-9) + 1
+
+
+def most_of_prefix(size: int) -> int:
+    """How many first elements of a difference hold one of any linked text's, however far.
+
+    The shared part of the differences X and Y has at least (|X| + |Y| - r(|x| + |y|)) / 2
+    elements (``shared_needed``) and at most |Y|, so |Y| is |X| - r(|x| + |y|) or more, and
+    then so is the shared part. |y| is |x| / S at most, and r(1 + 1 / S) is (1 - S) / S.
+    """
+    return math.floor(size * (1 - SIMILARITY) / SIMILARITY + 1e-9) + 1
 
 
 def differences(state: DataFrame, texts: DataFrame) -> DataFrame:
     """``state`` (group, leader, key and more) with ``diff``, the elements that only one of
-    text and leader has; ``far``, whether they are not linked; and ``prefix``: of any
-    order of ``diff``, that many first elements hold one of every far text linked to this.
+    text and leader has; ``far``, whether they are not linked; ``reach`` and ``prefix``: of
+    one order of all elements, that many first ones of ``diff`` hold one of those of every
+    text linked to this (``reach``), or of every far one (``prefix``).
     """
     kept = [c for c in state.columns if c not in ("leader", "leader_size")]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         last, bag = None, None
         for batch in slices(batches, "text_b"):
-            diffs, far, prefix = [], [], []
+            diffs, far, reach, prefix = [], [], [], []
             columns = [batch[c].to_pylist() for c in ("leader", "text_a", "text_b")]
             for leader, text_a, text_b in zip(*columns, strict=True):
                 if leader != last:
@@ -252,31 +264,34 @@ def differences(state: DataFrame, texts: DataFrame) -> DataFrame:
                 total, n = len(bag) + len(own), len(diff)
                 diffs.append(diff.view(np.int64))
                 far.append((total - n) / (total + n) < SIMILARITY)
-                prefix.append(n - shared_needed(n, len(bag), len(own)) + 1)
+                reach.append(most_of_prefix(len(own)))
+                prefix.append(min(reach[-1], n - shared_needed(n, len(bag), len(own)) + 1))
             yield pa.RecordBatch.from_arrays(
                 [
                     *[batch[c] for c in kept],
                     pa.array(diffs, pa.list_(pa.int64())),
                     pa.array(far, pa.bool_()),
+                    pa.array(reach, pa.int64()),
                     pa.array(prefix, pa.int64()),
                 ],
-                [*kept, "diff", "far", "prefix"],
+                [*kept, "diff", "far", "reach", "prefix"],
             )
 
     both = state.join(texts.select("key", F.col("text").alias("text_b")), "key").join(
         texts.select(F.col("key").alias("leader"), F.col("text").alias("text_a")), "leader"
     )
-    schema = state.select(*kept).schema.simpleString()[7:-1] + ",diff:array<bigint>,far:boolean,prefix:bigint"
+    schema = state.select(*kept).schema.simpleString()[7:-1] + ",diff:array<bigint>,far:boolean,reach:bigint,prefix:bigint"
     return both.select(*kept, "leader", "text_a", "text_b").mapInArrow(run, schema)
 
 
 def difference_buckets(apart: DataFrame) -> DataFrame:
     """Buckets (group, element) of the texts of ``apart`` (written ``differences``) in which
-    every two linked texts of different classes meet: one not linked to the leader comes by
-    all elements of its difference, the other, ``indexed``, by its prefix of the rarest.
+    every two linked texts of different classes meet: one not linked to the leader comes
+    ``far``, by the ``reach`` rarest elements of its difference, the other ``indexed``, by
+    its ``prefix`` of the rarest.
     """
     elements = apart.select(
-        "group", "key", "size", "pull", "class", "far", "prefix",
+        "group", "key", "size", "pull", "class", "far", "reach", "prefix",
         F.size("diff").alias("many"), F.explode("diff").alias("element"),
     )
     at = ["group", "element"]
@@ -291,9 +306,11 @@ def difference_buckets(apart: DataFrame) -> DataFrame:
     place = F.col("many") - F.count("*").over(text) + F.row_number().over(text.orderBy("n", "element"))
     buckets = (
         elements.join(useful, at)
-        .withColumn("indexed", place <= F.col("prefix"))
+        .withColumn("place", place)
+        .withColumn("indexed", F.col("place") <= F.col("prefix"))
+        .withColumn("far", F.col("far") & (F.col("place") <= F.col("reach")))
         .where("indexed OR far")
-        .select(*at, "key", "size", "pull", "class", "far", "indexed")
+        .select(*at, "key", "size", "many", "place", "pull", "class", "far", "indexed")
     )
     buckets = written(buckets, "dedup-buckets")
     full = (
@@ -313,8 +330,7 @@ class Links:
     def __init__(self, texts: DataFrame):
         spark = texts.sparkSession
         self.texts = texts
-        self.found = spark.createDataFrame([], "a binary, b binary, similarity double")
-        self.seen = self.found.select("a", "b")
+        self.seen = spark.createDataFrame([], "a binary, b binary")
         self.classes = spark.createDataFrame([], "key binary, class binary")
 
     def add(self, pairs: DataFrame) -> None:
@@ -323,9 +339,19 @@ class Links:
         checked = written(verified(new, self.texts), "dedup-pairs")
         self.seen = self.seen.unionByName(checked.select("a", "b"))
         near = checked.where(F.col("similarity") >= SIMILARITY)
-        if not near.isEmpty():
-            self.found = self.found.unionByName(near)
-            self.classes = components(self.found)
+        ends = near.select(F.col("a").alias("key")).unionByName(near.select(F.col("b").alias("key")))
+        known = written(self.classed(ends.unionByName(self.classes.select("key")).distinct()), "dedup-known")
+        # Only classes that a new link joins change.
+        of = [known.select(F.col("key").alias(x), F.col("class").alias(f"class_{x}")) for x in "ab"]
+        joins = (
+            near.join(of[0], "a").join(of[1], "b").where("class_a <> class_b")
+            .select(F.col("class_a").alias("a"), F.col("class_b").alias("b")).distinct()
+        )
+        joins = written(joins, "dedup-joins")
+        if not joins.isEmpty():
+            to = components(joins).select(F.col("key").alias("class"), F.col("class").alias("to"))
+            moved = known.join(to, "class", "left").select("key", F.coalesce("to", "class").alias("class"))
+            self.classes = written(moved, "dedup-classes")
 
     def classed(self, df: DataFrame) -> DataFrame:
         """``df`` with the class of its ``key``; a text without links is its own."""
@@ -338,6 +364,17 @@ def alike_in_size(a: str, b: str) -> Column:
     return F.least(a, b) >= F.lit(SIMILARITY) * F.greatest(a, b)
 
 
+def can_share_enough() -> Column:
+    """False where a bucket's element cannot be the first that a text and the leader ``l``
+    share, if they are linked: too few elements of their differences come after it.
+
+    Linked texts also meet at the first element they share, so no link is lost.
+    """
+    most = F.least(F.col("many") - F.col("place"), F.col("l.many") - F.col("l.place")) + 1
+    size = F.col("size") + F.col("l.size")
+    return 2 * most >= F.col("many") + F.col("l.many") - F.lit(RATIO) * size - 1e-6
+
+
 def text_classes(docs: DataFrame, rows: DataFrame) -> DataFrame:
     """key and class of the distinct texts of ``rows`` that have links.
 
@@ -345,8 +382,9 @@ def text_classes(docs: DataFrame, rows: DataFrame) -> DataFrame:
     leads and is compared with the rest. Texts that then still lie in different classes are
     dealt anew by how they differ from their leader: linked texts share so much of their
     differences that they meet in a bucket of one element (``difference_buckets``). There
-    1, 2, 4 ... indexed texts lead, until every bucket is one class or all its indexed
-    texts have led: no link between classes is lost.
+    1, 30, 900 ... indexed texts lead, until every bucket is one class or all its indexed
+    texts have led: no link between classes is lost. Pairs whose sizes and places
+    in the bucket rule out a link are not compared there (``can_share_enough``).
     """
     one = rows.where("size > 0").groupBy("key").agg(F.first("size").alias("size"), F.first("bands").alias("bands"))
     members = one.select("key", "size", F.posexplode("bands").alias("band", "hash"))
@@ -401,20 +439,21 @@ def text_classes(docs: DataFrame, rows: DataFrame) -> DataFrame:
             state.where("NOT led")
             .withColumn("rank", rank)
             .where(F.col("rank") <= leaders)
-            .select(*at, F.struct("key", "size", "class", "far").alias("l")),
+            .select(*at, F.struct("key", "size", "many", "place", "class", "far").alias("l")),
             "dedup-leaders",
         )
         links.add(
             state.join(chosen, at)
             .where((F.col("class") != F.col("l.class")) & (F.col("far") | F.col("l.far")))
             .where(alike_in_size("size", "l.size"))
+            .where(can_share_enough())
             .select(F.least("key", "l.key").alias("a"), F.greatest("key", "l.key").alias("b"))
         )
         led = chosen.select(*at, F.col("l.key").alias("key"), F.lit(True).alias("now"))
         state = links.classed(state.join(led, [*at, "key"], "left")).withColumn(
             "led", F.col("led") | F.coalesce("now", F.lit(False))
         ).drop("now")
-        leaders *= 2
+        leaders *= 30
 
 
 def near_duplicates(documents: DataFrame) -> DataFrame:

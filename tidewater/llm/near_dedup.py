@@ -312,16 +312,7 @@ def difference_buckets(apart: DataFrame) -> DataFrame:
         .where("indexed OR far")
         .select(*at, "key", "size", "many", "place", "pull", "class", "far", "indexed")
     )
-    buckets = written(buckets, "dedup-buckets")
-    full = (
-        buckets.groupBy(*at)
-        .agg(
-            F.bool_or("indexed").alias("i"), F.bool_or("far").alias("f"),
-            F.min("class").alias("x"), F.max("class").alias("y"),
-        )
-        .where("i AND f AND x <> y")
-    )
-    return buckets.join(full, at, "left_semi")
+    return written(buckets, "dedup-buckets")
 
 
 class Links:
@@ -427,8 +418,8 @@ def text_classes(docs: DataFrame, rows: DataFrame) -> DataFrame:
     while True:
         split = (
             state.groupBy(*at)
-            .agg(F.min("class").alias("x"), F.max("class").alias("y"), F.bool_and("led").alias("done"))
-            .where("x <> y AND NOT done")
+            .agg(F.min("class").alias("x"), F.max("class").alias("y"), F.bool_and("led").alias("done"), F.bool_or("far").alias("any"))
+            .where("x <> y AND any AND NOT done")
         )
         state = written(state.join(split, at, "left_semi"), "dedup-state")
         if state.isEmpty():

@@ -344,3 +344,19 @@ def test_wrapper_alignment():
     assert a.expression() == "h (q)? (p)+ f" and a.held["f"][2] != -1 and a.held["h"][2] == -1
     a.merge(html_text.Wrapper.of_page([("f", "same", False), ("h", "z", False)]))
     assert a.groups == [["h", "p", "f", "q"]] or len(a.groups) == 1
+
+
+def test_html_templates_of_one_host(spark):
+    """A page without the host's article falls back to its own changing slots; fixed notices go."""
+    new = "<nav><a href=x>menu</a></nav><article><h1>T{0}</h1><p>First {0} of new</p><p>Second {0}</p><div><p>Subscribe now</p></div></article>"
+    old = ("<div id=top><p>Site</p></div><div id=text><h2>Old {0}</h2><p>Old text number {0} of the page</p><ul><li>item {0} here</ul>"
+           "<p>and {0} more</p></div><div id=low><p>All rights {0}</p></div>")
+    rows = [(k, "http://a.test/", new.format(k)) for k in range(4)] + [(10 + k, "http://a.test/", old.format(k)) for k in range(4)]
+    # Copies are no evidence that a text is fixed.
+    rows += [(20 + k, "http://b.test/", "<article><h1>T</h1><p>one</p></article>") for k in range(4)]
+    pages = spark.createDataFrame(rows, "page_id long, url string, html string")
+    got = {r.page_id: r.text for r in html_text.main_texts(pages).collect()}
+    for k in range(4):
+        assert got[k] == f"T{k}\nFirst {k} of new\nSecond {k}"
+        assert got[10 + k] == f"Old {k}\nOld text number {k} of the page\nitem {k} here\nand {k} more"
+        assert got[20 + k] == "T\none"

@@ -4,7 +4,8 @@ A page is a stream of text slots, each named by the block elements around it. Th
 streams of a host's pages are aligned one after another into a union-free expression
 over slots: slots that some pages lack become optional, slots that recur become repeated
 groups, and slots in conflicting order join one repeated group. The wrapper keeps what
-its slots hold over all pages, and tells by it which are main text.
+its slots hold over all pages, and tells by it which are main text of a page: changing
+slots of the aligned groups, fixed ones never beside them. Names weigh between them.
 """
 
 from __future__ import annotations
@@ -14,7 +15,7 @@ import json
 import re
 import zlib
 from collections import defaultdict
-from collections.abc import Iterator, Sequence
+from collections.abc import Collection, Iterator, Sequence
 
 import pyarrow as pa
 from pyspark import TaskContext
@@ -57,6 +58,12 @@ TEXT_TAGS = frozenset(("article", "main"))
 TEXT_NAMES = frozenset("article articlebody content entry main post story".split())
 # Header names count inside the article's element too, where the element does not.
 HEADER = "header"
+# How much more text counts in an article or main element, in one named so, elsewhere.
+BOOST = (16, 4, 1)
+OTHER = len(BOOST)
+# Different pages with one and the same text that make a slot fixed; more in TEXT_TAGS.
+FIXED_PAGES = 2
+FIXED_TEXT_PAGES = 3
 # Wrappers a task holds before it passes them on; tasks' shares of a host's wrappers.
 HOSTS_AT_ONCE = 2_000
 SHARES = 64
@@ -156,7 +163,8 @@ class Wrapper:
     """A union-free expression: ``groups`` of slots in order, and what the slots hold.
 
     Of each slot: pages that have it, whether it recurs in one, the checksum of its text
-    while that is always the same (else -1), characters, and characters of links.
+    while that is always the same (else -1), characters, characters of links, and up to
+    FIXED_TEXT_PAGES checksums of pages that have it, so that copies count once.
     """
 
     def __init__(self, pages: int = 0, groups: Sequence[Sequence[str]] = (), held: dict | None = None):
@@ -169,17 +177,21 @@ class Wrapper:
     def of_page(cls, found: Sequence[tuple[str, str, bool]]) -> Wrapper:
         first: dict[str, int] = {}
         last: dict[str, int] = {}
-        held: dict[str, list[int]] = {}
+        held: dict[str, list] = {}
+        page = 0
         for k, (name, text, is_link) in enumerate(found):
             first.setdefault(name, k)
             last[name] = k
             mark = zlib.crc32(text.encode("utf-8", "replace"))
-            own = held.setdefault(name, [1, 0, mark, 0, 0])
+            page = zlib.crc32(b"%d %d" % (k, mark), page)
+            own = held.setdefault(name, [1, 0, mark, 0, 0, []])
             if first[name] != k:
                 own[1] = 1
                 own[2] = own[2] if own[2] == mark else -1
             own[3] += len(text)
             own[4] += len(text) if is_link else 0
+        for own in held.values():
+            own[5].append(page)
         groups: list[list[str]] = []
         reach = -1
         for name, k in first.items():
@@ -199,16 +211,18 @@ class Wrapper:
             if len(self.met) < 1000:
                 self.met.add(key)
         self.pages += other.pages
-        for name, (n, more, mark, chars, links) in other.held.items():
+        for name, (n, more, mark, chars, links, seen) in other.held.items():
             own = self.held.get(name)
             if own is None:
-                self.held[name] = [n, more, mark, chars, links]
+                self.held[name] = [n, more, mark, chars, links, list(seen)]
             else:
                 own[0] += n
                 own[1] |= more
                 own[2] = own[2] if own[2] == mark else -1
                 own[3] += chars
                 own[4] += links
+                if len(own[5]) < FIXED_TEXT_PAGES:
+                    own[5] = sorted({*own[5], *seen})[:FIXED_TEXT_PAGES]
 
     def expression(self) -> str:
         """For readers: ``( )+`` repeated and ``( )?`` optional groups, slots by name."""
@@ -220,27 +234,33 @@ class Wrapper:
             f"({' '.join(map(slot, g))})+" if len(g) > 1 or self.held[g[0]][1] else slot(g[0]) for g in self.groups
         )
 
-    def main_slots(self) -> list[str]:
-        """The slots of main text.
+    def text_slots(self) -> list[list]:
+        """Name, rank, whether it is no fixed text, region and weight of all slots that may be text.
 
-        Slots in an ``article`` or ``main`` element, else in an element named so, else in
-        the element that holds most changing text over the host's pages; in each case
-        without those in elements of other purposes.
+        Ranks are places in BOOST, or OTHER. A slot of a group votes for the element that
+        holds all the group's changing texts, so that headings, lists and paragraphs that
+        take turns stay together; by itself for its own element.
         """
-        free = [n for n in self.held if not _other_purpose(n)]
-        for depth in (0, 1):
-            inside = [n for n in free if _in_text(n, depth)]
-            if inside:
-                return sorted(inside)
-        inside: dict[str, int] = defaultdict(int)
-        for name in free:
-            pages, _, mark, chars, links = self.held[name]
-            if (mark == -1 or self.pages < 2) and 2 * links < chars:
-                inside[name.rpartition(">")[0]] += chars
-        if not inside:
-            return []
-        best = max(inside, key=lambda p: (inside[p], p))
-        return sorted(n for n in free if n.startswith(f"{best}>") or n == best)
+        out = []
+        for group in self.groups:
+            rows = []
+            for name in group:
+                pages, _, mark, chars, links, seen = self.held[name]
+                rank = _rank(name)
+                if rank is not None:
+                    changes = mark == -1 or len(seen) < (FIXED_PAGES if rank else FIXED_TEXT_PAGES)
+                    weight = chars / pages if changes and 2 * links < chars else 0
+                    rows.append([name, rank, changes, name.rpartition(">")[0], weight])
+            region = _common([r[3] for r in rows if r[4] and r[1] < OTHER])
+            for row in rows:
+                if region and row[4] and row[1] < OTHER:
+                    row[3] = region
+            out += rows
+        return out
+
+    def main_slots(self, page: Collection[str] | None = None) -> list[str]:
+        """The slots of main text of a page that has the slots ``page``, else all of the host's."""
+        return sorted(chosen(self.text_slots(), self.held if page is None else page))
 
     def to_json(self) -> str:
         return json.dumps([self.pages, self.groups, self.held])
@@ -262,6 +282,49 @@ def _in_text(name: str, depth: int) -> bool:
     return any(tag in TEXT_TAGS if depth == 0 else names & TEXT_NAMES for tag, names in _parts(name))
 
 
+def _rank(name: str) -> int | None:
+    """A slot's place in BOOST; None if it is never text."""
+    if _other_purpose(name):
+        return None
+    return next((depth for depth in (0, 1) if _in_text(name, depth)), 2)
+
+
+def _common(regions: Sequence[str]) -> str:
+    """The innermost element around all ``regions``; empty if that is no more than the body."""
+    parts: list[str] = []
+    for same in zip(*(r.split(">") for r in regions), strict=False):
+        if len(set(same)) > 1:
+            break
+        parts.append(same[0])
+    return ">".join(parts) if parts and parts[-1].split(".")[0] not in ("html", "body") else ""
+
+
+def chosen(rows: Sequence[Sequence], page: Collection[str]) -> list[str]:
+    """The slots of main text among those of a page, by its host's ``text_slots``.
+
+    Changing slots in ``article`` and ``main`` elements, those in elements named so and
+    each other region compare by their changing text, times BOOST. A page that has none
+    keeps the fixed slots of its named elements.
+    """
+    here = [r for r in rows if r[0] in page]
+    free = [r for r in here if r[1] < OTHER]
+    changing = [r for r in free if r[2]]
+    if not changing:
+        changing = [r for r in free if r[1] < OTHER - 1] or [r for r in here if r[2]]
+    weights: dict[tuple, float] = defaultdict(float)
+    for _, rank, _, region, weight in changing:
+        own = min(rank, OTHER - 1)
+        weights[(own, region if own == OTHER - 1 else "")] += weight * BOOST[own]
+    # Without any weight there are links alone, or fixed texts.
+    named = [k for k in weights if k[0] < OTHER - 1]
+    if not any(weights.values()) and not named:
+        return []
+    rank, region = max(weights, key=lambda k: (weights[k], -k[0], k[1]))
+    if rank < OTHER - 1:
+        return [r[0] for r in changing if r[1] == rank]
+    return [r[0] for r in changing if r[1] >= rank and (r[3] == region or r[0] == region or r[0].startswith(f"{region}>"))]
+
+
 def _other_purpose(name: str) -> bool:
     inside = False
     for part, (tag, names) in zip(name.split(">"), _parts(name), strict=True):
@@ -321,7 +384,7 @@ def _aligned(a: list[list[str]], b: list[list[str]]) -> list[list[str]]:
 
 
 def wrappers(pages: DataFrame) -> DataFrame:
-    """host, wrapper (JSON) and main (slots) from ``pages`` (host, html).
+    """host, wrapper and main (its text slots), both as JSON, from ``pages`` (host, html).
 
     Each task aligns its own pages; a host's partial wrappers are then aligned in two
     steps, so that no task gets more than a share of a host's.
@@ -356,14 +419,14 @@ def wrappers(pages: DataFrame) -> DataFrame:
         def out() -> pa.RecordBatch:
             columns = list(zip(*done, strict=True)) or [[]] * 4
             done.clear()
-            kinds = (pa.string(), pa.int32(), pa.string(), pa.list_(pa.string()))
+            kinds = (pa.string(), pa.int32(), pa.string(), pa.string())
             return pa.RecordBatch.from_arrays(
                 [pa.array(x, t) for x, t in zip(columns, kinds, strict=True)], ["host", "share", "wrapper", "main"]
             )
 
         def close() -> None:
             if own is not None:
-                done.append((*key, own.to_json(), own.main_slots()))
+                done.append((*key, own.to_json(), json.dumps(own.text_slots())))
 
         for batch in batches:
             columns = [batch[c].to_pylist() for c in ("host", "share", "wrapper")]
@@ -377,7 +440,7 @@ def wrappers(pages: DataFrame) -> DataFrame:
         yield out()
 
     parts = pages.mapInArrow(infer, "host string, share int, wrapper string")
-    schema = "host string, share int, wrapper string, main array<string>"
+    schema = "host string, share int, wrapper string, main string"
     shared = parts.repartition("host", "share").sortWithinPartitions("host", "share").mapInArrow(align, schema)
     whole = shared.select("host", F.lit(0).alias("share"), "wrapper").repartition("host").sortWithinPartitions("host")
     return whole.mapInArrow(align, schema).drop("share")
@@ -395,20 +458,25 @@ def main_texts(pages: DataFrame) -> DataFrame:
         "page_id", "url", host_of(F.col("url")).alias("host"), F.coalesce("html", F.lit("")).alias("html")
     )
     found = written(wrappers(wanted.select("host", "html")), "html-wrappers").select("host", "main")
-    size = found.agg(F.sum(F.length(F.concat_ws("", "main")) + F.length("host") + 64)).first()[0] or 0
+    size = found.agg(F.sum(F.length("main") + F.length("host") + 64)).first()[0] or 0
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        rows: dict[str, list] = {}
         sets: dict[tuple, frozenset] = {}
         for batch in slices(batches, "html"):
             texts = []
             for page, main in zip(batch["html"].to_pylist(), batch["main"].to_pylist(), strict=True):
-                key = tuple(main or ())
+                found = slots(page)
+                key = (main, frozenset(name for name, _, _ in found))
                 wanted = sets.get(key)
                 if wanted is None:
-                    if len(sets) > 10_000:
+                    if len(sets) > 10_000 or len(rows) > HOSTS_AT_ONCE:
                         sets.clear()
-                    wanted = sets[key] = frozenset(key)
-                texts.append("\n".join(t for name, t, _ in slots(page) if name in wanted))
+                        rows.clear()
+                    if main not in rows:
+                        rows[main] = json.loads(main or "[]")
+                    wanted = sets[key] = frozenset(chosen(rows[main], key[1]))
+                texts.append("\n".join(t for name, t, _ in found if name in wanted))
             yield pa.RecordBatch.from_arrays(
                 [batch["page_id"], batch["url"], pa.array(texts, pa.string())], ["page_id", "url", "text"]
             )

@@ -360,3 +360,16 @@ def test_html_templates_of_one_host(spark):
         assert got[k] == f"T{k}\nFirst {k} of new\nSecond {k}"
         assert got[10 + k] == f"Old {k}\nOld text number {k} of the page\nitem {k} here\nand {k} more"
         assert got[20 + k] == "T\none"
+
+
+def test_html_names_that_only_look_like_other_purposes(spark):
+    page = ("<body class='no-sidebar single post'><div class='nav-primary'><a href=x>home</a> <a href=y>more</a></div>"
+            "<main class='site-main has-sidebar sidebar'><article class='post comments-open' id=post-{0}>"
+            "<h2 id='related-work'>Work {0}</h2><p id=search>Text {0}</p><h3 id='search'>Market {0}</h3>"
+            "<div class='related box'><p>see {0}</p></div></article></main></body>")
+    widget = "<body><div class='widget'><p>All there is on {0}</p></div></body>"
+    rows = [(k, "http://a.test/", page.format(k)) for k in range(3)] + [(10 + k, "http://b.test/", widget.format(k)) for k in range(3)]
+    got = {r.page_id: r.text for r in html_text.main_texts(spark.createDataFrame(rows, "page_id long, url string, html string")).collect()}
+    for k in range(3):
+        assert got[k] == f"Work {k}\nText {k}\nMarket {k}"
+        assert got[10 + k] == f"All there is on {k}"

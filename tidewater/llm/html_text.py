@@ -43,7 +43,9 @@ CLOSES = {
 }
 # An implied end looks no further out than these.
 SCOPES = frozenset("table ul ol dl menu select td th".split())
-# Elements and parts of class, id and role names that are not the article's text.
+# Elements whose ids name their own text, as slugs do.
+SLUGGED = frozenset("h1 h2 h3 h4 h5 h6 p".split())
+# Elements and whole class, id and role names that are not the article's text.
 NOT_TEXT_TAGS = frozenset(
     "aside button datalist dialog fieldset footer form head menu nav optgroup option search select textarea title".split()
 )
@@ -58,6 +60,7 @@ TEXT_TAGS = frozenset(("article", "main"))
 TEXT_NAMES = frozenset("article articlebody content entry main post story".split())
 # Header names count inside the article's element too, where the element does not.
 HEADER = "header"
+ROOTS = frozenset(("html", "body"))
 # How much more text counts in an article or main element, in one named so, elsewhere.
 BOOST = (16, 4, 1)
 OTHER = len(BOOST)
@@ -78,6 +81,7 @@ _TOKEN = re.compile(
 _NAMED = re.compile(r"\b(class|id|role)\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s\"'>]+))", re.I)
 _HIDDEN = re.compile(r"(?:^|\s)hidden(?=[\s=]|$)|aria-hidden\s*=\s*[\"']?true|display\s*:\s*none", re.I)
 _NAME_PARTS = re.compile(r"[a-z]+")
+_NOT_NAME = re.compile(r"[^a-z_-]+")
 
 
 def _name(tag: str, attrs: str) -> str:
@@ -85,7 +89,13 @@ def _name(tag: str, attrs: str) -> str:
     if not attrs or attrs.isspace():
         return tag
     names = sorted(
-        {x for _, a, b, c in _NAMED.findall(attrs) for x in _NAME_PARTS.findall((a or b or c).lower())}
+        {
+            x
+            for kind, a, b, c in _NAMED.findall(attrs)
+            if tag not in SLUGGED or kind.lower() != "id"
+            for word in (a or b or c).lower().split()
+            if (x := _NOT_NAME.sub("", word))
+        }
     )
     return ".".join([tag, *names]) + ("!" if _HIDDEN.search(attrs) else "")
 
@@ -246,10 +256,11 @@ class Wrapper:
             rows = []
             for name in group:
                 pages, _, mark, chars, links, seen = self.held[name]
-                rank = _rank(name)
+                is_links = 2 * links >= chars
+                rank = _rank(name, is_links)
                 if rank is not None:
                     changes = mark == -1 or len(seen) < (FIXED_PAGES if rank else FIXED_TEXT_PAGES)
-                    weight = chars / pages if changes and 2 * links < chars else 0
+                    weight = chars / pages if changes and not is_links else 0
                     rows.append([name, rank, changes, name.rpartition(">")[0], weight])
             region = _common([r[3] for r in rows if r[4] and r[1] < OTHER])
             for row in rows:
@@ -279,13 +290,22 @@ def _parts(name: str) -> list[tuple[str, set[str]]]:
 
 
 def _in_text(name: str, depth: int) -> bool:
-    return any(tag in TEXT_TAGS if depth == 0 else names & TEXT_NAMES for tag, names in _parts(name))
+    return any(
+        tag in TEXT_TAGS if depth == 0 else tag not in ROOTS and not TEXT_NAMES.isdisjoint(_words(names))
+        for tag, names in _parts(name)
+    )
+
+
+def _words(names: Collection[str]) -> set[str]:
+    return {x for n in names for x in _NAME_PARTS.findall(n)}
 
 
-def _rank(name: str) -> int | None:
-    """A slot's place in BOOST; None if it is never text."""
-    if _other_purpose(name):
+def _rank(name: str, is_links: bool) -> int | None:
+    """A slot's place in BOOST, OTHER if names tell another purpose; None if it is never text."""
+    if any(part.endswith("!") or tag in NOT_TEXT_TAGS for part, (tag, _) in zip(name.split(">"), _parts(name), strict=True)):
         return None
+    if _other_purpose(name, is_links):
+        return OTHER
     return next((depth for depth in (0, 1) if _in_text(name, depth)), 2)
 
 
@@ -296,7 +316,7 @@ def _common(regions: Sequence[str]) -> str:
         if len(set(same)) > 1:
             break
         parts.append(same[0])
-    return ">".join(parts) if parts and parts[-1].split(".")[0] not in ("html", "body") else ""
+    return ">".join(parts) if parts and parts[-1].split(".")[0] not in ROOTS else ""
 
 
 def chosen(rows: Sequence[Sequence], page: Collection[str]) -> list[str]:
@@ -304,13 +324,15 @@ def chosen(rows: Sequence[Sequence], page: Collection[str]) -> list[str]:
 
     Changing slots in ``article`` and ``main`` elements, those in elements named so and
     each other region compare by their changing text, times BOOST. A page that has none
-    keeps the fixed slots of its named elements.
+    keeps the fixed slots of its named elements, and one without any but OTHER slots those.
     """
     here = [r for r in rows if r[0] in page]
     free = [r for r in here if r[1] < OTHER]
     changing = [r for r in free if r[2]]
     if not changing:
-        changing = [r for r in free if r[1] < OTHER - 1] or [r for r in here if r[2]]
+        changing = [r for r in free if r[1] < OTHER - 1]
+    if not free:
+        changing = [r for r in here if r[2]]
     weights: dict[tuple, float] = defaultdict(float)
     for _, rank, _, region, weight in changing:
         own = min(rank, OTHER - 1)
@@ -325,13 +347,18 @@ def chosen(rows: Sequence[Sequence], page: Collection[str]) -> list[str]:
     return [r[0] for r in changing if r[1] >= rank and (r[3] == region or r[0] == region or r[0].startswith(f"{region}>"))]
 
 
-def _other_purpose(name: str) -> bool:
+def _other_purpose(name: str, is_links: bool) -> bool:
+    """Whether names of elements around a slot tell another purpose; parts of names, of links only.
+
+    Names of the whole page and of the article's element itself tell how they look, not
+    what they are.
+    """
     inside = False
-    for part, (tag, names) in zip(name.split(">"), _parts(name), strict=True):
-        if part.endswith("!") or tag in NOT_TEXT_TAGS or names & NOT_TEXT_NAMES:
-            return True
-        if not inside and (tag == HEADER or HEADER in names):
-            return True
+    for tag, names in _parts(name):
+        if tag not in ROOTS and tag not in TEXT_TAGS:
+            told = names | _words(names) if is_links else names
+            if told & NOT_TEXT_NAMES or (not inside and (tag == HEADER or HEADER in told)):
+                return True
         inside = inside or tag in TEXT_TAGS
     return False
 

@@ -11,10 +11,13 @@ from tidewater.llm import (
     decontaminate,
     html_text,
     language,
+    lexical,
     lm_score,
     near_dedup,
     pieces,
     quality,
+    resampling,
+    secrets,
     token_files,
     urls,
 )
@@ -30,6 +33,9 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_pieces": pieces.op8_pieces,
     "op9_decontaminate": decontaminate.op9_decontaminate,
     "op10_html_text": html_text.op10_html_text,
+    "op11_lexical_search": lexical.op11_lexical_search,
+    "op12_secrets": secrets.op12_secrets,
+    "op13_resampling": resampling.op13_resampling,
 }
 
-ORACLES: dict[str, str] = {}
+ORACLES: dict[str, str] = {"op11_lexical_search": lexical.OP11_SQL}

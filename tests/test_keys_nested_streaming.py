@@ -163,3 +163,33 @@ def test_work_dir_is_under_the_shared_folder_and_new_each_time(spark):
     shared = spark.conf.get("spark.checkpoint.dir")
     a, b = work_dir(spark, "x"), work_dir(spark, "x")
     assert a != b and a.startswith(shared) and b.startswith(shared)
+
+
+def test_streamed_history_takes_a_batch_once(spark, tmp_path):
+    from tidewater.operators import scd
+    from tidewater.sources.history import HistoryTable
+    from tidewater.streaming.history import merge_new_files
+
+    schema = "k string, a string, business_date string"
+    rows = lambda *r: spark.createDataFrame(list(r), schema)
+    landed, bookmark = str(tmp_path / "in"), str(tmp_path / "bookmark")
+    table = HistoryTable(spark, str(tmp_path / "t"), scd.new_versions(rows()).schema, "k")
+    run = lambda: merge_new_files(spark, landed, rows().schema, table, bookmark, scd.new_versions)
+    rows(("a", "2", "2021-12-02"), ("b", "2", "2021-12-02")).write.parquet(landed)
+    run()
+    rows(("a", "4", "2021-12-04"), ("a", "1", "2021-12-01")).write.mode("append").parquet(landed)
+    run()
+    wanted = [
+        ("a", "1", "2021-12-01", "2021-12-02", False), ("a", "2", "2021-12-02", "2021-12-04", False),
+        ("a", "4", "2021-12-04", "9999-12-31", True), ("b", "2", "2021-12-02", "9999-12-31", True),
+    ]
+    got = lambda: sorted(map(tuple, table.read().collect()))
+    assert got() == wanted and table.snapshots.versions() == [0, 1]
+    # The run failed after the merge and before the bookmark moved.
+    for name in ("1", ".1.crc"):
+        (tmp_path / "bookmark" / "commits" / name).unlink(missing_ok=True)
+    run()
+    assert got() == wanted and table.snapshots.versions() == [0, 1]
+    rows(("b", "3", "2021-12-03")).write.mode("append").parquet(landed)
+    run()
+    assert ("b", "3", "2021-12-03", "9999-12-31", True) in got() and table.snapshots.versions() == [0, 1, 2]

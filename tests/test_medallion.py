@@ -4,6 +4,7 @@ import pytest
 
 from tidewater.plans import medallion
 from tidewater.plans.medallion import Lake
+from tidewater.sinks import catalog
 from tidewater.sinks.catalog import create_database
 
 # The daily files, each without a final line end.
@@ -140,8 +141,11 @@ def test_tables_are_registered(spark, lake):
     assert spark.table("harbour.index_silver").count() == 15
     assert dict(gold.dtypes)["effective_business_date"] == "string"
     assert spark.table("harbour.security_bronze").count() == 9
-    assert spark.table("security_history_silver").count() == 8
-    assert spark.table("security_latest_silver").count() == 7
+    # Of every session of the catalog, not of the one that loaded.
+    other = spark.newSession()
+    assert lines(other.table("harbour.security_history_silver")) == sorted(HISTORY)
+    assert other.table("harbour.security_latest_silver").count() == 7
+    assert other.table("harbour.security_latest_silver").schema.names == medallion.SECURITY_SCHEMA.names
 
 
 def test_history_time_travel(lake):
@@ -251,3 +255,39 @@ def test_day_without_identified_securities(spark, files, tmp_path):
     assert lake.latest.count() == 0 and lake.history.read().count() == 0
     medallion.ingest_security_file(lake, f"{files}/security_20211201.csv")
     assert lake.latest.count() == 5
+
+
+def test_late_and_corrected_security_files(spark, files, tmp_path):
+    """Files in any order, one of them first with a wrong and a surplus row."""
+    create_database(spark, "cove")
+    lake = Lake(spark, str(tmp_path / "lake"), database="cove", safe_rerun=True)
+    wrong = FILES["security_20211204.csv"].replace("AB22333", "WRONG") + "\nS9,Gone,BBG9,C9,2021-12-04"
+    (tmp_path / "security_20211204.csv").write_text(wrong)
+    medallion.ingest_security_file(lake, str(tmp_path / "security_20211204.csv"))
+    assert "S9" in {r["security_id"] for r in lake.latest.collect()}
+    medallion.ingest_security_file(lake, f"{files}/security_20211201.csv")
+    medallion.ingest_security_file(lake, f"{files}/security_20211204.csv")
+    assert lines(lake.history.read()) == sorted(HISTORY)
+    other = spark.newSession()
+    assert lines(other.table("cove.security_history_silver")) == sorted(HISTORY)
+    assert lines(other.table("cove.security_latest_silver")) == lines(lake.latest)
+
+
+def test_a_daily_run_reads_and_registers_one_folder(spark, files, tmp_path, monkeypatch):
+    create_database(spark, "reef")
+    lake = Lake(spark, str(tmp_path / "lake"), database="reef")
+    load_three_days(lake, files)
+    repaired = []
+    monkeypatch.setattr(catalog, "refresh", lambda *a: repaired.append(a))
+    medallion.land(lake, "index", spark.createDataFrame(
+        [("I", "C", "T", "F", "1", "1", "2021-12-07")], medallion.BRONZE_SCHEMAS["index"]
+    ))
+    rows = medallion._bronze(lake, "index", "2021-12-07")
+    assert {f.split("/")[-2] for f in rows.inputFiles()} == {"business_date=2021-12-07"}
+    medallion.index_silver(lake, "2021-12-07")
+    assert repaired == []
+    assert spark.table("reef.index_silver").where("effective_business_date = '2021-12-07'").count() == 1
+    # A date without rows has no folder, and is read as no rows.
+    medallion.index_silver(lake, "2021-12-08")
+    medallion.gold(lake, "2021-12-08")
+    assert spark.table("reef.index_silver").where("effective_business_date = '2021-12-08'").count() == 0

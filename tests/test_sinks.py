@@ -118,3 +118,66 @@ def test_load_table(spark, db):
     assert sorted(map(tuple, spark.table(name).collect())) == [(1, "a"), (2, "b")]
     catalog.load_table(spark.createDataFrame([(3, "c")], "k int, v string"), name, truncate=True)
     assert [tuple(r) for r in spark.table(name).collect()] == [(3, "c")]
+
+
+def ids(df):
+    return sorted(r["a"] for r in df.collect())
+
+
+def test_a_replacement_that_breaks_off_leaves_the_old_rows(spark, tmp_path, monkeypatch):
+    path = str(tmp_path / "t")
+    old, new = (spark.createDataFrame([(a, "d1")], "a int, d string") for a in (1, 2))
+    files.append_partitioned(old, path, "d")
+    moves = []
+
+    def failing(fs, source, target):
+        moves.append(str(target))
+        if len(moves) == 2:
+            raise OSError("no space")
+        assert fs.rename(source, target)
+
+    with monkeypatch.context() as m:
+        m.setattr(files, "_move", failing)
+        with pytest.raises(OSError, match="no space"):
+            files.replace_partition(new, path, "d", "d1")
+    assert ids(spark.read.parquet(path)) == [1]
+
+    # The driver is lost between the moves: nothing is put back, the rows are aside.
+    def lost(fs, source, target):
+        if "/.new-" in str(source):
+            raise KeyboardInterrupt
+        assert fs.rename(source, target)
+
+    with monkeypatch.context() as m:
+        m.setattr(files, "_move", lost)
+        with pytest.raises(KeyboardInterrupt):
+            files.replace_partition(new, path, "d", "d1")
+    files.recover_partitions(spark, path)
+    assert ids(spark.read.parquet(path)) == [1]
+    files.replace_partition(new, path, "d", "d1")
+    assert ids(spark.read.parquet(path)) == [2]
+    assert not [p.name for p in (tmp_path / "t").iterdir() if p.name.startswith((".old", ".new"))]
+
+
+def test_table_replacement_is_one_change_of_the_catalog(spark, db, tmp_path, monkeypatch):
+    name = f"{db}.goods"
+    schema = T.StructType().add("a", T.IntegerType()).add("b", T.StringType())
+    spark.createDataFrame([(1, "x"), (2, "y")], schema).write.parquet(str(tmp_path / "goods"))
+    catalog.register_table(spark, name, str(tmp_path / "goods"), schema)
+    new = spark.createDataFrame([("z", 3)], "b string, a int")
+    with monkeypatch.context() as m:
+        m.setattr(catalog, "_switch", lambda *a: (_ for _ in ()).throw(OSError("catalog away")))
+        with pytest.raises(OSError, match="catalog away"):
+            catalog.replace_rows(new, name)
+    assert ids(spark.table(name)) == [1, 2]
+    catalog.replace_rows(new, name)
+    assert ids(spark.newSession().table(name)) == [3]
+    # It may read what it replaces.
+    catalog.load_table(spark.table(name).withColumn("a", F.col("a") + 1), name, truncate=True)
+    assert ids(spark.table(name)) == [4]
+    catalog.load_table(spark.createDataFrame([(9, "q")], schema), name)
+    assert ids(spark.table(name)) == [4, 9]
+    with pytest.raises(ValueError, match="partitioned"):
+        files.append_partitioned(spark.createDataFrame([(1, "d")], "a int, d string"), str(tmp_path / "p"), "d")
+        catalog.register_table(spark, f"{db}.split", str(tmp_path / "p"))
+        catalog.replace_rows(new, f"{db}.split")

@@ -14,14 +14,16 @@ closes, and both add the rows of unknown keys. So one merge a day serves both.
 
 Each step commits on its own. With ``safe_rerun`` a date can be loaded again
 after a failure: bronze folders are kept per file, so that a file replaces its own
-rows only, silver and gold replace the date's partition, and the history skips
-rows that are not newer. Without it a second load of a date adds its rows again,
-and a security date then fails on its duplicate keys.
+rows only, silver and gold replace the date's partition, and the date's securities
+are spliced into the history: corrected rows take the place of the old ones, late ones
+come between newer ones, and rows that a corrected file no longer brings go. Without it
+a second load of a date adds its rows again, and a security date then fails on its
+duplicate keys.
 """
 
 from __future__ import annotations
 
-from collections.abc import Callable, Sequence
+from collections.abc import Mapping, Sequence
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession
@@ -31,8 +33,14 @@ from pyspark.sql import types as T
 from tidewater.functions import dates
 from tidewater.operators import scd
 from tidewater.operators.joins import lookup_join
+from tidewater.session import path_exists
 from tidewater.sinks import catalog
-from tidewater.sinks.files import append_partitioned, replace_partition
+from tidewater.sinks.files import (
+    append_partitioned,
+    recover,
+    recover_partitions,
+    replace_partition,
+)
 from tidewater.sources.files import read_csv
 from tidewater.sources.history import HistoryTable
 
@@ -95,7 +103,7 @@ class Lake:
     @property
     def history(self) -> HistoryTable:
         return HistoryTable(
-            self.spark, self.path("security", "history_silver"), SECURITY_SCHEMA
+            self.spark, self.path("security", "history_silver"), SECURITY_SCHEMA, SECURITY_KEY
         )
 
     @property
@@ -103,14 +111,24 @@ class Lake:
         """The newest row per security."""
         return self.history.open_rows()
 
-    def register(self, name: str, location: str, schema: T.StructType, by: str) -> None:
-        if self.database:
-            full_name = f"{self.database}.{name}"
-            catalog.register_table(self.spark, full_name, location, schema, by)
-
-    def register_view(self, name: str, rows: Callable[[], DataFrame]) -> None:
-        if self.database:
-            rows().createOrReplaceTempView(name)
+    def register(
+        self,
+        name: str,
+        location: str,
+        schema: T.StructType,
+        by: str,
+        written: Sequence[Mapping[str, str]],
+    ) -> None:
+        """Makes the partitions just ``written`` of a table visible in the catalog."""
+        if not self.database:
+            return
+        full_name = f"{self.database}.{name}"
+        columns = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in schema)
+        catalog.create_table(self.spark, full_name, columns, location, by)
+        for values in written:
+            folder = "/".join([location, *[f"{c}={v}" for c, v in values.items()]])
+            if path_exists(self.spark, folder):
+                catalog.add_partition(self.spark, full_name, values, folder)
 
 
 def index_silver_rows(bronze: DataFrame, business_date: str) -> DataFrame:
@@ -151,22 +169,43 @@ def land(lake: Lake, domain: str, rows: DataFrame, file_date: str | None = None)
     """Bronze: rows as they came, partitioned by their own date.
 
     With ``safe_rerun`` the rows of a file, known by its date, lie in a folder of
-    their own.
+    their own. A NULL date has Spark's folder for it.
     """
     path = lake.path(domain, "bronze")
-    schema, folders = BRONZE_SCHEMAS[domain], "business_date"
+    schema, folders, own = BRONZE_SCHEMAS[domain], "business_date", {}
     if lake.safe_rerun and file_date is not None:
         replace_partition(rows, path, "file_date", file_date, "business_date")
         schema, folders = _strings([*schema.names, "file_date"]), "file_date, business_date"
+        own = {"file_date": file_date}
     else:
         append_partitioned(rows, path, "business_date")
-    lake.register(f"{domain}_bronze", path, schema, folders)
+    written = []
+    if lake.database:
+        dates_in = rows.select("business_date").dropna().distinct().collect()
+        written = [{**own, "business_date": r["business_date"]} for r in dates_in]
+    lake.register(f"{domain}_bronze", path, schema, folders, written)
+
 
+def _folder_rows(lake: Lake, path: str, schema: T.StructType, folder: str) -> DataFrame:
+    """Rows of the folders that match ``folder`` only; no other is listed."""
+    if not path_exists(lake.spark, f"{path}/{folder}"):
+        return lake.spark.createDataFrame([], schema)
+    reader = lake.spark.read.schema(schema).option("basePath", path)
+    return reader.parquet(f"{path}/{folder}").select(*schema.names)
 
-def _bronze(lake: Lake, domain: str) -> DataFrame:
-    schema = BRONZE_SCHEMAS[domain]
-    rows = lake.spark.read.schema(schema).parquet(lake.path(domain, "bronze"))
-    return rows.select(*schema.names)
+
+def _bronze(lake: Lake, domain: str, business_date: str) -> DataFrame:
+    """Bronze rows of one date, whichever file brought them."""
+    path, schema = lake.path(domain, "bronze"), BRONZE_SCHEMAS[domain]
+    if lake.safe_rerun:
+        recover_partitions(lake.spark, path)
+    folder = f"business_date={business_date}"
+    rows = _folder_rows(lake, path, schema, folder)
+    if not path_exists(lake.spark, f"{path}/file_date=*/{folder}"):
+        return rows
+    stored = _strings([*schema.names, "file_date"])
+    by_file = _folder_rows(lake, path, stored, f"file_date=*/{folder}")
+    return rows.unionByName(by_file.select(*schema.names))
 
 
 def _write_date(
@@ -176,35 +215,38 @@ def _write_date(
         replace_partition(rows, path, scd.EFFECTIVE, business_date)
     else:
         append_partitioned(rows, path, scd.EFFECTIVE)
-    lake.register(name, path, schema, scd.EFFECTIVE)
+    lake.register(name, path, schema, scd.EFFECTIVE, [{scd.EFFECTIVE: business_date}])
 
 
 def index_silver(lake: Lake, business_date: str) -> None:
-    rows = index_silver_rows(_bronze(lake, "index"), business_date)
+    rows = index_silver_rows(_bronze(lake, "index", business_date), business_date)
     path = lake.path("index", "silver")
     _write_date(lake, "index_silver", path, rows, business_date, INDEX_SILVER_SCHEMA)
 
 
 def security_silver(lake: Lake, business_date: str) -> None:
-    source = security_versions(_bronze(lake, "security"), business_date)
-    lake.history.merge(source, SECURITY_KEY, guard_late=lake.safe_rerun)
-    lake.register_view("security_history_silver", lake.history.read)
-    lake.register_view("security_latest_silver", lake.history.open_rows)
+    source = security_versions(_bronze(lake, "security", business_date), business_date)
+    if lake.safe_rerun:
+        lake.history.splice(source, [business_date])
+    else:
+        lake.history.merge(source, SECURITY_KEY)
+    if lake.database:
+        lake.history.register(lake.database, "security_history_silver", "security_latest_silver")
 
 
 def gold(lake: Lake, business_date: str) -> None:
     """Adds a date to the gold table, with the securities as they are now."""
-    silver = lake.spark.read.schema(INDEX_SILVER_SCHEMA).parquet(
-        lake.path("index", "silver")
-    )
-    rows = gold_rows(
-        silver.where(F.col(scd.EFFECTIVE) == business_date), lake.latest
-    )
+    silver_path, folder = lake.path("index", "silver"), f"{scd.EFFECTIVE}={business_date}"
+    if lake.safe_rerun:
+        recover(lake.spark, f"{silver_path}/{folder}")
+    rows = gold_rows(_folder_rows(lake, silver_path, INDEX_SILVER_SCHEMA, folder), lake.latest)
     path = lake.path("index_security")
     _write_date(lake, "index_security", path, rows, business_date, GOLD_SCHEMA)
 
 
 def read_gold(lake: Lake) -> DataFrame:
+    if lake.safe_rerun:
+        recover_partitions(lake.spark, lake.path("index_security"))
     return (
         lake.spark.read.schema(GOLD_SCHEMA)
         .parquet(lake.path("index_security"))

@@ -100,6 +100,8 @@ FROM customer FULL JOIN part ON c_custkey = p_partkey""",
     "scd1_latest": f"WITH {_DAILY} SELECT * FROM history WHERE latest",
     "scd2_history": _HISTORY,
     "scd2_backfill": _HISTORY,
+    "scd2_late_files": _HISTORY,
+    "streamed_history": _HISTORY,
     "time_travel": """
 SELECT c_custkey, c_mktsegment,
        CASE WHEN c_acctbal < 0 THEN 0.0 ELSE c_acctbal END AS c_acctbal

@@ -18,12 +18,15 @@ from tidewater.sinks.files import append_partitioned, rebalanced
 from tidewater.sources.files import driver_table as table
 from tidewater.sources.history import HistoryTable
 from tidewater.sources.snapshots import SnapshotTable
+from tidewater.streaming.history import merge_new_files
 from tidewater.streaming.incremental import ingest_new_files
 
 Query = Callable[[SparkSession, str], DataFrame]
 
 KEYWORD = "the"
 LAST_SUPPLIER_ID = 1000
+# Days merged one after another.
+MERGED_DAYS = 5
 
 
 def fare_totals(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -160,34 +163,82 @@ def _daily_securities(spark: SparkSession, sf_dir: str) -> DataFrame:
     return feed.where(F.col("id_bb_global").isNotNull())
 
 
-def _landed_securities(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
-    """The same from a bronze table with a partition per day: the rows before the
-    last day, and the last day's as new versions."""
+def _landed_securities(
+    spark: SparkSession, sf_dir: str
+) -> tuple[DataFrame, list[tuple[str, DataFrame]]]:
+    """The same from a bronze table with a partition per day: the rows before the last
+    MERGED_DAYS days, and each of these days' rows as new versions."""
     path = work_dir(spark, "bronze")
-    feed = rebalanced(_daily_securities(spark, sf_dir), "business_date")
-    append_partitioned(feed, path, "business_date")
-    bronze = spark.read.schema(feed.schema).parquet(path).select(*feed.columns)
-    last_day = bronze.agg(F.max("business_date").alias("d")).first()["d"]
-    before = bronze.where(F.col("business_date") < last_day)
-    today = bronze.where(F.col("business_date") == last_day)
-    return before, scd.new_versions(today)
+    daily = _daily_securities(spark, sf_dir)
+    append_partitioned(rebalanced(daily, "business_date"), path, "business_date")
+    bronze = spark.read.schema(daily.schema).parquet(path).select(*daily.columns)
+    dates_in = sorted(r["business_date"] for r in bronze.select("business_date").distinct().collect())
+    days = dates_in[-MERGED_DAYS:]
+
+    def versions(day: str) -> DataFrame:
+        rows = spark.read.schema(daily.schema).option("basePath", path)
+        return scd.new_versions(rows.parquet(f"{path}/business_date={day}").select(*daily.columns))
+
+    before = bronze.where(F.col("business_date") < days[0]) if days else bronze
+    return before, [(day, versions(day)) for day in days]
 
 
 def scd1_latest(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """All days but the last in one pass, then the last day's merge."""
-    before, today = _landed_securities(spark, sf_dir)
+    """The days before the last five in one pass, then five merges."""
+    before, days = _landed_securities(spark, sf_dir)
     latest = SnapshotTable(spark, work_dir(spark, "latest"))
     latest.write(scd.scd1_backfill(before, "security_id"))
-    return scd.scd1_merge(latest.read(), today, "security_id")
+    for _, today in days:
+        latest.write(scd.scd1_merge(latest.read(), today, "security_id"))
+    return latest.read()
+
+
+def _history(spark: SparkSession) -> HistoryTable:
+    return HistoryTable(
+        spark, work_dir(spark, "history"), medallion.SECURITY_SCHEMA, medallion.SECURITY_KEY
+    )
 
 
 def scd2_history(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """All days but the last in one pass, then the last day's merge, which reads
-    and writes open rows only."""
-    before, today = _landed_securities(spark, sf_dir)
-    history = HistoryTable(spark, work_dir(spark, "history"), medallion.SECURITY_SCHEMA)
+    """The days before the last five in one pass, then five merges, which read and
+    write open rows only."""
+    before, days = _landed_securities(spark, sf_dir)
+    history = _history(spark)
     history.append_version(scd.scd2_backfill(before, "security_id"))
-    history.merge(today, "security_id")
+    for _, today in days:
+        history.merge(today, "security_id")
+    return history.read()
+
+
+def scd2_late_files(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The last five days delivered out of order, and one of them first with wrong rows:
+    other names, and a part of the securities under ids that its correction withdraws."""
+    before, days = _landed_securities(spark, sf_dir)
+    history = _history(spark)
+    history.append_version(scd.scd2_backfill(before, "security_id"))
+    mistaken = F.pmod(F.xxhash64("security_id"), F.lit(3)) == 0
+    order = [i for i in (2, 4, 0, 2, 1, 3) if i < len(days)]
+    for turn, i in enumerate(order):
+        day, rows = days[i]
+        if i in order[turn + 1 :]:
+            rows = rows.withColumn("security_name", F.lit("wrong")).withColumn(
+                "security_id",
+                F.when(mistaken, F.concat(F.lit("X"), F.col("security_id"))).otherwise(F.col("security_id")),
+            )
+        history.splice(rows, [day])
+    return history.read()
+
+
+def streamed_history(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Security files that land in three deliveries, a run of the stream after each; the
+    second brings the last days, the third the days before them."""
+    daily = _daily_securities(spark, sf_dir)
+    landed, bookmark = work_dir(spark, "landed"), work_dir(spark, "bookmark")
+    history = _history(spark)
+    number = F.dayofmonth(F.to_date("business_date"))
+    for delivery in (number <= 10, number > 20, (number > 10) & (number <= 20)):
+        daily.where(delivery).write.mode("append").parquet(landed)
+        merge_new_files(spark, landed, daily.schema, history, bookmark, scd.new_versions)
     return history.read()
 
 
@@ -237,7 +288,9 @@ def medallion_replay(spark: SparkSession, sf_dir: str) -> DataFrame:
     medallion.land(
         lake, "index", rebalanced(feeds.index_feed(events, index_date), "business_date")
     )
-    medallion.land(lake, "security", feeds.security_feed(events, security_date))
+    medallion.land(
+        lake, "security", rebalanced(feeds.security_feed(events, security_date), "business_date")
+    )
     return medallion.replay(
         lake,
         feeds.distinct_dates(index_date, events),
@@ -316,14 +369,16 @@ def flatten_positions(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def incremental_files(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Two runs over the event files; the second finds nothing new."""
-    schema = table(spark, sf_dir, "events").schema
-    # A glob, as the table may be one file and a plain source must be a folder.
-    source = f"{sf_dir.rstrip('/')}/events.parque[t]"
-    target, bookmark = work_dir(spark, "events"), work_dir(spark, "bookmark")
-    for _ in range(2):
-        ingest_new_files(spark, source, schema, target, bookmark)
-    return spark.read.parquet(target)
+    """Event files that land in three deliveries, a run after each and one more."""
+    events = table(spark, sf_dir, "events")
+    source, target = work_dir(spark, "landed"), work_dir(spark, "events")
+    bookmark = work_dir(spark, "bookmark")
+    number = F.dayofmonth("ts")
+    for delivery in (number <= 10, number > 20, (number > 10) & (number <= 20), None):
+        if delivery is not None:
+            events.where(delivery).write.mode("append").parquet(source)
+        ingest_new_files(spark, source, events.schema, target, bookmark)
+    return spark.read.schema(events.schema).parquet(target)
 
 
 QUERIES: dict[str, Query] = {
@@ -342,6 +397,8 @@ QUERIES: dict[str, Query] = {
     "scd1_latest": scd1_latest,
     "scd2_history": scd2_history,
     "scd2_backfill": scd2_backfill,
+    "scd2_late_files": scd2_late_files,
+    "streamed_history": streamed_history,
     "time_travel": time_travel,
     "dml_walkthrough": dml_walkthrough,
     "index_gold": index_gold,

@@ -64,5 +64,7 @@ def work_dir(spark: SparkSession, name: str) -> str:
 
 
 def path_exists(spark: SparkSession, path: str) -> bool:
+    """Whether any file or folder matches ``path``, which may hold wildcards."""
     hadoop_path = spark._jvm.org.apache.hadoop.fs.Path(path)
-    return hadoop_path.getFileSystem(spark._jsc.hadoopConfiguration()).exists(hadoop_path)
+    files = hadoop_path.getFileSystem(spark._jsc.hadoopConfiguration())
+    return bool(files.globStatus(hadoop_path))

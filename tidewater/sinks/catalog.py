@@ -2,7 +2,8 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+import uuid
+from collections.abc import Mapping, Sequence
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -25,11 +26,14 @@ def create_table(
     location: str,
     partitioned_by: str | None = None,
 ) -> None:
-    """An external parquet table with a fixed schema (``columns`` is DDL)."""
+    """An external parquet table with a fixed schema (``columns`` is DDL), and the
+    partitions that its folder has when the table is made."""
+    if spark.catalog.tableExists(name):
+        return
     partitions = f"PARTITIONED BY ({partitioned_by})" if partitioned_by else ""
     spark.sql(
         f"CREATE TABLE IF NOT EXISTS {name} ({columns}) USING parquet "
-        f"{partitions} LOCATION '{location}'"
+        f"{partitions} LOCATION '{_quoted(location)}'"
     )
     if path_exists(spark, location):
         refresh(spark, name, partitioned_by is not None)
@@ -46,11 +50,14 @@ def register_table(
 
     Columns and partitions come from the files, where folder names that look like
     dates become dates, or from ``schema``. To be called again after files were
-    added, to make new partitions visible.
+    added, to make new partitions visible; ``add_partition`` does so for one.
     """
     if schema is not None:
         columns = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in schema)
+        known = spark.catalog.tableExists(name)
         create_table(spark, name, columns, location, partitioned_by)
+        if known and path_exists(spark, location):
+            refresh(spark, name, partitioned_by is not None)
         return
     spark.sql(f"CREATE TABLE IF NOT EXISTS {name} USING parquet LOCATION '{location}'")
     refresh(spark, name, _is_partitioned(spark, name))
@@ -105,16 +112,68 @@ def insert_into(df: DataFrame, table: str, columns: Sequence[str] | None = None)
     in_schema(df, declared).select(*stored.names).write.mode("append").insertInto(table)
 
 
+def add_partition(
+    spark: SparkSession, name: str, values: Mapping[str, str], location: str | None = None
+) -> None:
+    """Makes one partition of a table visible, without a look at the others."""
+    spec = ", ".join(f"`{column}` = '{_quoted(value)}'" for column, value in values.items())
+    place = f" LOCATION '{_quoted(location)}'" if location else ""
+    spark.sql(f"ALTER TABLE {name} ADD IF NOT EXISTS PARTITION ({spec}){place}")
+    spark.catalog.refreshTable(name)
+
+
+def _quoted(text: str) -> str:
+    return text.replace("\\", "\\\\").replace("'", "\\'")
+
+
+def table_location(spark: SparkSession, name: str) -> str:
+    """The folder that a table of the catalog reads."""
+    rows = spark.sql(f"DESCRIBE TABLE EXTENDED {name}").where("col_name = 'Location'")
+    return rows.first()["data_type"]
+
+
+def replace_rows(df: DataFrame, table: str) -> None:
+    """Makes ``df``, by column name, the whole content of an unpartitioned parquet table.
+
+    The rows are written to a fresh folder beside the table's, to which the table is then
+    switched: one change of the catalog, before which every reader gets the old rows and
+    after which the new ones. ``df`` may read the table. The old folder is removed last;
+    a query that still reads it then fails, as after any overwrite.
+    """
+    spark = df.sparkSession
+    if _is_partitioned(spark, table):
+        raise ValueError(f"{table} is partitioned; its partitions have places of their own")
+    stored = spark.table(table).schema
+    rows = df.select(*[F.col(f"`{f.name}`").cast(f.dataType).alias(f.name) for f in stored])
+    old = table_location(spark, table)
+    base, _, last = old.rstrip("/").rpartition("/")
+    new = f"{base}/{last.partition('.rows-')[0]}.rows-{uuid.uuid4().hex}"
+    rows.write.parquet(new)
+    _switch(spark, table, new)
+    path = spark._jvm.org.apache.hadoop.fs.Path(old)
+    path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
+
+
+def _switch(spark: SparkSession, table: str, location: str) -> None:
+    spark.sql(f"ALTER TABLE {table} SET LOCATION '{_quoted(location)}'")
+    spark.catalog.refreshTable(table)
+
+
 def load_table(df: DataFrame, table: str, truncate: bool = False) -> None:
     """Loads rows into a warehouse table of the catalog, by column name.
 
-    With ``truncate`` the new rows replace the old ones, otherwise they are added. The
-    new rows are computed and written aside before the old ones go.
+    With ``truncate`` the new rows replace the old ones, otherwise they are added. An
+    unpartitioned table is replaced in one step (``replace_rows``). A partitioned one is
+    overwritten once the new rows are computed and written aside, which is no single
+    commit: its partitions are entries of their own in the catalog.
     """
     spark = df.sparkSession
     if not spark.catalog.tableExists(table):
         df.write.saveAsTable(table)
         return
+    if truncate and not _is_partitioned(spark, table):
+        replace_rows(df, table)
+        return
     rows = df.select(*spark.table(table).columns)
     if truncate:
         aside = work_dir(spark, "load")

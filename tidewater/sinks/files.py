@@ -2,24 +2,65 @@
 
 from __future__ import annotations
 
-import uuid
+from pyspark.sql import DataFrame, DataFrameWriter, SparkSession
 
-from pyspark.sql import DataFrame, DataFrameWriter
 
+def _aside(folder: str, kind: str) -> str:
+    """A folder beside ``folder`` that no reader of a table sees."""
+    parent, _, name = folder.rstrip("/").rpartition("/")
+    return f"{parent}/.{kind}-{name}"
 
-def _replace(writer: DataFrameWriter, df: DataFrame, folder: str, beside: str) -> None:
-    """Writes to a hidden folder in ``beside`` and puts it in the place of ``folder``.
 
-    A failed job leaves the old rows as they were; ``df`` may not read ``folder``.
+def recover(spark: SparkSession, folder: str) -> None:
+    """Ends a replacement that broke off: the old rows come back if the new ones were not
+    in their place yet, and go if they were."""
+    path = spark._jvm.org.apache.hadoop.fs.Path
+    files = path(folder).getFileSystem(spark._jsc.hadoopConfiguration())
+    old = path(_aside(folder, "old"))
+    if not files.exists(old):
+        return
+    if files.exists(path(folder)):
+        files.delete(old, True)
+    elif not files.rename(old, path(folder)):
+        raise OSError(f"the rows of {folder} are still in {old}")
+
+
+def recover_partitions(spark: SparkSession, table: str) -> None:
+    """``recover`` for all partition folders of a table that a replacement left aside."""
+    path = spark._jvm.org.apache.hadoop.fs.Path
+    pattern = path(f"{table.rstrip('/')}/.old-*")
+    files = pattern.getFileSystem(spark._jsc.hadoopConfiguration())
+    for status in files.globStatus(pattern) or []:
+        name = status.getPath().getName().removeprefix(".old-")
+        recover(spark, f"{table.rstrip('/')}/{name}")
+
+
+def _replace(writer: DataFrameWriter, df: DataFrame, folder: str) -> None:
+    """Writes beside ``folder``, moves the old rows aside, the new ones in, the old away.
+
+    A failed job leaves the old rows as they were. After a failure between the two moves
+    they are aside, where ``recover`` finds them; the next replacement calls it first.
+    ``df`` may not read ``folder``.
     """
     spark = df.sparkSession
-    new = f"{beside.rstrip('/')}/_new-{uuid.uuid4().hex}"
-    writer.parquet(new)
+    recover(spark, folder)
+    new, old = _aside(folder, "new"), _aside(folder, "old")
+    writer.mode("overwrite").parquet(new)
     path = spark._jvm.org.apache.hadoop.fs.Path
     files = path(folder).getFileSystem(spark._jsc.hadoopConfiguration())
-    files.delete(path(folder), True)
-    if not files.rename(path(new), path(folder)):
-        raise OSError(f"the new rows of {folder} are still in {new}")
+    if files.exists(path(folder)):
+        _move(files, path(folder), path(old))
+    try:
+        _move(files, path(new), path(folder))
+    except Exception:
+        recover(spark, folder)
+        raise
+    files.delete(path(old), True)
+
+
+def _move(files, source, target) -> None:
+    if not files.rename(source, target):
+        raise OSError(f"{source} could not be moved to {target}")
 
 
 def append_partitioned(df: DataFrame, path: str, column: str) -> None:
@@ -35,7 +76,7 @@ def replace_partition(
     writer = df.drop(column).write
     if partition_by:
         writer = writer.partitionBy(partition_by)
-    _replace(writer, df, f"{path}/{column}={value}", path)
+    _replace(writer, df, f"{path.rstrip('/')}/{column}={value}")
 
 
 def rebalanced(df: DataFrame, column: str) -> DataFrame:
@@ -55,7 +96,7 @@ def append_parquet(df: DataFrame, path: str) -> None:
 
 def overwrite_parquet(df: DataFrame, path: str) -> None:
     """Replaces the whole table once the new rows are written."""
-    _replace(df.write, df, path, path.rstrip("/").rpartition("/")[0] or "/")
+    _replace(df.write, df, path.rstrip("/"))
 
 
 def append_tsv(df: DataFrame, path: str) -> None:

@@ -3,18 +3,21 @@
 from __future__ import annotations
 
 import sys
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
+from typing import TypeVar
 
 import numpy as np
 import public_tokenizers
 import pyarrow as pa
 import pyarrow.compute as pc
+import pyspark
 from pyspark import cloudpickle
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tidewater.session import work_dir
 
+Made = TypeVar("Made")
 # A table of no more bytes may be sent to every executor.
 BROADCAST_BYTES = 32 << 20
 # Text that a task takes apart at one time, one longer text aside.
@@ -29,11 +32,35 @@ def travels(module: str) -> None:
 travels(__name__)
 
 
+def kept(name: str, make: Callable[[], Made]) -> Made:
+    """What ``make`` returns, made once for ``name`` in a worker process.
+
+    Modules that travel with the job are made anew for each task; pyspark is not.
+    """
+    things = pyspark.__dict__.setdefault("_kept_by_tidewater", {})
+    if name not in things:
+        things[name] = make()
+    return things[name]
+
+
 def tokenizer_path(name: str) -> str:
     """The place of a public tokenizer file on this machine."""
     return public_tokenizers.path(name)
 
 
+def free_name(df: DataFrame, name: str) -> str:
+    """``name``, made longer until no column of ``df`` is called so."""
+    taken = {c.lower() for c in df.columns}
+    while name.lower() in taken:
+        name += "_"
+    return name
+
+
+def columns_of(df: DataFrame, names: list[str] | None = None) -> list[Column]:
+    """The columns of ``df``, or the named ones, whatever characters their names hold."""
+    return [F.col("`" + c.replace("`", "``") + "`") for c in (df.columns if names is None else names)]
+
+
 def written(df: DataFrame, name: str) -> DataFrame:
     """``df`` as a table in the shared folder: computed once, safe from lost executors."""
     spark = df.sparkSession
@@ -57,8 +84,10 @@ def text_bytes(column: str = "text") -> Column:
     return F.coalesce(F.col(column), F.lit("")).cast("binary")
 
 
-def slices(batches: Iterator[pa.RecordBatch], column: str) -> Iterator[pa.RecordBatch]:
-    """The same rows in batches of TEXT_AT_ONCE bytes of ``column``, or one row.
+def slices(
+    batches: Iterator[pa.RecordBatch], column: str, at_once: int = TEXT_AT_ONCE
+) -> Iterator[pa.RecordBatch]:
+    """The same rows in batches of ``at_once`` bytes of ``column``, or one row.
 
     Words of a text take many times its bytes as Python objects, so Arrow's batches are
     too large to be taken apart as a whole.
@@ -67,7 +96,7 @@ def slices(batches: Iterator[pa.RecordBatch], column: str) -> Iterator[pa.Record
         ends = np.cumsum(pc.binary_length(batch[column]).fill_null(0).to_numpy(zero_copy_only=False))
         start = 0
         while start < batch.num_rows:
-            most = TEXT_AT_ONCE + (int(ends[start - 1]) if start else 0)
+            most = at_once + (int(ends[start - 1]) if start else 0)
             stop = max(start + 1, int(np.searchsorted(ends, most, "right")))
             yield batch.slice(start, stop - start)
             start = stop

@@ -21,10 +21,11 @@ ROLE_OPENS, ROLE_ENDS, TURN_ENDS = "<s>[INST]", "[/INST]", "</s>"
 CONTROL = ("<s>", "</s>", "[INST]", "[/INST]")
 LEARNED_ROLE = "assistant"
 
-# Layouts: field paths ([] stands for the elements of an array), then the turns as
-# (role, field) from the record itself or as (array, role field, text field).
+# Layouts, the more telling first: field paths ([] stands for the elements of an array),
+# then the turns as (role, field) from the record itself or as (array, role field, text
+# field). The conversation's id is no part of a layout.
 LAYOUTS: dict[frozenset[str], dict] = {
-    frozenset(["conv_id", "turn", "role", "text"]): {"rows": ("role", "text")},
+    frozenset(["turn", "role", "text"]): {"rows": ("role", "text")},
     frozenset(["messages[].role", "messages[].content"]): {"array": ("messages", "role", "content")},
     frozenset(["conversations[].from", "conversations[].value"]): {"array": ("conversations", "from", "value")},
     frozenset(["instruction", "input", "output"]): {
@@ -47,11 +48,29 @@ def fingerprint(paths: Iterable[str]) -> str:
     return hashlib.sha256("\n".join(sorted(KNOWN_PATHS.intersection(paths))).encode()).hexdigest()
 
 
-MAPPINGS = {fingerprint(paths): mapping for paths, mapping in LAYOUTS.items()}
+MAPPINGS: dict[str, dict | None] = {fingerprint(paths): mapping for paths, mapping in LAYOUTS.items()}
+
+
+def mapping_of(paths: Iterable[str]) -> dict | None:
+    """The mapping for records with these field paths.
+
+    That of their fingerprint; records with the paths of several layouts, or with some of
+    another one's, get the largest layout whose paths they all have, of equal ones the
+    first in LAYOUTS. A fingerprint's choice is remembered.
+    """
+    known = KNOWN_PATHS.intersection(paths)
+    mark = fingerprint(known)
+    if mark not in MAPPINGS:
+        whole = [layout for layout in LAYOUTS if layout <= known]
+        MAPPINGS[mark] = LAYOUTS[max(whole, key=len)] if whole else None
+    return MAPPINGS[mark]
 
 
 def schema_paths(kind: T.DataType, at: str = "") -> Iterator[str]:
-    if isinstance(kind, T.StructType):
+    """The field paths of a schema; those that a layout knows, whatever they hold."""
+    if at in KNOWN_PATHS:
+        yield at
+    elif isinstance(kind, T.StructType):
         for field in kind.fields:
             yield from schema_paths(field.dataType, f"{at}.{field.name}" if at else field.name)
     elif isinstance(kind, T.ArrayType):
@@ -61,16 +80,28 @@ def schema_paths(kind: T.DataType, at: str = "") -> Iterator[str]:
 
 
 def value_paths(value: object, at: str = "") -> Iterator[str]:
-    if isinstance(value, dict):
+    """The same of a parsed record; an empty array of a layout has all its fields."""
+    if at in KNOWN_PATHS:
+        yield at
+    elif isinstance(value, dict):
         for name, inner in value.items():
             yield from value_paths(inner, f"{at}.{name}" if at else name)
     elif isinstance(value, list):
+        if not value:
+            yield from [p for p in KNOWN_PATHS if p.startswith(f"{at}[]")]
         for inner in value:
             yield from value_paths(inner, f"{at}[]")
     else:
         yield at
 
 
+def _text(value: Column, kind: T.DataType) -> Column:
+    """A field as text: what is no text is written as JSON, null is empty."""
+    if isinstance(kind, T.StructType | T.ArrayType | T.MapType):
+        value = F.to_json(value)
+    return F.coalesce(value.cast("string"), F.lit(""))
+
+
 def _role(name: Column) -> Column:
     role = F.coalesce(name, F.lit(""))
     for old, new in ROLE_NAMES.items():
@@ -81,28 +112,33 @@ def _role(name: Column) -> Column:
 def canonical_turns(records: DataFrame, conv_id: str = "conv_id") -> DataFrame:
     """conv_id, turn, role and text of ``records`` of one layout, told by its schema.
 
-    Raises ValueError for a layout without a mapping. Null texts are empty. Columns that
-    no layout knows are not read. Elements of arrays are numbered from 0.
+    Raises ValueError for a layout without a mapping. Null texts and roles are empty,
+    those of other types are written as text. Other columns, of whatever name, are not
+    read. Elements of arrays are numbered from 0; a null array has no turns, a null
+    element an empty one. Repeated rows are turns of their own.
     """
-    mapping = MAPPINGS.get(fingerprint(schema_paths(records.schema)))
+    paths = list(schema_paths(records.schema))
+    mapping = mapping_of(p for p in paths if p != conv_id)
     if mapping is None:
-        raise ValueError(f"no mapping for the fields {sorted(schema_paths(records.schema))}")
+        raise ValueError(f"no mapping for the fields {sorted(paths)}")
     if "rows" in mapping:
-        role, text = mapping["rows"]
-        return records.select(
-            F.col("conv_id"), F.col("turn"), F.coalesce(role, F.lit("")).alias("role"),
-            F.coalesce(text, F.lit("")).alias("text"),
-        )
+        role, text = (_text(F.col(c), records.schema[c].dataType).alias(n) for c, n in zip(mapping["rows"], ("role", "text"), strict=True))
+        return records.select(F.col(conv_id).alias("conv_id"), "turn", role, text)
     if "array" in mapping:
         name, role, text = mapping["array"]
+        fields = records.schema[name].dataType.elementType
         turns = F.transform(
             F.col(name),
-            lambda x: F.struct(_role(x[role]).alias("role"), F.coalesce(x[text], F.lit("")).alias("text")),
+            lambda x: F.struct(
+                _role(_text(x[role], fields[role].dataType)).alias("role"),
+                _text(x[text], fields[text].dataType).alias("text"),
+            ),
         )
     else:
+        said = lambda c: F.when(F.col(c).isNotNull(), _text(F.col(c), records.schema[c].dataType))
         turns = F.array(
             *[
-                F.struct(F.lit(role).alias("role"), F.concat_ws("\n", *fields).alias("text"))
+                F.struct(F.lit(role).alias("role"), F.concat_ws("\n", *map(said, fields)).alias("text"))
                 for role, fields in mapping["fields"]
             ]
         )
@@ -111,44 +147,59 @@ def canonical_turns(records: DataFrame, conv_id: str = "conv_id") -> DataFrame:
     )
 
 
+def _said(value: object) -> str:
+    """A JSON value as text: what is no text is written as JSON, null is empty."""
+    return value if isinstance(value, str) else "" if value is None else json.dumps(value, ensure_ascii=False)
+
+
+def record_turns(raw: str | None) -> list[tuple[int, str, str]]:
+    """(turn, role, text) of a record in JSON; see ``canonical_json``."""
+    unmapped = [(-1, "unmapped", raw or "")]
+    try:
+        record = json.loads(raw or "")
+    except (ValueError, RecursionError):
+        return unmapped
+    mapping = mapping_of(value_paths(record)) if isinstance(record, dict) else None
+    if mapping is None:
+        return unmapped
+    if "rows" in mapping:
+        turn = record["turn"]
+        if isinstance(turn, bool) or not isinstance(turn, int | None) or not -(2**31) <= (turn or 0) < 2**31:
+            return unmapped
+        return [(turn or 0, _said(record["role"]), _said(record["text"]))]
+    if "array" in mapping:
+        name, role, text = mapping["array"]
+        if not all(isinstance(x, dict) for x in record[name]):
+            return unmapped
+        said = [(_said(x.get(role)), _said(x.get(text))) for x in record[name]]
+        return [(k, ROLE_NAMES.get(who, who), what) for k, (who, what) in enumerate(said)]
+    return [
+        (k, role, "\n".join(_said(record[f]) for f in fields if record[f] is not None))
+        for k, (role, fields) in enumerate(mapping["fields"])
+    ]
+
+
 def canonical_json(records: DataFrame, column: str, conv_id: str = "conv_id") -> DataFrame:
     """The same from JSON texts of mixed layouts: every record's own fingerprint decides.
 
-    Records without a mapping, nulls and texts that are no JSON objects give one row of
-    turn -1 with the role ``unmapped`` and the record as text.
+    A record with an empty array of turns has none. Records without a mapping, nulls,
+    texts that are no JSON objects, arrays with elements that are no objects and turn
+    numbers that are no integers give one row of turn -1 with the role ``unmapped`` and
+    the record as text. Names and texts of other types are written as JSON.
     """
 
-    def turns(raw: str | None) -> Iterator[tuple[int, str, str]]:
-        try:
-            record = json.loads(raw or "")
-        except ValueError:
-            record = None
-        mapping = MAPPINGS.get(fingerprint(value_paths(record))) if isinstance(record, dict) else None
-        if mapping is None:
-            yield -1, "unmapped", raw or ""
-        elif "rows" in mapping:
-            yield int(record["turn"] or 0), record["role"] or "", str(record["text"] or "")
-        elif "array" in mapping:
-            name, role, text = mapping["array"]
-            for k, x in enumerate(record[name]):
-                said = x.get(role) or ""
-                yield k, ROLE_NAMES.get(said, said), str(x.get(text) or "")
-        else:
-            for k, (role, fields) in enumerate(mapping["fields"]):
-                yield k, role, "\n".join(str(record[f]) for f in fields if record[f] is not None)
-
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        kinds = (pa.int32(), pa.string(), pa.string())
         for batch in batches:
-            for i, raw in enumerate(batch[column].to_pylist()):
-                found = list(zip(*turns(raw), strict=True)) or [[], [], []]
-                ids = batch["conv_id"].take(pa.array([i] * len(found[0]), pa.int64()))
-                kinds = (pa.int32(), pa.string(), pa.string())
-                made = [pa.array(x, t) for x, t in zip(found, kinds, strict=True)]
-                yield pa.RecordBatch.from_arrays([ids, *made], ["conv_id", "turn", "role", "text"])
+            found = [record_turns(raw) for raw in batch[column].to_pylist()]
+            of = pa.array([i for i, turns in enumerate(found) for _ in turns], pa.int64())
+            columns = list(zip(*[t for turns in found for t in turns], strict=True)) or [[], [], []]
+            made = [pa.array(x, t) for x, t in zip(columns, kinds, strict=True)]
+            yield pa.RecordBatch.from_arrays([batch[0].take(of), *made], ["conv_id", "turn", "role", "text"])
 
     source = records.select(F.col(conv_id).alias("conv_id"), F.col(column))
-    schema = source.select("conv_id").schema.add("turn", "integer").add("role", "string").add("text", "string")
-    return source.mapInArrow(run, schema)
+    schema = T.StructType([source.schema["conv_id"]]).add("turn", T.IntegerType())
+    return source.mapInArrow(run, schema.add("role", T.StringType()).add("text", T.StringType()))
 
 
 def escaped(text: Column) -> Column:
@@ -195,7 +246,8 @@ def conversation_digests(turns: DataFrame) -> DataFrame:
     """Counts and hashes per conversation of ``parsed`` rows.
 
     Rows stream through in order of conversation and turn (then role and text), and a
-    task holds one batch of them, however long a conversation is.
+    task holds one batch of them, however long a conversation is. A hash over a whole
+    conversation is taken in one place; copies of a conversation's rows follow each other.
     """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -260,7 +312,6 @@ def op6_chat(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
     out = formatted(turns.unionByName(control))
     folder = work_dir(spark, "chat")
-    out.repartition("conv_id").sortWithinPartitions("conv_id", "turn").write.option(
-        "compression", "zstd"
-    ).parquet(folder)
+    # Rows say where they belong, so a long conversation may lie in many files.
+    out.write.option("compression", "zstd").parquet(folder)
     return conversation_digests(parsed(spark.read.schema(out.schema).parquet(folder)))

@@ -11,8 +11,9 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
-from tidewater.llm.common import id_remainder, slices, table, text_bytes, tokenizer_path, travels
+from tidewater.llm.common import columns_of, free_name, id_remainder, slices, table, text_bytes, tokenizer_path, travels
 from tidewater.llm.lattice import Lattice, Vocabulary
 
 travels(__name__)
@@ -100,17 +101,18 @@ def predict(
     """
     kept = [c for c in docs.columns if c not in to]
     letters = F.coalesce(F.col(text).rlike(r"\p{L}"), F.lit(False))
-    source = docs.select(*kept, letters.alias("_letters"), text_bytes(text).alias("_bytes"))
+    content = free_name(docs, "content")
+    source = docs.select(*columns_of(docs, kept), letters.alias("has_letters"), text_bytes(text).alias(content))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         lattice = Lattice(model.vocabulary, model.p, linear=True) if model.languages else None
         at: dict[str, int] = {}
         values = np.zeros((0, len(model.languages)))
         log_prior = np.log(model.prior)
-        for batch in slices(batches, "_bytes"):
+        for batch in slices(batches, content):
             texts = [
                 words_of(b) if letter and lattice else None
-                for b, letter in zip(batch["_bytes"].to_pylist(), batch["_letters"].to_pylist(), strict=True)
+                for b, letter in zip(batch[content].to_pylist(), batch[len(kept)].to_pylist(), strict=True)
             ]
             if len(at) > WORDS_KEPT:
                 at, values = {}, values[:0]
@@ -128,13 +130,13 @@ def predict(
                 best = int(total.argmax())
                 names.append(model.languages[best])
                 scores.append(float(1.0 / np.exp(total - total[best]).sum()))
-            columns = [batch[c] for c in kept]
+            columns = [batch[k] for k in range(len(kept))]
             yield pa.RecordBatch.from_arrays(
                 [*columns, pa.array(names, pa.string()), pa.array(scores, pa.float64())],
                 [*kept, *to],
             )
 
-    schema = docs.select(*kept).schema.add(to[0], "string").add(to[1], "double")
+    schema = T.StructType(source.schema.fields[:-2]).add(to[0], T.StringType()).add(to[1], T.DoubleType())
     return source.mapInArrow(run, schema)
 
 
@@ -146,20 +148,30 @@ def training_rows(documents: DataFrame) -> DataFrame:
 
 
 def languages(documents: DataFrame, path: str | None = None) -> DataFrame:
-    """doc_id, held_out, lang_pred and score for every row of ``documents``."""
+    """doc_id, held_out, lang_pred and score for every row of ``documents`` (doc_id, text, lang).
+
+    Learns from the rows with a text and a lang whose crc32 of the id is not 2 modulo 4; a
+    null id counts as the empty text. Repeated rows are learned from and predicted each;
+    of equally likely languages the first by name is predicted. An empty table gives an
+    empty result. Other columns are not read.
+    """
     model = fit(training_rows(documents), path or tokenizer_path("piece_bpe_32k.model"))
     docs = documents.select("doc_id", "text", (id_remainder("doc_id", 4) == 2).alias("held_out"))
     return predict(docs, model).select("doc_id", "held_out", "lang_pred", "score")
 
 
 def known_language(documents: DataFrame, path: str | None = None, least: float = 0.5) -> DataFrame:
-    """The rows of ``documents`` whose language is told with a score of ``least`` or more."""
+    """The rows of ``documents`` (doc_id, text, lang) whose language is told with a score of
+    ``least`` or more.
+
+    Null, empty and letterless texts go. Rows of equal ids or texts are judged each. All
+    columns are kept, whatever their names.
+    """
     model = fit(training_rows(documents), path or tokenizer_path("piece_bpe_32k.model"))
-    return (
-        predict(documents, model, to=("_language", "_certainty"))
-        .where((F.col("_language") != UNKNOWN) & (F.col("_certainty") >= least))
-        .select(*documents.columns)
-    )
+    row = F.struct(*columns_of(documents)).alias("row")
+    told = predict(documents.select(row, "text"), model)
+    kept = told.where((F.col("lang_pred") != UNKNOWN) & (F.col("score") >= least))
+    return kept.select(*[F.col("row").getField(c).alias(c) for c in documents.columns])
 
 
 def op3_language(spark: SparkSession, sf_dir: str) -> DataFrame:

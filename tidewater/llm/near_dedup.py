@@ -14,7 +14,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from tidewater.llm.common import slices, table, text_bytes, travels, written
+from tidewater.llm.common import columns_of, slices, table, text_bytes, travels, written
 
 travels(__name__)
 
@@ -471,6 +471,9 @@ def near_duplicates(documents: DataFrame) -> DataFrame:
 def one_of_each(documents: DataFrame) -> DataFrame:
     """The rows of ``documents`` without near duplicates: of each class the row of the
     least doc_id, of equal ids the one of the least text key, and one of repeated rows.
+
+    A null text counts as empty; of texts without words one of each stays. A null id
+    comes after all others. All columns are kept, whatever their names.
     """
     rows = written(signed(documents, ["doc_id"]), "dedup-rows")
     classes = text_classes(documents, rows)
@@ -481,11 +484,11 @@ def one_of_each(documents: DataFrame) -> DataFrame:
         .agg(F.min("first").alias("first"))
         .select(F.col("first.doc_id").alias("_id"), F.col("first.key").alias("_key"))
     )
-    columns = documents.columns
-    own = documents.withColumns({"_key": text_key(), "_id": F.col("doc_id")})
-    match = (own["_key"] == stays["_key"]) & own["_id"].eqNullSafe(stays["_id"])
-    kept = own.join(stays, match, "left_semi")
-    return kept.dropDuplicates(["_key", "_id"]).select(*columns)
+    row = F.struct(*columns_of(documents)).alias("row")
+    own = documents.select(row, text_key().alias("key"), F.col("doc_id").alias("id"))
+    match = (own["key"] == stays["_key"]) & own["id"].eqNullSafe(stays["_id"])
+    kept = own.join(stays, match, "left_semi").dropDuplicates(["key", "id"])
+    return kept.select(*[F.col("row").getField(c).alias(c) for c in documents.columns])
 
 
 def op2_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -21,7 +21,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tidewater.llm.common import Remembered, slices, table, text_bytes, tokenizer_path, travels
+from tidewater.llm.common import Remembered, columns_of, free_name, slices, table, text_bytes, tokenizer_path, travels
 
 travels(__name__)
 
@@ -239,23 +239,25 @@ def encode(
     """
     path = path or tokenizer_path("piece_bpe_32k.model")
     kept = [c for c in docs.columns if c not in (text, to, decoded)]
+    content = free_name(docs, "content")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         encoder = MergeEncoder(path)
-        for batch in slices(batches, "_bytes"):
-            ids = encoder.encode([b.decode() for b in batch["_bytes"].to_pylist()])
+        for batch in slices(batches, content):
+            ids = encoder.encode([b.decode() for b in batch[content].to_pylist()])
             starts = np.cumsum([0, *map(len, ids)], dtype=np.int32)
             flat = np.concatenate([*ids, np.zeros(0, np.int32)])
-            columns = [batch[c] for c in kept]
+            columns = [batch[k] for k in range(len(kept))]
             columns.append(pa.ListArray.from_arrays(pa.array(starts, pa.int32()), pa.array(flat)))
             if decoded:
                 columns.append(pa.array(map(encoder.decode_array, ids), pa.string()))
             yield pa.RecordBatch.from_arrays(columns, names)
 
     names = [*kept, to, *([decoded] if decoded else [])]
-    schema = docs.select(*kept).schema.add(to, T.ArrayType(T.IntegerType()))
-    schema = schema.add(decoded, "string") if decoded else schema
-    return docs.select(*kept, text_bytes(text).alias("_bytes")).mapInArrow(run, schema)
+    rows = docs.select(*columns_of(docs, kept), text_bytes(text).alias(content))
+    schema = T.StructType(rows.schema.fields[:-1]).add(to, T.ArrayType(T.IntegerType()))
+    schema = schema.add(decoded, T.StringType()) if decoded else schema
+    return rows.mapInArrow(run, schema)
 
 
 def decode(docs: DataFrame, ids: str = "ids", to: str = "decoded", path: str | None = None) -> DataFrame:

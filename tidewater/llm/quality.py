@@ -11,7 +11,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tidewater.llm.common import slices, table, text_bytes, travels, written
+from tidewater.llm.common import columns_of, free_name, slices, table, text_bytes, travels, written
 
 travels(__name__)
 
@@ -92,16 +92,18 @@ def with_counts(docs: DataFrame, text: str = "text") -> DataFrame:
     """``docs`` without the text, with COUNTS and MORE_COUNTS (long) of the whole text."""
     names = [*COUNTS, *MORE_COUNTS]
     kept = [c for c in docs.columns if c != text and c not in names]
+    content = free_name(docs, "content")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in slices(batches, "_bytes"):
-            found = np.array([counts_of(b) for b in batch["_bytes"].to_pylist()], np.int64)
+        for batch in slices(batches, content):
+            found = np.array([counts_of(b) for b in batch[content].to_pylist()], np.int64)
             found = found.reshape(-1, len(names))
             columns = [batch[c] for c in kept] + [pa.array(found[:, k]) for k in range(len(names))]
             yield pa.RecordBatch.from_arrays(columns, [*kept, *names])
 
-    schema = T.StructType(docs.select(*kept).schema.fields + [T.StructField(n, T.LongType()) for n in names])
-    return docs.select(*kept, text_bytes(text).alias("_bytes")).mapInArrow(run, schema)
+    rows = docs.select(*columns_of(docs, kept), text_bytes(text).alias(content))
+    schema = T.StructType(rows.schema.fields[:-1] + [T.StructField(n, T.LongType()) for n in names])
+    return rows.mapInArrow(run, schema)
 
 
 @dataclass
@@ -239,20 +241,27 @@ def verdicts(documents: DataFrame, labels: DataFrame) -> DataFrame:
 
 
 def good_documents(documents: DataFrame, labels: DataFrame) -> DataFrame:
-    """The rows of ``documents`` that pass the base rules and the forest."""
+    """The rows of ``documents`` (doc_id, text) that pass the base rules and the forest.
+
+    A null or empty text has no words and goes; rows of equal or null ids are judged each
+    by its own text, so repeated rows stay or go together. All columns are kept, whatever
+    their names. No labels: the base rules alone.
+    """
     counted = written(with_counts(documents.select("doc_id", "text")), "quality-counts")
     forest = fit(counted, labels)
-    columns = documents.columns
+    content = free_name(documents, "content")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in slices(batches, "_bytes"):
-            counts = np.array([counts_of(b) for b in batch["_bytes"].to_pylist()], np.int64).reshape(-1, 10)
+        for batch in slices(batches, content):
+            counts = np.array([counts_of(b) for b in batch[content].to_pylist()], np.int64).reshape(-1, 10)
             passed = (counts[:, 0] >= LEAST_WORDS) & (100 * counts[:, 4] <= MOST_REPEATED * counts[:, 0])
             if forest.trees:
                 passed &= forest.scores(_statistics(counts)) < forest.threshold
-            yield batch.filter(pa.array(passed)).select(columns)
+            rows = batch.filter(pa.array(passed))
+            yield rows.select(list(range(rows.num_columns - 1)))
 
-    return documents.withColumn("_bytes", text_bytes()).mapInArrow(run, documents.schema)
+    rows = documents.select(*columns_of(documents), text_bytes().alias(content))
+    return rows.mapInArrow(run, documents.schema)
 
 
 def op5_quality(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -1,0 +1,171 @@
+import collections
+import random
+import re
+
+from pyspark.sql import functions as F
+
+from tidewater.llm import decontaminate as D
+
+FOLDER = "/root/testdata/sf0.001"
+VOCABULARY = [f"w{k}" for k in range(400)]
+
+
+def words_of(text):
+    return re.findall(r"[^\W_]+", (text or "").lower())
+
+
+def bag(words, width):
+    if len(words) < width:
+        return collections.Counter([(-1, *words)])
+    return collections.Counter(tuple(words[i : i + width]) for i in range(len(words) - width + 1))
+
+
+def brute_leaks(docs, items):
+    """(doc row, item row, start, similarity) of the best window of every pair, all windows compared."""
+    out = {}
+    for d, text in enumerate(docs):
+        words = words_of(text)
+        for i, item in enumerate(items):
+            own = words_of(item)
+            if not own:
+                continue
+            width = min(len(own), D.SHINGLE)
+            wanted, best = bag(own, width), None
+            for start in range(len(words)):
+                found = bag(words[start : start + len(own)], width)
+                both = sum((found & wanted).values())
+                similarity = both / (sum(found.values()) + sum(wanted.values()) - both)
+                if similarity >= D.SIMILARITY and (best is None or similarity > best[1]):
+                    best = (start, similarity)
+            if best:
+                out[d, i] = best
+    return out
+
+
+def some_words(pick, n):
+    return [pick.choice(VOCABULARY) for _ in range(n)]
+
+
+def near_copy(pick, words, changes):
+    words = list(words)
+    for _ in range(changes):
+        at = pick.randrange(len(words))
+        kind = pick.choice("cid")
+        words[at : at + 1] = [f"new{pick.randrange(99)}"] if kind == "c" else [words[at], "more"] if kind == "i" else []
+    return words
+
+
+def test_every_window_against_brute_force(spark):
+    pick = random.Random(4)
+    items = [some_words(pick, n) for n in (1, 3, 5, 6, 12, 30, 30, 60, 200)]
+    items += [items[5][:20] + items[6][:10], ["a"] * 30, ["a", "b"] * 20]
+    docs = []
+    for item in items:
+        for changes in (0, 0, 1, 2, 4):
+            around = some_words(pick, pick.randint(0, 80)), some_words(pick, pick.choice([0, 0, 3, 90]))
+            docs.append(around[0] + near_copy(pick, item, min(changes, len(item) // 15)) + around[1])
+    docs += [items[8][:170], items[8][20:], some_words(pick, 3_000) + items[4], ["a"] * 500, items[5] + items[5] + items[6]]
+    docs = [" ".join(d) for d in docs] + [None, "", "!!", "A, b; a  B"]
+    texts = [" ".join(i) for i in items] + [None, "", "..."]
+    wanted = brute_leaks(docs, texts)
+    documents = spark.createDataFrame(list(enumerate(docs)), "doc_id long, text string")
+    benchmark = spark.createDataFrame(list(enumerate(texts)), "item_id long, text string")
+    got = {(r.doc_id, r.item_id): (r.start, r.similarity) for r in D.document_leaks(documents, benchmark).collect()}
+    assert len(wanted) > 50 and set(got) <= set(wanted)
+    # Only the fingerprints may lose a pair, and none with all of its words.
+    lost = {k: v for k, v in wanted.items() if k not in got}
+    assert len(lost) <= len(wanted) // 20 and all(v[1] < 1 for v in lost.values())
+    different = {k for k in got if got[k][0] != wanted[k][0] or abs(got[k][1] - wanted[k][1]) > 1e-9}
+    assert len(different) <= len(wanted) // 20
+
+
+def test_null_and_repeated_item_ids(spark):
+    pick = random.Random(6)
+    first, second, third = (" ".join(some_words(pick, 20)) for _ in range(3))
+    benchmark = spark.createDataFrame(
+        [(None, first), (7, second), (7, third), (7, third)], "item_id long, text string"
+    )
+    rows = [(1, f"x {first} y", "k"), (2, f"y y {second}", "k"), (3, third, "k"), (4, "none of it", "k"), (None, third, "k"), (5, None, "k"), (4, "none of it", "k")]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, `key` string")
+    found = sorted(map(tuple, D.document_leaks(docs, benchmark).collect()), key=str)
+    assert found == sorted([(1, None, 1, 1.0), (2, 7, 2, 1.0), (3, 7, 0, 1.0), (None, 7, 0, 1.0)], key=str)
+    clash = docs.withColumnRenamed("key", "_key").withColumn("row", F.lit(1)).withColumn("a.b", F.lit(2))
+    kept = D.without_leaks(clash, benchmark)
+    assert kept.columns == clash.columns
+    assert sorted(map(tuple, kept.collect())) == [(4, "none of it", "k", 1, 2)] * 2 + [(5, None, "k", 1, 2)]
+    assert D.without_leaks(docs.limit(0), benchmark).collect() == []
+    assert D.document_leaks(docs, benchmark.limit(0)).collect() == []
+    assert D.without_leaks(docs, benchmark.where("text is null")).count() == len(rows)
+
+
+def test_an_item_of_many_words(spark):
+    pick = random.Random(9)
+    words = [f"v{pick.randrange(5_000)}" for _ in range(40_000)]
+    benchmark = spark.createDataFrame([(1, " ".join(words)), (2, "a few other words here now")], "item_id long, text string")
+    docs = spark.createDataFrame([(1, " ".join(["pre", *words])), (2, "some of a few other words here now"), (3, "x")], "doc_id long, text string")
+    # Windows far from the copy are not near it; those around it are many and long.
+    prints = D.fingerprints(D.item_table(benchmark), ["item", "size"])
+    texts = docs.select(D.text_key().alias("key"), D.words_of("text").alias("words"))
+    regions = texts.where(F.size("words") > 10_000).select("key", F.lit(40_000).alias("size"), F.lit(0).alias("block"))
+    at_one = D.window_fingerprints(texts, regions).where("start = 1").first().fingerprint
+    assert at_one in {r.fingerprint for r in prints.collect()}
+
+
+def test_probes_find_all_fingerprints_within_the_radius(spark):
+    pick = random.Random(1)
+    pairs = []
+    for n in range(400):
+        a = pick.getrandbits(64)
+        flips = pick.sample(range(64), pick.randint(0, D.RADIUS))
+        b = a
+        for f in flips:
+            b ^= 1 << f
+        signed = lambda x: x - (1 << 64) if x >> 63 else x
+        pairs.append((n, signed(a), signed(b)))
+    df = spark.createDataFrame(pairs, "n int, a long, b long")
+    one = df.select("n", D.blocks("a"))
+    other = df.select("n", D.probes("b").alias("p")).select("n", "p.block", "p.bits")
+    assert one.join(other, ["n", "block", "bits"]).select("n").distinct().count() == 400
+    # A block's value is looked up under few of all values.
+    assert other.where("n = 0").count() == D.BLOCKS * 697
+
+
+def test_fingerprints_of_windows_equal_those_of_their_words(spark):
+    pick = random.Random(2)
+    texts = spark.createDataFrame([(bytes([k]), some_words(pick, n)) for k, n in enumerate((3, 7, 20, 41))], "key binary, words array<string>")
+    regions = spark.createDataFrame([(bytes([k]), 7, b) for k in range(4) for b in range(6)], "key binary, size int, block int")
+    got = {(bytes(r.key), r.start): r.fingerprint for r in D.window_fingerprints(texts, regions).collect()}
+    spans = [
+        (bytes(r.key), s, r.words[s : s + 7])
+        for r in texts.collect()
+        for s in range(max(len(r.words) - 6, 0) + 1)
+        if s == 0 or len(r.words) - s >= 6
+    ]
+    direct = D.fingerprints(spark.createDataFrame(spans, "key binary, start int, words array<string>"), ["key", "start"])
+    assert got == {(bytes(r.key), r.start): r.fingerprint for r in direct.collect()}
+
+
+def test_similar_windows_are_within_the_radius(spark):
+    """The share of items whose near copies the fingerprints keep."""
+    pick = random.Random(3)
+    rows = []
+    for n in range(600):
+        words = some_words(pick, pick.choice([16, 25, 40, 80]))
+        copy = list(words)
+        copy[pick.randrange(len(copy) // 4)] = "changed"
+        rows.append((n, words, copy))
+    df = spark.createDataFrame(rows, "id int, words array<string>, copy array<string>")
+    a = D.fingerprints(df.select("id", "words"), ["id"]).withColumnRenamed("fingerprint", "x")
+    b = D.fingerprints(df.select("id", F.col("copy").alias("words")), ["id"])
+    near = a.join(b, "id").where(F.bit_count(F.col("x").bitwiseXOR(F.col("fingerprint"))) <= D.RADIUS).count()
+    assert near >= 0.99 * 600
+
+
+def test_op9_over_its_table(spark):
+    docs = {r.doc_id: r.text for r in spark.read.parquet(f"{FOLDER}/documents.parquet").collect()}
+    items = {r.item_id: r.text for r in spark.read.parquet(f"{FOLDER}/benchmark.parquet").collect()}
+    short = {i: t for i, t in docs.items() if len(t or "") < 6_000}
+    wanted = brute_leaks(list(short.values()), list(items.values()))
+    wanted = {(list(short)[d], list(items)[i]): v for (d, i), v in wanted.items()}
+    got = {(r.doc_id, r.item_id): (r.start, r.similarity) for r in D.op9_decontaminate(spark, FOLDER).collect()}
+    assert {k: v for k, v in got.items() if k[0] in short} == wanted

@@ -1,29 +1,33 @@
 """Benchmark items in documents: SimHash of item-sized windows, then exact similarity.
 
 Only DataFrame functions. Windows are made where a text shares enough shingles with the
-items of a size to reach SIMILARITY at all; fingerprints of windows and items meet in
-blocks of bits, one of which is equal whenever they differ in RADIUS bits or less; what
-meets within the radius is compared shingle by shingle.
+items of a size to reach SIMILARITY at all, and their fingerprints come from running sums
+over the text. Fingerprints are cut into BLOCKS runs of bits. Two that differ in RADIUS
+bits or less differ in FLIPS or less in one of the runs, so items are looked up under all
+values of their runs with that many bits flipped. What meets within the radius is compared
+shingle by shingle.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from itertools import combinations
+
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
-from tidewater.llm.common import table, written
+from tidewater.llm.common import columns_of, table, written
 
 SHINGLE = 5
 SIMILARITY = 0.8
 # Fingerprints have 64 bits. A window of SIMILARITY differs from its item in few words.
 RADIUS = 15
-BLOCKS = RADIUS + 1
-# Shingles of all items that may be sent to every executor.
+BLOCKS = 4
+BLOCK_BITS = 64 // BLOCKS
+FLIPS = RADIUS // BLOCKS
+# Rows of a few numbers that may be sent to every executor.
 BROADCAST_ROWS = 500_000
 
-# Every half-byte as four counters of 16 bits, and the counters' unit.
-_SPREAD = [sum(((x >> b) & 1) << (16 * b) for b in range(4)) for x in range(16)]
-
 
 def words_of(text: str) -> Column:
     """Lower-case runs of letters and digits."""
@@ -45,106 +49,132 @@ def _shingles(words: Column, width: int) -> Column:
     ).otherwise(F.array().cast("array<bigint>"))
 
 
+def _counters(h: str) -> list[Column]:
+    """The 64 bits of a hash as counters of 32 bits, two to a number."""
+    bit = lambda k: F.shiftrightunsigned(h, k).bitwiseAND(F.lit(1))
+    return [bit(2 * k).bitwiseOR(F.shiftleft(bit(2 * k + 1), 32)) for k in range(32)]
+
+
+def _fingerprint(sums: list[Column], n: Column) -> Column:
+    """The bits that more than half of ``n`` hashes have, from the sums of their counters."""
+    bits = F.lit(0).cast("long")
+    for k, total in enumerate(sums):
+        for b in range(2):
+            count = F.shiftrightunsigned(total, 32 * b).bitwiseAND(F.lit(0xFFFFFFFF))
+            one = F.shiftleft(F.lit(1).cast("long"), 2 * k + b)
+            bits = bits.bitwiseOR(F.when(2 * count > n, one).otherwise(F.lit(0).cast("long")))
+    return bits
+
+
 def fingerprints(spans: DataFrame, keys: list[str]) -> DataFrame:
     """``keys`` with ``fingerprint``, the SimHash of the array ``words`` of each row.
 
-    The counts of set bits are kept four to a number, 16 bits each, and summed as such;
-    a bit is set if more than half of the words' hashes have it. Windows longer than
-    32,767 words would overflow; ``item_table`` refuses such items.
+    A bit is set if more than half of the words' hashes have it.
     """
-    nibble = F.array(*[F.lit(x) for x in _SPREAD])
-    exploded = spans.select(*keys, F.explode("words").alias("word")).select(
-        *keys, F.xxhash64("word").alias("h")
+    hashed = spans.select(*keys, F.explode("words").alias("word")).select(*keys, F.xxhash64("word").alias("h"))
+    sums = hashed.groupBy(*keys).agg(
+        F.count("*").alias("n"), *[F.sum(c).alias(f"s{k}") for k, c in enumerate(_counters("h"))]
     )
-    sums = exploded.groupBy(*keys).agg(
-        F.count("*").alias("n"),
-        *[
-            F.sum(
-                F.element_at(nibble, (F.shiftrightunsigned("h", 4 * k).bitwiseAND(F.lit(15)) + 1).cast("int"))
-            ).alias(f"s{k}")
-            for k in range(16)
-        ],
-    )
-    bits = F.lit(0).cast("long")
-    for k in range(16):
-        for b in range(4):
-            count = F.shiftrightunsigned(F.col(f"s{k}"), 16 * b).bitwiseAND(F.lit(0xFFFF))
-            one = F.shiftleft(F.lit(1).cast("long"), 4 * k + b)
-            bits = bits.bitwiseOR(F.when(2 * count > F.col("n"), one).otherwise(F.lit(0).cast("long")))
-    return sums.select(*keys, bits.alias("fingerprint"))
+    return sums.select(*keys, _fingerprint([F.col(f"s{k}") for k in range(32)], F.col("n")).alias("fingerprint"))
 
 
-def blocks(fingerprint: str) -> Column:
-    """The BLOCKS runs of bits of a fingerprint, as (number, bits)."""
-    edges = [64 * k // BLOCKS for k in range(BLOCKS + 1)]
-    return F.posexplode(
-        F.array(
-            *[
-                F.shiftrightunsigned(fingerprint, a).bitwiseAND(F.lit((1 << (b - a)) - 1))
-                for a, b in zip(edges[:-1], edges[1:], strict=True)
-            ]
-        )
-    ).alias("block", "bits")
+def _starts(size: Column, block: Column, words: Column) -> tuple[Column, Column]:
+    """The first and last window of a block; the last ones of a text may be shorter, but
+    for the fewer words a window needs to be similar to an item of ``size`` words."""
+    last = F.greatest(words - F.ceil(F.lit(SIMILARITY) * size).cast("int"), F.lit(0))
+    return block * size, F.least((block + 1) * size - 1, last)
 
 
-def item_table(benchmark: DataFrame) -> DataFrame:
-    """item_id, words, size and width (words of a shingle) of the items that have words."""
-    words = benchmark.select("item_id", words_of("text").alias("words")).withColumn("size", F.size("words"))
-    checked = F.when(F.col("size") > 32_767, F.raise_error(F.lit("an item is longer than 32,767 words"))).otherwise(
-        F.col("size")
+def window_fingerprints(texts: DataFrame, blocks: DataFrame) -> DataFrame:
+    """key, size, start and fingerprint of the windows of ``size`` words that start in ``blocks``.
+
+    ``texts`` has key and words, ``blocks`` key, size and block: the words from block *
+    size on, as many as the size. A word is read once for each block whose windows reach
+    it, at most two; a window's counters are the running sums up to its end less those
+    up to its start.
+    """
+    size, block, words = F.col("size"), F.col("block"), F.col("n_words")
+    first, last = _starts(size, block, words)
+    part = texts.join(blocks.select("key", "size", "block"), "key").select(
+        "key", "size", "block", F.size("words").alias("n_words"),
+        F.posexplode(F.slice("words", block * size + 1, 2 * size)).alias("i", "word"),
+    )
+    hashed = part.select(
+        "key", "size", "block", "n_words", (first + F.col("i")).cast("int").alias("at"), F.xxhash64("word").alias("h")
+    )
+    region = ["key", "size", "block"]
+    upto = Window.partitionBy(*region).orderBy("at").rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    running = hashed.select(*region, "n_words", "at", *[F.sum(c).over(upto).alias(f"s{k}") for k, c in enumerate(_counters("h"))])
+    at, none = F.col("at"), F.array().cast("array<int>")
+    begins = F.when((at + 1 > first) & (at + 1 <= last), F.array(at + 1)).otherwise(none)
+    whole = at - size + 1
+    # All windows that the end of the text cuts short end with its last word.
+    ends = (
+        F.when((at == words - 1) & (F.greatest(whole, first) <= last), F.sequence(F.greatest(whole, first), last))
+        .when((at < words - 1) & (whole >= first) & (whole <= last), F.array(whole))
+        .otherwise(none)
+    )
+    signed = lambda starts, sign: F.transform(starts, lambda s: F.struct(s.alias("start"), F.lit(sign).alias("sign")))
+    marks = running.select("*", F.explode(F.concat(signed(ends, 1), signed(begins, -1))).alias("mark")).select(
+        "*", F.col("mark.start").alias("start"), F.col("mark.sign").alias("sign")
     )
-    return words.where("size > 0").select(
-        "item_id", "words", checked.cast("int").alias("size"), F.least("size", F.lit(SHINGLE)).alias("width")
+    sums = marks.groupBy(*region, "start").agg(
+        F.first("n_words").alias("n_words"), *[F.sum(F.col(f"s{k}") * F.col("sign")).alias(f"s{k}") for k in range(32)]
+    )
+    n = F.least(size, words - F.col("start"))
+    return sums.select(
+        "key", "size", "start", _fingerprint([F.col(f"s{k}") for k in range(32)], n).alias("fingerprint")
     )
 
 
-def leaks(documents: DataFrame, benchmark: DataFrame) -> DataFrame:
-    """key (of the text), item_id, start (word, from 0) and similarity of the best window.
+def _runs(fingerprint: str) -> list[Column]:
+    """The BLOCKS runs of bits of a fingerprint."""
+    mask = F.lit((1 << BLOCK_BITS) - 1)
+    return [F.shiftrightunsigned(fingerprint, BLOCK_BITS * k).bitwiseAND(mask).cast("int") for k in range(BLOCKS)]
 
-    One row for each text of ``documents`` (text) and item of ``benchmark`` (item_id,
-    text) of which a window, as many words as the item has, or fewer where the text
-    ends, has a weighted Jaccard similarity of SIMILARITY or more in runs of SHINGLE
-    words (items of fewer words: their whole). Null and wordless texts and items have no
-    leaks. Equal texts are searched once. Of equal windows the first counts.
-    """
-    items = written(item_table(benchmark).dropDuplicates(["item_id", "words"]), "leak-items")
-    n_items = items.count()
-    widths = [r.width for r in items.select("width").distinct().collect()]  # at most SHINGLE
-    texts = documents.select(F.unhex(F.md5(F.coalesce("text", F.lit("")).cast("binary"))).alias("key"), words_of("text").alias("words"))
 
-    def of_items(width: int) -> DataFrame:
-        return items.where(F.col("width") == width).select(
-            "item_id", "size", "width", F.explode(_shingles(F.col("words"), width)).alias("shingle")
-        )
+def blocks(fingerprint: str) -> Column:
+    """The runs as (block, bits)."""
+    return F.posexplode(F.array(*_runs(fingerprint))).alias("block", "bits")
 
-    spark = documents.sparkSession
-    shingles_of_items = spark.createDataFrame([], of_items(1).schema)
-    for width in widths:
-        shingles_of_items = shingles_of_items.unionByName(of_items(width))
-    shingles_of_items = written(shingles_of_items, "leak-shingles")
-    n_shingles = shingles_of_items.count()
 
-    # Where texts share shingles with items of a size: blocks of that many word places.
+def probes(fingerprint: str) -> Column:
+    """The runs as (block, bits) with up to FLIPS bits flipped."""
+    flips = [sum(1 << b for b in some) for n in range(FLIPS + 1) for some in combinations(range(BLOCK_BITS), n)]
+    near = lambda run: F.transform(F.array(*[F.lit(x) for x in flips]), lambda x: x.bitwiseXOR(run))
+    runs = F.array(*[F.struct(F.lit(k).alias("block"), near(run).alias("near")) for k, run in enumerate(_runs(fingerprint))])
+    return F.explode(F.flatten(F.transform(runs, lambda r: F.transform(r["near"], lambda x: F.struct(r["block"].alias("block"), x.alias("bits"))))))
+
+
+def item_table(benchmark: DataFrame) -> DataFrame:
+    """item, item_id, words, size and width (words of a shingle) of the items that have words.
+
+    ``item`` stands for the id, which may be null, and the words: rows that repeat an id
+    with other words are items of their own.
+    """
+    words = benchmark.select("item_id", words_of("text").alias("words")).withColumn("size", F.size("words"))
+    named = F.to_json(F.struct(F.col("item_id").cast("string").alias("id"), F.array_join("words", " ").alias("words")))
+    return (
+        words.where("size > 0")
+        .select(F.unhex(F.md5(named.cast("binary"))).alias("item"), "item_id", "words", "size", F.least("size", F.lit(SHINGLE)).alias("width"))
+        .dropDuplicates(["item"])
+    )
+
+
+def _similar_regions(texts: DataFrame, shingles: DataFrame, widths: list[int], rows: int) -> DataFrame:
+    """key, size and block where windows share enough shingles with the items of a size."""
     near = None
     for width in widths:
-        sizes = (
-            shingles_of_items.where(F.col("width") == width)
-            .groupBy("shingle")
-            .agg(F.collect_set("size").alias("sizes"))
-        )
+        sizes = shingles.where(F.col("width") == width).groupBy("shingle").agg(F.collect_set("size").alias("sizes"))
         places = texts.select("key", F.posexplode(_shingles(F.col("words"), width)).alias("at", "shingle"))
         shared = (
-            places.join(_if_small(sizes, n_shingles), "shingle")
+            places.join(_if_small(sizes, rows), "shingle")
             .select("key", "at", F.explode("sizes").alias("size"))
             .groupBy("key", "size", F.floor(F.col("at") / F.col("size")).cast("int").alias("block"))
             .agg(F.count_distinct("at").alias("n"))
             .withColumn("width", F.lit(width))
         )
         near = shared if near is None else near.unionByName(shared)
-    if near is None:
-        return spark.createDataFrame([], "key binary, item_id long, start int, similarity double").select(
-            "key", F.col("item_id").cast(benchmark.schema["item_id"].dataType).alias("item_id"), "start", "similarity"
-        )
     near = written(near, "leak-places")
     # A window starting in a block reaches into the next one; both together must share
     # as many shingles as the similarity takes.
@@ -153,84 +183,120 @@ def leaks(documents: DataFrame, benchmark: DataFrame) -> DataFrame:
         .groupBy("key", "size", "width", "block")
         .agg(F.sum("n").alias("n"))
         .where((F.col("block") >= 0) & (F.col("n") >= F.lit(SIMILARITY) * (F.col("size") - F.col("width") + 1)))
-        .select("key", "size", "width", "block")
     )
-    starts = written(starts, "leak-blocks")
-    wanted = starts.select("key").distinct()
-    found_texts = texts.join(wanted, "key", "left_semi").groupBy("key").agg(F.first("words").alias("words"))
-    window = F.slice("words", F.col("start") + 1, F.col("size"))
-    last = F.least(
-        (F.col("block") + 1) * F.col("size") - 1,
-        F.greatest(F.size("words") - F.ceil(F.lit(SIMILARITY) * F.col("size")), F.lit(0)),
-    ).cast("int")
-    windows = (
-        found_texts.join(starts, "key")
-        .where(last >= F.col("block") * F.col("size"))
-        .select(
-            "key", "size", "width", "words",
-            F.explode(F.sequence(F.col("block") * F.col("size"), last)).alias("start"),
-        )
-        .select("key", "size", "width", "start", window.alias("words"))
+    return written(starts.select("key", "size", "block"), "leak-blocks")
+
+
+def _within_radius(windows: DataFrame, prints: DataFrame, n_items: int) -> DataFrame:
+    """key, size, start and item of the ``windows`` within RADIUS bits of an item's print."""
+    probed = prints.select("item", "size", F.col("fingerprint").alias("wanted"), probes("fingerprint").alias("probe")).select(
+        "item", "size", "wanted", "probe.block", "probe.bits"
     )
-    windows = written(windows, "leak-windows")
-    prints = fingerprints(windows, ["key", "size", "start"])
-    item_prints = written(fingerprints(items, ["item_id", "size"]), "leak-prints")
-    item_blocks = item_prints.select("item_id", "size", F.col("fingerprint").alias("wanted"), blocks("fingerprint"))
-    met = (
-        prints.select("key", "size", "start", "fingerprint", blocks("fingerprint"))
-        .join(_if_small(item_blocks, n_items * BLOCKS), ["size", "block", "bits"])
+    n_probes = n_items * BLOCKS * sum(1 for n in range(FLIPS + 1) for _ in combinations(range(BLOCK_BITS), n))
+    # Equal windows, of copies of a passage, are looked up once.
+    distinct = windows.select("size", "fingerprint").distinct()
+    pairs = (
+        distinct.select("size", "fingerprint", blocks("fingerprint"))
+        .join(_if_small(probed, n_probes), ["size", "block", "bits"])
         .where(F.bit_count(F.col("fingerprint").bitwiseXOR(F.col("wanted"))) <= RADIUS)
-        .select("key", "size", "start", "item_id")
+        .select("size", "fingerprint", "item")
         .distinct()
     )
-    met = written(met, "leak-candidates")
+    pairs = written(pairs, "leak-pairs")
+    return windows.join(_if_small(pairs, pairs.count()), ["size", "fingerprint"]).select("key", "size", "start", "item")
+
 
+def leaks(documents: DataFrame, benchmark: DataFrame) -> DataFrame:
+    """key (of the text), item_id, start (word, from 0) and similarity of the best window.
+
+    One row for each text of ``documents`` (text) and item of ``benchmark`` (item_id,
+    text) of which a window, as many words as the item has, or fewer where the text
+    ends, has a weighted Jaccard similarity of SIMILARITY or more in runs of SHINGLE
+    words (items of fewer words: their whole). Null and wordless texts and items have no
+    leaks. Equal texts are searched once, equal rows of ``benchmark`` are one item; rows
+    with one item_id, or none, and different words are items of their own. Of equally
+    similar windows the first counts. No documents or items: no rows.
+    """
+    spark = documents.sparkSession
+    items = written(item_table(benchmark), "leak-items")
+    n_items = items.count()
+    schema = T.StructType().add("key", T.BinaryType()).add("item_id", benchmark.schema["item_id"].dataType)
+    schema = schema.add("start", T.IntegerType()).add("similarity", T.DoubleType())
+    if not n_items:
+        return spark.createDataFrame([], schema)
+    widths = [r.width for r in items.select("width").distinct().collect()]  # at most SHINGLE
+    texts = documents.select(text_key().alias("key"), words_of("text").alias("words"))
+    shingles = None
+    for width in widths:
+        some = items.where(F.col("width") == width).select(
+            "item", "size", "width", F.explode(_shingles(F.col("words"), width)).alias("shingle")
+        )
+        shingles = some if shingles is None else shingles.unionByName(some)
+    shingles = written(shingles, "leak-shingles")
+    n_shingles = shingles.count()
+
+    regions = _similar_regions(texts, shingles, widths, n_shingles)
+    wanted = written(regions.select("key").distinct(), "leak-keys")
+    near = texts.join(_if_small(wanted, wanted.count()), "key", "left_semi")
+    # Copies of a text are combined before the shuffle.
+    near = written(near.groupBy("key").agg(F.first("words").alias("words")), "leak-texts")
+    windows = written(window_fingerprints(near, regions), "leak-windows")
+    met = written(_within_radius(windows, fingerprints(items, ["item", "size"]), n_items), "leak-candidates")
+
+    window = F.slice("words", F.col("start") + 1, F.col("size"))
+    spans = near.join(met.select("key", "size", "start").distinct(), "key").select(
+        "key", "size", "start", F.least("size", F.lit(SHINGLE)).alias("width"), window.alias("words")
+    )
     counted = None
     for width in widths:
         pieces = F.when(F.size("words") >= width, _shingles(F.col("words"), width)).otherwise(
             F.array(F.xxhash64(F.lit(-1), F.array_join("words", " ")))
         )
-        part = windows.where(F.col("width") == width).select("key", "size", "start", F.explode(pieces).alias("shingle"))
+        part = spans.where(F.col("width") == width).select("key", "size", "start", F.explode(pieces).alias("shingle"))
         counted = part if counted is None else counted.unionByName(part)
-    of_windows = (
-        counted.join(met.select("key", "size", "start").distinct(), ["key", "size", "start"], "left_semi")
-        .groupBy("key", "size", "start", "shingle")
-        .agg(F.count("*").alias("n"))
-    )
-    of_items_n = shingles_of_items.groupBy("item_id", "size", "shingle").agg(F.count("*").alias("m"))
+    of_windows = counted.groupBy("key", "size", "start", "shingle").agg(F.count("*").alias("n"))
+    of_items = shingles.groupBy("item", "size", "shingle").agg(F.count("*").alias("m"))
     both = (
         of_windows.join(met, ["key", "size", "start"])
-        .join(_if_small(of_items_n, n_shingles), ["item_id", "size", "shingle"], "left")
-        .groupBy("key", "item_id", "size", "start")
+        .join(_if_small(of_items, n_shingles), ["item", "size", "shingle"], "left")
+        .groupBy("key", "item", "size", "start")
         .agg(F.sum("n").alias("n"), F.sum(F.least("n", F.coalesce("m", F.lit(0)))).alias("both"))
     )
     of_item = F.col("size") - F.least("size", F.lit(SHINGLE)) + 1
-    similarity = F.col("both") / (F.col("n") + of_item - F.col("both"))
-    return (
-        both.withColumn("similarity", similarity)
+    best = (
+        both.withColumn("similarity", F.col("both") / (F.col("n") + of_item - F.col("both")))
         .where(F.col("similarity") >= SIMILARITY)
-        .groupBy("key", "item_id")
+        .groupBy("key", "item")
         .agg(F.max(F.struct("similarity", (-F.col("start")).alias("back"))).alias("best"))
-        .select("key", "item_id", (-F.col("best.back")).alias("start"), F.col("best.similarity").alias("similarity"))
+    )
+    return best.join(_if_small(items.select("item", "item_id"), n_items), "item").select(
+        "key", "item_id", (-F.col("best.back")).alias("start"), F.col("best.similarity").alias("similarity")
     )
 
 
-def _keyed(documents: DataFrame) -> DataFrame:
-    return documents.withColumn("_key", F.unhex(F.md5(F.coalesce("text", F.lit("")).cast("binary"))))
+def text_key() -> Column:
+    """128 bits that stand for the text; null is the empty text."""
+    return F.unhex(F.md5(F.coalesce("text", F.lit("")).cast("binary")))
 
 
 def document_leaks(documents: DataFrame, benchmark: DataFrame) -> DataFrame:
-    """doc_id, item_id, start and similarity of every leak in a row of ``documents``."""
+    """doc_id, item_id, start and similarity of every leak in a row of ``documents``
+    (doc_id, text); see ``leaks``. Rows of equal or null ids have their own text's."""
     found = written(leaks(documents.select("text"), benchmark), "leaks")
-    own = _keyed(documents.select("doc_id", "text")).select("doc_id", "_key")
-    return own.join(found, F.col("_key") == F.col("key")).select("doc_id", "item_id", "start", "similarity")
+    own = documents.select("doc_id", text_key().alias("key"))
+    return own.join(_if_small(found, found.count()), "key").select("doc_id", "item_id", "start", "similarity")
 
 
 def without_leaks(documents: DataFrame, benchmark: DataFrame) -> DataFrame:
-    """The rows of ``documents`` that hold no benchmark item."""
-    found = written(leaks(documents.select("text"), benchmark).select(F.col("key").alias("_key")).distinct(), "leaks")
-    own = _keyed(documents)
-    return own.join(found, "_key", "left_anti").select(*documents.columns)
+    """The rows of ``documents`` (text) that hold no benchmark item; see ``leaks``.
+
+    Null and empty texts hold none and stay, as do repeated rows without a leak. All
+    columns are kept, whatever their names.
+    """
+    found = written(leaks(documents.select("text"), benchmark).select("key").distinct(), "leaks")
+    own = documents.select(F.struct(*columns_of(documents)).alias("row"), text_key().alias("key"))
+    clean = own.join(_if_small(found, found.count()), "key", "left_anti")
+    return clean.select(*[F.col("row").getField(c).alias(c) for c in documents.columns])
 
 
 def op9_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:

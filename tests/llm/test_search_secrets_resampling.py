@@ -165,6 +165,7 @@ TEXTS = [
 
 def test_secrets(spark):
     docs = spark.createDataFrame([(i, t, "own", 3) for i, t in TEXTS], "doc_id long, text string, secrets string, kind int")
+    docs = docs.withColumn("row", F.lit(1)).withColumn("a.b", F.lit(2))
     out = secrets.scan(docs.repartition(3))
     assert sorted(out.columns) == sorted(docs.columns)
     got = {}

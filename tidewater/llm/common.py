@@ -61,6 +61,17 @@ def columns_of(df: DataFrame, names: list[str] | None = None) -> list[Column]:
     return [F.col("`" + c.replace("`", "``") + "`") for c in (df.columns if names is None else names)]
 
 
+def row_of(df: DataFrame, names: list[str] | None = None) -> Column:
+    """The columns of ``df``, or the named ones, as one column ``row``, so that their
+    names meet no other ones and may hold any character in a Python stage."""
+    return F.struct(*columns_of(df, names)).alias("row")
+
+
+def columns_of_row(names: list[str]) -> list[Column]:
+    """The columns that ``row_of`` put into ``row``."""
+    return [F.col("row").getField(c).alias(c) for c in names]
+
+
 def written(df: DataFrame, name: str) -> DataFrame:
     """``df`` as a table in the shared folder: computed once, safe from lost executors."""
     spark = df.sparkSession

@@ -16,7 +16,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tidewater.llm.common import columns_of, table, written
+from tidewater.llm.common import columns_of_row, row_of, table, written
 
 SHINGLE = 5
 SIMILARITY = 0.8
@@ -294,9 +294,9 @@ def without_leaks(documents: DataFrame, benchmark: DataFrame) -> DataFrame:
     columns are kept, whatever their names.
     """
     found = written(leaks(documents.select("text"), benchmark).select("key").distinct(), "leaks")
-    own = documents.select(F.struct(*columns_of(documents)).alias("row"), text_key().alias("key"))
+    own = documents.select(row_of(documents), text_key().alias("key"))
     clean = own.join(_if_small(found, found.count()), "key", "left_anti")
-    return clean.select(*[F.col("row").getField(c).alias(c) for c in documents.columns])
+    return clean.select(*columns_of_row(documents.columns))
 
 
 def op9_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -13,7 +13,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tidewater.llm.common import columns_of, free_name, id_remainder, slices, table, text_bytes, tokenizer_path, travels
+from tidewater.llm.common import columns_of, columns_of_row, free_name, id_remainder, row_of, slices, table, text_bytes, tokenizer_path, travels
 from tidewater.llm.lattice import Lattice, Vocabulary
 
 travels(__name__)
@@ -168,10 +168,9 @@ def known_language(documents: DataFrame, path: str | None = None, least: float =
     columns are kept, whatever their names.
     """
     model = fit(training_rows(documents), path or tokenizer_path("piece_bpe_32k.model"))
-    row = F.struct(*columns_of(documents)).alias("row")
-    told = predict(documents.select(row, "text"), model)
+    told = predict(documents.select(row_of(documents), "text"), model)
     kept = told.where((F.col("lang_pred") != UNKNOWN) & (F.col("score") >= least))
-    return kept.select(*[F.col("row").getField(c).alias(c) for c in documents.columns])
+    return kept.select(*columns_of_row(documents.columns))
 
 
 def op3_language(spark: SparkSession, sf_dir: str) -> DataFrame:

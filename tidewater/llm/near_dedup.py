@@ -14,7 +14,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from tidewater.llm.common import columns_of, slices, table, text_bytes, travels, written
+from tidewater.llm.common import columns_of_row, row_of, slices, table, text_bytes, travels, written
 
 travels(__name__)
 
@@ -484,11 +484,11 @@ def one_of_each(documents: DataFrame) -> DataFrame:
         .agg(F.min("first").alias("first"))
         .select(F.col("first.doc_id").alias("_id"), F.col("first.key").alias("_key"))
     )
-    row = F.struct(*columns_of(documents)).alias("row")
+    row = row_of(documents)
     own = documents.select(row, text_key().alias("key"), F.col("doc_id").alias("id"))
     match = (own["key"] == stays["_key"]) & own["id"].eqNullSafe(stays["_id"])
     kept = own.join(stays, match, "left_semi").dropDuplicates(["key", "id"])
-    return kept.select(*[F.col("row").getField(c).alias(c) for c in documents.columns])
+    return kept.select(*columns_of_row(documents.columns))
 
 
 def op2_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -11,7 +11,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tidewater.llm.common import columns_of, free_name, slices, table, text_bytes, travels, written
+from tidewater.llm.common import columns_of, columns_of_row, free_name, row_of, slices, table, text_bytes, travels, written
 
 travels(__name__)
 
@@ -249,19 +249,18 @@ def good_documents(documents: DataFrame, labels: DataFrame) -> DataFrame:
     """
     counted = written(with_counts(documents.select("doc_id", "text")), "quality-counts")
     forest = fit(counted, labels)
-    content = free_name(documents, "content")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in slices(batches, content):
-            counts = np.array([counts_of(b) for b in batch[content].to_pylist()], np.int64).reshape(-1, 10)
+        for batch in slices(batches, "content"):
+            counts = np.array([counts_of(b) for b in batch["content"].to_pylist()], np.int64).reshape(-1, 10)
             passed = (counts[:, 0] >= LEAST_WORDS) & (100 * counts[:, 4] <= MOST_REPEATED * counts[:, 0])
             if forest.trees:
                 passed &= forest.scores(_statistics(counts)) < forest.threshold
-            rows = batch.filter(pa.array(passed))
-            yield rows.select(list(range(rows.num_columns - 1)))
+            yield batch.filter(pa.array(passed)).select(["row"])
 
-    rows = documents.select(*columns_of(documents), text_bytes().alias(content))
-    return rows.mapInArrow(run, documents.schema)
+    rows = documents.select(row_of(documents), text_bytes().alias("content"))
+    passed_rows = rows.mapInArrow(run, rows.select("row").schema)
+    return passed_rows.select(*columns_of_row(documents.columns))
 
 
 def op5_quality(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -18,7 +18,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tidewater.llm.common import slices, table, travels
+from tidewater.llm.common import columns_of_row, row_of, slices, table, travels
 
 travels(__name__)
 
@@ -169,13 +169,11 @@ def scan(
         scanner = Scanner(classes, allowed)
         for batch in slices(batches, "text"):
             spans = [scanner.spans(t or "") for t in batch["text"].to_pylist()]
-            yield pa.RecordBatch.from_arrays(
-                [*[batch[c] for c in names], pa.array(spans, _ARROW_SPANS)], [*names, to]
-            )
+            yield pa.RecordBatch.from_arrays([batch["row"], pa.array(spans, _ARROW_SPANS)], ["row", "spans"])
 
-    rows = documents.select(*[F.col(f"`{c}`") for c in names])
-    schema = T.StructType([*rows.schema.fields, T.StructField(to, T.DataType.fromDDL(SPANS))])
-    return rows.mapInArrow(run, schema)
+    rows = documents.select(row_of(documents, names), "text")
+    schema = T.StructType([rows.schema["row"], T.StructField("spans", T.DataType.fromDDL(SPANS))])
+    return rows.mapInArrow(run, schema).select(*columns_of_row(names), F.col("spans").alias(to))
 
 
 def _listed(spans: Column) -> Column:

@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tidewater.operators.joins import balanced_join
+from tidewater.operators.keys import ranks_within
 
 PAGE_SIZE = 10_000
 
@@ -22,32 +23,28 @@ def nest(
 ) -> DataFrame:
     """(parent, page, ``into``): child rows as sorted arrays of structs.
 
-    A parent with up to ``page_size`` children has one row, page 0. A larger one
-    is spread by a hash of ``child_key`` over as many pages as it needs, so no
-    task or array ever holds a whole hot parent and nothing is cut off.
-    ``child_key`` must be unique within the parent and starts the sort order.
+    Children are ordered by ``child_key``, then the fields, NULLs first. A parent's pages
+    from 0 are runs of that order, each of ``page_size`` children but the last; one page
+    after another they are the whole list, and most parents have one. No task or array
+    holds more than a page, whether child keys repeat or are missing.
     """
     sizes = (
         children.groupBy(F.col(parent).alias("_parent"))
         .count()
         .where(F.col("count") > page_size)
-        .select("_parent", F.ceil(F.col("count") / page_size).alias("_pages"))
-    )
-    # At most rows / page_size parents are large; the others stay on page 0. The
-    # hash makes both sides shuffle for this join, so that AQE can split a hot
-    # parent (see balanced_join); NULL is a parent too.
-    paged = children.join(
-        sizes,
-        (F.xxhash64(parent) == F.xxhash64("_parent"))
-        & F.col(parent).eqNullSafe(F.col("_parent")),
-        "left",
-    )
-    page = F.coalesce(F.pmod(F.xxhash64(child_key), F.col("_pages")), F.lit(0))
-    ordered = [child_key, *[f for f in fields if f != child_key]]
-    return (
-        paged.groupBy(parent, page.alias("page"))
-        .agg(F.sort_array(F.collect_list(F.struct(*ordered))).alias(into))
+        .select("_parent")
     )
+    # At most rows / page_size parents are large. The hash makes both sides shuffle for
+    # these joins, so that AQE can split a hot parent (see balanced_join); NULL is a
+    # parent too.
+    same = (F.xxhash64(parent) == F.xxhash64("_parent")) & F.col(parent).eqNullSafe(F.col("_parent"))
+    ordered = list(dict.fromkeys([child_key, *fields]))
+    rows = children.select(*dict.fromkeys([parent, *ordered]))
+    nest = F.sort_array(F.collect_list(F.struct(*ordered))).alias(into)
+    small = rows.join(sizes, same, "left_anti").groupBy(parent).agg(nest)
+    large = ranks_within(rows.join(sizes, same, "left_semi"), parent, ordered, "_place")
+    paged = large.groupBy(parent, F.floor(F.col("_place") / page_size).alias("page")).agg(nest)
+    return small.select(parent, F.lit(0).cast("long").alias("page"), into).unionByName(paged)
 
 
 def flatten(nested: DataFrame, column: str) -> DataFrame:

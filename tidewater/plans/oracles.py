@@ -80,6 +80,19 @@ SELECT p_partkey,
        CASE WHEN p_size > 15 AND p_size <= 30 THEN p_retailprice END AS code_double,
        CASE WHEN p_size > 30 THEN p_type END AS code_string,
        p_brand AS brand
+FROM part""",
+    "nested_choices": """
+SELECT p_partkey, p_brand AS brand,
+       CASE WHEN p_size <= 15 THEN CAST(p_size AS BIGINT) END AS code_long,
+       CASE WHEN p_size > 15 AND p_size <= 30 THEN p_type END AS code_string,
+       p_retailprice AS first_tag, p_brand AS second_tag, CAST(2 AS INTEGER) AS n_tags
+FROM part""",
+    "silver_loads": """
+SELECT p_partkey,
+       CASE WHEN p_size <= 15 THEN CAST(p_size AS BIGINT) END AS code_long,
+       CASE WHEN p_size > 15 AND p_size <= 30 THEN p_retailprice END AS code_double,
+       CASE WHEN p_size > 30 AND p_size <= 45 THEN p_type END AS code_string,
+       CASE WHEN p_size <= 15 THEN p_size END AS size
 FROM part""",
     "drop_null_columns": """
 SELECT *, CASE WHEN c_custkey = 0 THEN c_name END AS c_vip FROM customer""",
@@ -158,7 +171,8 @@ FROM pages
 WHERE contains(lower(regexp_extract(html, '<h1>(.*?)</h1>', 1, 's')), 'the')""",
     "surrogate_keys": """
 SELECT s_suppkey, s_name,
-       CAST(1000 + row_number() OVER (ORDER BY s_suppkey) AS BIGINT) AS security_id
+       CAST(1000 + row_number() OVER (ORDER BY s_suppkey) AS BIGINT) AS security_id,
+       CAST(1000 + count(*) OVER () AS BIGINT) AS last_id
 FROM supplier""",
     "nest_positions": """
 SELECT c_custkey AS account_id, c_name AS name, CAST(0 AS BIGINT) AS page,
@@ -166,6 +180,14 @@ SELECT c_custkey AS account_id, c_name AS name, CAST(0 AS BIGINT) AS page,
        coalesce(string_agg(CAST(o_orderkey AS VARCHAR), ',' ORDER BY o_orderkey), '')
          AS position_ids
 FROM customer LEFT JOIN orders ON c_custkey = o_custkey GROUP BY 1, 2""",
+    "paged_positions": """
+SELECT o_custkey AS account_id, page,
+       string_agg(CAST(o_orderkey AS VARCHAR), ',' ORDER BY day, o_orderkey) AS position_ids
+FROM (SELECT o_custkey, o_orderkey, strftime(o_orderdate, '%Y-%m-%d') AS day,
+             CAST((row_number() OVER (PARTITION BY o_custkey
+                   ORDER BY strftime(o_orderdate, '%Y-%m-%d'), o_orderkey) - 1) // 4 AS BIGINT) AS page
+      FROM orders)
+GROUP BY 1, 2""",
     "flatten_positions": """
 SELECT o_custkey AS account_id, o_orderkey AS position_id,
        o_totalprice AS market_value, o_orderpriority AS exposure

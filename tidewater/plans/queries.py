@@ -9,14 +9,15 @@ from pyspark.sql import functions as F
 
 from tidewater.functions import dates, html
 from tidewater.operators import cards as card_ops
-from tidewater.operators import keys, links, nested, scd, transform
+from tidewater.operators import choices, keys, links, nested, scd, transform
 from tidewater.operators.aggregate import grouped_total, top_words, word_count
 from tidewater.operators.merge import delete_rows, merge_rows, update_rows
 from tidewater.plans import dml, feeds, medallion
 from tidewater.session import work_dir
-from tidewater.sinks.files import append_partitioned, rebalanced
+from tidewater.sinks.files import append_parquet, append_partitioned, rebalanced
 from tidewater.sources.files import driver_table as table
 from tidewater.sources.history import HistoryTable
+from tidewater.sources.loads import read_loads
 from tidewater.sources.snapshots import SnapshotTable
 from tidewater.streaming.history import merge_new_files
 from tidewater.streaming.incremental import ingest_new_files
@@ -122,6 +123,57 @@ def resolve_choice(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def nested_choices(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Parts as records whose places hold numbers, texts and lists by turns."""
+    part = table(spark, sf_dir, "part")
+    size, price = F.col("p_size"), F.col("p_retailprice")
+    code = F.when(size <= 15, size.cast("variant")).when(size <= 30, F.col("p_type").cast("variant"))
+    records = part.select(
+        "p_partkey",
+        F.to_variant_object(
+            F.struct(
+                F.struct(code.alias("code"), F.col("p_brand").alias("brand")).alias("spec"),
+                F.array(price.cast("variant"), F.col("p_brand").cast("variant")).alias("tags"),
+            )
+        ).alias("record"),
+    )
+    resolved = choices.resolve_nested(records, "record")
+    return resolved.select(
+        "p_partkey",
+        F.col("record.spec.brand").alias("brand"),
+        F.col("record.spec.code.long").alias("code_long"),
+        F.col("record.spec.code.string").alias("code_string"),
+        F.get(F.col("record.tags"), F.lit(0))["double"].alias("first_tag"),
+        F.get(F.col("record.tags"), F.lit(1))["string"].alias("second_tag"),
+        F.size("record.tags").alias("n_tags"),
+    )
+
+
+def silver_loads(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Parts in three loads, in which a code is all integers, numbers and text, and
+    nothing; read back in one schema."""
+    part = table(spark, sf_dir, "part")
+    size, path = F.col("p_size"), work_dir(spark, "silver")
+    mixed = part.select(
+        "p_partkey",
+        F.when(size <= 15, size.cast("string"))
+        .when(size <= 30, F.col("p_retailprice").cast("string"))
+        .when(size <= 45, F.col("p_type"))
+        .alias("code"),
+        F.when(size <= 15, size).alias("size"),
+    )
+    for number, rows in enumerate((size <= 15, (size > 15) & (size <= 45), size > 45)):
+        load = transform.drop_null_columns(transform.resolve_choice(mixed.where(rows), ["code"]))
+        append_parquet(load, f"{path}/load={number}")
+    return read_loads(spark, path).select(
+        "p_partkey",
+        F.col("code.long").alias("code_long"),
+        F.col("code.double").alias("code_double"),
+        F.col("code.string").alias("code_string"),
+        "size",
+    )
+
+
 def drop_null_columns(spark: SparkSession, sf_dir: str) -> DataFrame:
     customer = table(spark, sf_dir, "customer")
     return transform.drop_null_columns(
@@ -328,8 +380,12 @@ def html_keyword_links(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def surrogate_keys(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """New ids after the stored mark, and the mark after them."""
     supplier = table(spark, sf_dir, "supplier").select("s_suppkey", "s_name")
-    return keys.assign_ids(supplier, ["s_suppkey"], LAST_SUPPLIER_ID, "security_id")
+    mark = keys.HighWaterMark(spark, work_dir(spark, "last-id"))
+    mark.store(LAST_SUPPLIER_ID)
+    numbered = keys.number_rows(supplier, ["s_suppkey"], mark, "security_id")
+    return numbered.withColumn("last_id", F.lit(mark.read()).cast("long"))
 
 
 def _positions(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -359,6 +415,16 @@ def nest_positions(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def paged_positions(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Customers' orders by date in pages of four."""
+    orders = table(spark, sf_dir, "orders").withColumn("day", dates.iso_day(F.col("o_orderdate")))
+    pages = nested.nest(orders, "o_custkey", "day", ["o_orderkey"], "positions", page_size=4)
+    ids = F.transform("positions", lambda p: p["o_orderkey"].cast("string"))
+    return pages.select(
+        F.col("o_custkey").alias("account_id"), "page", F.array_join(ids, ",").alias("position_ids")
+    )
+
+
 def flatten_positions(spark: SparkSession, sf_dir: str) -> DataFrame:
     return nested.flatten(_positions(spark, sf_dir), "positions").select(
         F.col("o_custkey").alias("account_id"),
@@ -390,6 +456,8 @@ QUERIES: dict[str, Query] = {
     "dynamic_filter": dynamic_filter,
     "typed_mapping": typed_mapping,
     "resolve_choice": resolve_choice,
+    "nested_choices": nested_choices,
+    "silver_loads": silver_loads,
     "drop_null_columns": drop_null_columns,
     "row_update": row_update,
     "row_delete": row_delete,
@@ -409,6 +477,7 @@ QUERIES: dict[str, Query] = {
     "html_keyword_links": html_keyword_links,
     "surrogate_keys": surrogate_keys,
     "nest_positions": nest_positions,
+    "paged_positions": paged_positions,
     "flatten_positions": flatten_positions,
     "incremental_files": incremental_files,
 }

@@ -5,7 +5,8 @@ streams of a host's pages are aligned one after another into a union-free expres
 over slots: slots that some pages lack become optional, slots that recur become repeated
 groups, and slots in conflicting order join one repeated group. The wrapper keeps what
 its slots hold over all pages, and tells by it which are main text of a page: changing
-slots of the aligned groups, fixed ones never beside them. Names weigh between them.
+slots of the aligned groups, and in an article what stands among them. Names weigh
+between regions outside articles.
 """
 
 from __future__ import annotations
@@ -32,7 +33,7 @@ travels(__name__)
 BLOCKS = frozenset(
     "address article aside blockquote body button caption center dd details dialog dir div dl dt "
     "fieldset figcaption figure footer form h1 h2 h3 h4 h5 h6 head header hgroup html legend li main "
-    "menu nav ol optgroup option p pre search section select summary table tbody td textarea tfoot th "
+    "menu nav noscript ol optgroup option p pre search section select summary table tbody td textarea tfoot th "
     "thead title tr ul".split()
 )
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
@@ -56,13 +57,19 @@ NOT_TEXT_NAMES = frozenset(
     "popup promo related replies reply respond search share sharing sidebar sidebars signup skip social "
     "sponsor sponsored subscribe toolbar topbar widget widgets".split()
 )
+# Parts of a name that say of what page or how laid out, beside the parts that say what for.
+NAME_PLACES = frozenset(
+    "area article bar block body box button buttons container content entry form global group inner item "
+    "items link links list main outer page panel post section site thread title top wrap wrapper".split()
+)
 TEXT_TAGS = frozenset(("article", "main"))
 TEXT_NAMES = frozenset("article articlebody content entry main post story".split())
 # Header names count inside the article's element too, where the element does not.
 HEADER = "header"
 ROOTS = frozenset(("html", "body"))
-# How much more text counts in an article or main element, in one named so, elsewhere.
-BOOST = (16, 4, 1)
+# How much more text counts in an element named like an article than elsewhere. Changing
+# text in an article or main element comes before all other, however much that is.
+BOOST = (1, 4, 1)
 OTHER = len(BOOST)
 # Different pages with one and the same text that make a slot fixed; more in TEXT_TAGS.
 FIXED_PAGES = 2
@@ -73,7 +80,7 @@ SHARES = 64
 
 _TOKEN = re.compile(
     r"<!--(?:.*?-->|.*\Z)"
-    r"|<(?P<raw>script|style|noscript|template|iframe|svg|math|object|noembed|noframes)\b(?:[^>\"']|\"[^\"]*\"|'[^']*')*+>(?:.*?</(?P=raw)\b[^>]*>|.*\Z)"
+    r"|<(?P<raw>script|style|template|iframe|svg|object|noembed|noframes)\b(?:[^>\"']|\"[^\"]*\"|'[^']*')*+>(?:.*?</(?P=raw)\b[^>]*>|.*\Z)"
     r"|<(?P<end>/?)(?P<tag>[a-z][^\s/>]*)(?P<attrs>(?:[^>\"']|\"[^\"]*\"|'[^']*')*+)>"
     r"|<!\[CDATA\[.*?\]\]>|<[!?/][^>]*>",
     re.S | re.I,
@@ -252,6 +259,12 @@ class Wrapper:
         take turns stay together; by itself for its own element.
         """
         out = []
+        # Elements of articles that hold changing text themselves.
+        beside = {
+            name.rpartition(">")[0]
+            for name, (_, _, mark, chars, links, seen) in self.held.items()
+            if 2 * links < chars and (mark == -1 or len(seen) < FIXED_TEXT_PAGES) and _rank(name, False) == 0
+        }
         for group in self.groups:
             rows = []
             for name in group:
@@ -262,6 +275,13 @@ class Wrapper:
                     changes = mark == -1 or len(seen) < (FIXED_PAGES if rank else FIXED_TEXT_PAGES)
                     weight = chars / pages if changes and not is_links else 0
                     rows.append([name, rank, changes, name.rpartition(">")[0], weight])
+            # In an article a text that never changes is its own, like a byline or a heading
+            # that all have, where it stands among changing ones; in an element that holds
+            # no other it is a notice.
+            among = {r[3] for r in rows if r[4] and r[1] == 0} | beside
+            for row in rows:
+                if row[1] == 0 and not row[2] and row[3] in among:
+                    row[2] = True
             region = _common([r[3] for r in rows if r[4] and r[1] < OTHER])
             for row in rows:
                 if region and row[4] and row[1] < OTHER:
@@ -300,6 +320,17 @@ def _words(names: Collection[str]) -> set[str]:
     return {x for n in names for x in _NAME_PARTS.findall(n)}
 
 
+def _purposes(names: Collection[str]) -> set[str]:
+    """Names whose every part says another purpose, or only where something is: a
+    ``comment-list`` is one of comments, a ``no-sidebar`` no sidebar."""
+    out = set(names)
+    for name in names:
+        parts = set(_NAME_PARTS.findall(name)) - NAME_PLACES
+        if parts and parts <= NOT_TEXT_NAMES:
+            out |= parts
+    return out
+
+
 def _rank(name: str, is_links: bool) -> int | None:
     """A slot's place in BOOST, OTHER if names tell another purpose; None if it is never text."""
     if any(part.endswith("!") or tag in NOT_TEXT_TAGS for part, (tag, _) in zip(name.split(">"), _parts(name), strict=True)):
@@ -322,9 +353,11 @@ def _common(regions: Sequence[str]) -> str:
 def chosen(rows: Sequence[Sequence], page: Collection[str]) -> list[str]:
     """The slots of main text among those of a page, by its host's ``text_slots``.
 
-    Changing slots in ``article`` and ``main`` elements, those in elements named so and
-    each other region compare by their changing text, times BOOST. A page that has none
-    keeps the fixed slots of its named elements, and one without any but OTHER slots those.
+    Changing slots in ``article`` and ``main`` elements come first; without any, those in
+    elements named so and each other region compare by their changing text, times BOOST,
+    and of regions that weigh the same the first by rank and the last by name is taken. A
+    page that has none keeps the fixed slots of its named elements, and one without any
+    but OTHER slots those.
     """
     here = [r for r in rows if r[0] in page]
     free = [r for r in here if r[1] < OTHER]
@@ -337,6 +370,8 @@ def chosen(rows: Sequence[Sequence], page: Collection[str]) -> list[str]:
     for _, rank, _, region, weight in changing:
         own = min(rank, OTHER - 1)
         weights[(own, region if own == OTHER - 1 else "")] += weight * BOOST[own]
+    if any(w for (rank, _), w in weights.items() if rank == 0):
+        return [r[0] for r in changing if r[1] == 0]
     # Without any weight there are links alone, or fixed texts.
     named = [k for k in weights if k[0] < OTHER - 1]
     if not any(weights.values()) and not named:
@@ -356,7 +391,7 @@ def _other_purpose(name: str, is_links: bool) -> bool:
     inside = False
     for tag, names in _parts(name):
         if tag not in ROOTS and tag not in TEXT_TAGS:
-            told = names | _words(names) if is_links else names
+            told = names | _words(names) if is_links else _purposes(names)
             if told & NOT_TEXT_NAMES or (not inside and (tag == HEADER or HEADER in told)):
                 return True
         inside = inside or tag in TEXT_TAGS

@@ -94,7 +94,7 @@ class _PageParser(HTMLParser):
         self.current.children.append(data)
 
 
-def _parse(html: str | None) -> _Element:
+def parsed(html: str | None) -> _Element:
     """The page's tree."""
     parser = _PageParser()
     parser.feed(html or "")
@@ -168,7 +168,7 @@ def select_cards(
                 rows = [
                     {**{n: row[n] for n in names}, **values}
                     for row in batch.slice(start, PAGES_AT_ONCE).to_pylist()
-                    for values in cards_of(_parse(row[content]))
+                    for values in cards_of(parsed(row[content]))
                 ]
                 yield pa.RecordBatch.from_pylist(rows, schema=out)
 

@@ -169,6 +169,13 @@ FROM (SELECT page_id, unnest(items) AS item, unnest(range(1, len(items) + 1)) AS
 SELECT page_id, unnest(regexp_extract_all(html, 'href="([^"\\n]*)"', 1)) AS link
 FROM pages
 WHERE contains(lower(regexp_extract(html, '<h1>(.*?)</h1>', 1, 's')), 'the')""",
+    "html_keyword_cards": """
+SELECT page_id, title, unnest(links) AS link
+FROM (SELECT page_id, replace(unnest(titles), '&amp;', '&') AS title, links
+      FROM (SELECT page_id, regexp_extract_all(nav, '<a [^>]*>(.*?)</a>', 1, 's') AS titles,
+                   regexp_extract_all(nav, 'href="([^"]*)"', 1) AS links
+            FROM (SELECT page_id, regexp_extract(html, '<nav>(.*?)</nav>', 1, 's') AS nav FROM pages)))
+WHERE contains(lower(title), 'the')""",
     "surrogate_keys": """
 SELECT s_suppkey, s_name,
        CAST(1000 + row_number() OVER (ORDER BY s_suppkey) AS BIGINT) AS security_id,

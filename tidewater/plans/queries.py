@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from tidewater.functions import dates, html
 from tidewater.operators import cards as card_ops
-from tidewater.operators import choices, keys, links, nested, scd, transform
+from tidewater.operators import choices, elements, keys, links, nested, scd, transform
 from tidewater.operators.aggregate import grouped_total, top_words, word_count
 from tidewater.operators.merge import delete_rows, merge_rows, update_rows
 from tidewater.plans import dml, feeds, medallion
@@ -30,6 +30,13 @@ LAST_SUPPLIER_ID = 1000
 MERGED_DAYS = 5
 
 
+def materialised(df: DataFrame, name: str) -> DataFrame:
+    """``df`` as a table in the shared folder, computed once."""
+    path = work_dir(df.sparkSession, name)
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
 def fare_totals(spark: SparkSession, sf_dir: str) -> DataFrame:
     totals = grouped_total(
         table(spark, sf_dir, "lineitem"),
@@ -379,6 +386,15 @@ def html_keyword_links(spark: SparkSession, sf_dir: str) -> DataFrame:
     return links.keyword_page_links(pages, KEYWORD)
 
 
+def html_keyword_cards(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """For links of the navigation whose text has the keyword: all links of the list's
+    element, three elements above, from the table of elements."""
+    pages = table(spark, sf_dir, "pages").select("page_id", "html")
+    nodes = materialised(elements.element_nodes(pages, "page_id"), "elements")
+    found = elements.keyword_cards(nodes, "page_id", "a", KEYWORD)
+    return found.select("page_id", "title", "link")
+
+
 def surrogate_keys(spark: SparkSession, sf_dir: str) -> DataFrame:
     """New ids after the stored mark, and the mark after them."""
     supplier = table(spark, sf_dir, "supplier").select("s_suppkey", "s_name")
@@ -475,6 +491,7 @@ QUERIES: dict[str, Query] = {
     "html_elements": html_elements,
     "html_cards": html_cards,
     "html_keyword_links": html_keyword_links,
+    "html_keyword_cards": html_keyword_cards,
     "surrogate_keys": surrogate_keys,
     "nest_positions": nest_positions,
     "paged_positions": paged_positions,

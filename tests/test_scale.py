@@ -6,7 +6,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from tidewater.operators import aggregate, scd
-from tidewater.operators.joins import lookup_join
+from tidewater.operators.joins import balanced_join, lookup_join
 from tidewater.operators.merge import merge_rows, update_rows
 from tidewater.operators.transform import dynamic_filter
 from tidewater.plans import medallion
@@ -227,3 +227,29 @@ def test_merge_with_a_hot_target_key(spark, tmp_path):
         assert "skew=true" in text or "(skew" in text
     assert merged.count() == 120_001
     assert merged.where("payload = 'new' AND k = 'hot'").count() == 40_000
+
+
+KEY_TYPES = [
+    ("int", "bigint"), ("bigint", "double"), ("double", "float"), ("decimal(9,2)", "bigint"),
+    ("decimal(9,2)", "decimal(12,4)"), ("decimal(9,2)", "double"), ("double", "double"), ("float", "float"),
+]
+
+
+@pytest.mark.parametrize("a, b", KEY_TYPES)
+def test_keys_of_any_numeric_types_are_spread_and_match_as_in_sql(spark, a, b):
+    """A third of the rows without a key and a third with one value, whatever the types."""
+    whole = F.col("id") % 50
+    key = F.when(F.col("id") % 3 == 0, None).when(F.col("id") % 3 == 1, 7).otherwise(whole + (0.5 if "int" not in a else 0))
+    left = spark.range(3_000).select(key.cast(a).alias("k"), F.col("id").alias("v"))
+    right = spark.range(60).select((F.col("id") / (1 if "int" in b else 2)).cast(b).alias("r"), F.col("id").alias("w"))
+    if a in ("double", "float"):
+        odd = spark.createDataFrame([("-0.0", -1), ("NaN", -2)], "k string, v long").select(F.col("k").cast(a).alias("k"), "v")
+        left = left.unionByName(odd)
+        right = right.unionByName(spark.createDataFrame([("0.0", -3), ("NaN", -4)], "r string, w long").select(F.col("r").cast(b).alias("r"), "w"))
+    for how in ("left", "left_semi", "left_anti"):
+        with settings(spark, spark__sql__autoBroadcastJoinThreshold="-1"):
+            joined = balanced_join(left, right, [("k", "r")], how)
+            text = plan(joined)
+            got = sorted(map(str, joined.collect()))
+        assert got == sorted(map(str, left.join(right, F.col("k") == F.col("r"), how).collect()))
+        assert "_spread" in text

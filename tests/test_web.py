@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 from tidewater.functions import html, urls
 from tidewater.operators import cards
 from tidewater.operators import elements
-from tidewater.operators.cards import parsed, keyword_card_links, select_cards
+from tidewater.operators.cards import keyword_card_links, select_cards
 from tidewater.operators.links import keyword_page_links, page_links
 
 BASES = [
@@ -199,9 +199,6 @@ def test_native_texts_agree_with_the_parser_on_odd_pages(spark, class_):
     assert {k: [t.replace("&#0;", "\ufffd") for t in ts] for k, ts in native.items()} == wanted
 
 
-def brute_inside(node):
-    return [e for e in node.walk()]
-
 
 def test_elements_and_keyword_cards(spark):
     page = (
@@ -211,7 +208,7 @@ def test_elements_and_keyword_cards(spark):
     )
     pages = spark.createDataFrame([(1, page), (2, None), (3, "<h2>bell</h2>"), (4, "")], "page_id int, html string")
     nodes = elements.element_nodes(pages, "page_id").cache()
-    root = parsed(page)
+    root = cards._parse(page)
     order = [root, *root.walk()]
     rows = [r for r in nodes.orderBy("node").collect() if r.page_id == 1 and r.tag != "#text"]
     assert [r.tag for r in rows] == [e.tag for e in order[1:]]

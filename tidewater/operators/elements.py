@@ -37,7 +37,7 @@ def _nodes(html: str | None) -> list[dict]:
     """The nodes of a page in page order, from 0; texts are nodes of their own."""
     out: list[dict] = []
     # (node to be numbered, its parent's number, level), or the number of one that ends.
-    stack: list = [(child, None, 0) for child in reversed(cards.parsed(html).children)]
+    stack: list = [(child, None, 0) for child in reversed(cards._parse(html).children)]
     while stack:
         item = stack.pop()
         if isinstance(item, int):

@@ -26,7 +26,7 @@ from __future__ import annotations
 from collections.abc import Mapping, Sequence
 from dataclasses import dataclass
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -131,12 +131,13 @@ class Lake:
                 catalog.add_partition(self.spark, full_name, values, folder)
 
 
-def index_silver_rows(bronze: DataFrame, business_date: str) -> DataFrame:
-    """Bronze rows of one date; a row dated otherwise than its file stays out."""
-    return bronze.select(
+def index_silver_rows(bronze: DataFrame, business_date: str | Column) -> DataFrame:
+    """Bronze rows of their file's date, or of the date that a column says of each row; a
+    row dated otherwise than its file stays out."""
+    return bronze.where(F.col("business_date") == business_date).select(
         *[c for c in INDEX_COLUMNS if c != "business_date"],
         F.col("business_date").alias(scd.EFFECTIVE),
-    ).where(F.col(scd.EFFECTIVE) == business_date)
+    )
 
 
 def security_versions(bronze: DataFrame, business_date: str) -> DataFrame:

@@ -60,7 +60,9 @@ FROM lineitem GROUP BY 1, 2, 3""",
     "word_count": _WORD_COUNT,
     "word_count_top10": f"{_WORD_COUNT} ORDER BY count DESC, word LIMIT 10",
     "index_silver": """
-SELECT o_orderpriority AS index_name, o_orderkey AS constituent_id, o_custkey AS figi,
+SELECT o_orderpriority AS index_name, o_orderkey AS constituent_id,
+       o_orderstatus AS ticker, o_custkey AS figi, o_totalprice AS index_weight,
+       o_totalprice * 2 AS market_cap,
        strftime(o_orderdate, '%Y-%m-%d') AS effective_business_date
 FROM orders WHERE o_orderstatus <> 'P'""",
     "business_date_from_path": """

@@ -56,24 +56,21 @@ def word_count_top10(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def index_silver(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """All daily order files at once; an open order comes a day after its date,
+    """All daily order files at once; a partly filled order comes a day after its date,
     so its file's date is not its own and it stays out of silver."""
-    orders = table(spark, sf_dir, "orders").withColumn(
-        "file_ts",
-        F.col("o_orderdate")
-        + F.when(F.col("o_orderstatus") == "P", F.expr("INTERVAL 1 DAY")).otherwise(
-            F.expr("INTERVAL 0 DAY")
-        ),
-    )
-    path = feeds.landing_path(F.lit("orders"), "file_ts")
-    return orders.where(
-        dates.iso_day(F.col("o_orderdate")) == dates.business_date(path)
-    ).select(
+    late = F.when(F.col("o_orderstatus") == "P", F.expr("INTERVAL 1 DAY")).otherwise(F.expr("INTERVAL 0 DAY"))
+    bronze = table(spark, sf_dir, "orders").select(
         F.col("o_orderpriority").alias("index_name"),
         F.col("o_orderkey").alias("constituent_id"),
+        F.col("o_orderstatus").alias("ticker"),
         F.col("o_custkey").alias("figi"),
-        dates.iso_day(F.col("o_orderdate")).alias("effective_business_date"),
+        F.col("o_totalprice").alias("index_weight"),
+        (F.col("o_totalprice") * 2).alias("market_cap"),
+        dates.iso_day(F.col("o_orderdate")).alias("business_date"),
+        (F.col("o_orderdate") + late).alias("file_ts"),
     )
+    path = feeds.landing_path(F.lit("orders"), "file_ts")
+    return medallion.index_silver_rows(bronze, dates.business_date(path))
 
 
 def business_date_from_path(spark: SparkSession, sf_dir: str) -> DataFrame:

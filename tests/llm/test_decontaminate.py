@@ -161,6 +161,27 @@ def test_similar_windows_are_within_the_radius(spark):
     assert near >= 0.99 * 600
 
 
+def test_shingles_of_windows_are_not_shuffled(spark):
+    """Those of all windows that meet an item are many times the text."""
+    pick = random.Random(8)
+    items = [some_words(pick, n) for n in (3, 5, 12, 30, 90)] + [["a", "b"] * 20]
+    docs = [" ".join(some_words(pick, 40) + near_copy(pick, i, len(i) // 30) + i[:50]) for i in items]
+    documents = spark.createDataFrame([(t,) for t in docs], "text string")
+    benchmark = spark.createDataFrame([(k, " ".join(i)) for k, i in enumerate(items)], "item_id long, text string")
+    wanted = brute_leaks(docs, [" ".join(i) for i in items])
+    limit = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        found = D.leaks(documents, benchmark)
+        plan = found._jdf.queryExecution().executedPlan().toString()
+        got = sorted((r.item_id, r.start, round(r.similarity, 9)) for r in found.collect())
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", limit)
+    assert got == sorted((i, start, round(similarity, 9)) for (_, i), (start, similarity) in wanted.items())
+    exchanges = re.findall(r"Exchange hashpartitioning\(([^)]*)\)", plan)
+    assert exchanges and not [keys for keys in exchanges if "start#" in keys]
+
+
 def test_op9_over_its_table(spark):
     docs = {r.doc_id: r.text for r in spark.read.parquet(f"{FOLDER}/documents.parquet").collect()}
     items = {r.item_id: r.text for r in spark.read.parquet(f"{FOLDER}/benchmark.parquet").collect()}

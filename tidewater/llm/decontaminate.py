@@ -206,6 +206,44 @@ def _within_radius(windows: DataFrame, prints: DataFrame, n_items: int) -> DataF
     return windows.join(_if_small(pairs, pairs.count()), ["size", "fingerprint"]).select("key", "size", "start", "item")
 
 
+def _shared(texts: DataFrame, met: DataFrame, shingles: DataFrame, widths: list[int], n_shingles: int) -> DataFrame:
+    """key, item, size, start, n (shingles of the window) and both (those it shares with
+    the item, repeats counted) of the windows ``met`` that share any.
+
+    A text's shingles are dealt out once for each block of windows met in it. Windows are
+    cut from them afterwards and counted where they lie, so that their shingles, many
+    times the text, are never shuffled.
+    """
+    region = ["key", "size", "block"]
+    met = met.withColumn("block", F.floor(F.col("start") / F.col("size")).cast("int"))
+    regions = written(met.select(*region).distinct(), "leak-regions")
+    size, first = F.col("size"), F.col("block") * F.col("size")
+    part = texts.join(_if_small(regions, regions.count()), "key").select(
+        *region, F.slice("words", first + 1, 2 * size).alias("words")
+    )
+    pieces = None
+    for width in widths:
+        some = part.where(F.least(size, F.lit(SHINGLE)) == width).select(*region, _shingles(F.col("words"), width).alias("pieces"))
+        pieces = some if pieces is None else pieces.unionByName(some)
+    # Dealt out whichever join follows: its rows, cut and counted, stay where they are.
+    pieces = pieces.repartition(*region)
+    own = F.slice("pieces", F.col("start") - first + 1, size - F.least(size, F.lit(SHINGLE)) + 1)
+    counted = (
+        pieces.join(met, region)
+        .select(*region, "item", "start", own.alias("own"))
+        .select(*region, "item", "start", F.size("own").alias("n"), F.explode("own").alias("shingle"))
+        .groupBy(*region, "item", "start", "n", "shingle")
+        .agg(F.count("*").alias("times"))
+    )
+    of_items = shingles.groupBy("item", "size", "shingle").agg(F.count("*").alias("m"))
+    return (
+        counted.join(_if_small(of_items, n_shingles), ["item", "size", "shingle"])
+        .groupBy(*region, "item", "start", "n")
+        .agg(F.sum(F.least("times", "m")).alias("both"))
+        .drop("block")
+    )
+
+
 def leaks(documents: DataFrame, benchmark: DataFrame) -> DataFrame:
     """key (of the text), item_id, start (word, from 0) and similarity of the best window.
 
@@ -243,25 +281,7 @@ def leaks(documents: DataFrame, benchmark: DataFrame) -> DataFrame:
     windows = written(window_fingerprints(near, regions), "leak-windows")
     met = written(_within_radius(windows, fingerprints(items, ["item", "size"]), n_items), "leak-candidates")
 
-    window = F.slice("words", F.col("start") + 1, F.col("size"))
-    spans = near.join(met.select("key", "size", "start").distinct(), "key").select(
-        "key", "size", "start", F.least("size", F.lit(SHINGLE)).alias("width"), window.alias("words")
-    )
-    counted = None
-    for width in widths:
-        pieces = F.when(F.size("words") >= width, _shingles(F.col("words"), width)).otherwise(
-            F.array(F.xxhash64(F.lit(-1), F.array_join("words", " ")))
-        )
-        part = spans.where(F.col("width") == width).select("key", "size", "start", F.explode(pieces).alias("shingle"))
-        counted = part if counted is None else counted.unionByName(part)
-    of_windows = counted.groupBy("key", "size", "start", "shingle").agg(F.count("*").alias("n"))
-    of_items = shingles.groupBy("item", "size", "shingle").agg(F.count("*").alias("m"))
-    both = (
-        of_windows.join(met, ["key", "size", "start"])
-        .join(_if_small(of_items, n_shingles), ["item", "size", "shingle"], "left")
-        .groupBy("key", "item", "size", "start")
-        .agg(F.sum("n").alias("n"), F.sum(F.least("n", F.coalesce("m", F.lit(0)))).alias("both"))
-    )
+    both = _shared(near, met, shingles, widths, n_shingles)
     of_item = F.col("size") - F.least("size", F.lit(SHINGLE)) + 1
     best = (
         both.withColumn("similarity", F.col("both") / (F.col("n") + of_item - F.col("both")))

@@ -373,3 +373,22 @@ def test_html_names_that_only_look_like_other_purposes(spark):
     for k in range(3):
         assert got[k] == f"Work {k}\nText {k}\nMarket {k}"
         assert got[10 + k] == f"All there is on {k}"
+
+
+def test_pieces_are_kept_for_later_tasks(spark, docs):
+    """A worker process makes its encoder once, and finds the words of earlier tasks in it."""
+    path = pieces.tokenizer_path("piece_bpe_32k.model")
+    texts = docs.select("doc_id", "text").coalesce(1)
+    first = pieces.encode(texts, keep_words=True).collect()
+
+    def words(batches):
+        import pyarrow as pa
+        import pyspark
+
+        yield from ()
+        encoder = pyspark.__dict__.get("_kept_by_tidewater", {}).get(f"merge encoder of {path}")
+        yield pa.RecordBatch.from_pydict({"n": [len(encoder.words.new) if encoder else 0]})
+
+    found = spark.range(64).repartition(64).mapInArrow(words, "n long").collect()
+    assert max(r.n for r in found) > 100
+    assert sorted(map(str, pieces.encode(texts, keep_words=True).collect())) == sorted(map(str, first))

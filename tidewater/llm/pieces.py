@@ -2,8 +2,8 @@
 
 A word's adjacent symbol pairs wait in an agenda ordered by the score of the piece
 they form; the best pair, the leftmost among equals, merges first. Words are encoded
-once per task while it remembers them, and each newly met word is compared with the
-sentencepiece library.
+once per task, or worker process, while it remembers them, and each newly met word is
+compared with the sentencepiece library.
 """
 
 from __future__ import annotations
@@ -21,13 +21,14 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tidewater.llm.common import Remembered, columns_of, free_name, slices, table, text_bytes, tokenizer_path, travels
+from tidewater.llm.common import Remembered, columns_of, free_name, kept, slices, table, text_bytes, tokenizer_path, travels
 
 travels(__name__)
 
 MARK = "▁"
-# Words, and parts of words, whose ids a task keeps for later texts.
+# Words, and parts of words, whose ids a task keeps for later texts, and a worker process.
 WORDS_KEPT = 120_000
+WORDS_KEPT_BY_WORKER = 300_000
 # Words up to this length have their agenda in a list.
 SHORT = 48
 NONE = float("-inf")
@@ -40,7 +41,7 @@ class MergeEncoder:
     files with pieces over a word's end, since words are encoded one by one.
     """
 
-    def __init__(self, path: str):
+    def __init__(self, path: str, words_kept: int = WORDS_KEPT):
         self.library = sentencepiece.SentencePieceProcessor(model_file=path)
         model = self.library
         if model.normalize(" Ａﬁ  é\n") != f"{MARK}{MARK}Ａﬁ{MARK}{MARK}é\n":
@@ -67,7 +68,7 @@ class MergeEncoder:
         self.marked = {i for piece, i in self.ids.items() if piece.startswith(MARK)}
         self.special = np.array([not isinstance(t, str) for t in self.texts])
         self.beside = {pair for piece in self.ids for pair in zip(piece, piece[1:])}
-        self.words, self.segments = Remembered(WORDS_KEPT), Remembered(WORDS_KEPT)
+        self.words, self.segments = Remembered(words_kept), Remembered(words_kept)
         self.unproven: list[tuple[str, bytes]] = []
 
     def merged(self, word: str) -> list[str]:
@@ -208,6 +209,14 @@ class MergeEncoder:
         return "".join(parts)
 
 
+def kept_encoder(path: str) -> MergeEncoder:
+    """The encoder of a file, which stays in a worker process with its words.
+
+    Words that a failed task left uncompared are still compared by the next one.
+    """
+    return kept(f"merge encoder of {path}", lambda: MergeEncoder(path, WORDS_KEPT_BY_WORKER))
+
+
 def _from_bytes(run: bytearray) -> str:
     """Each byte outside a valid character becomes one replacement character."""
     try:
@@ -229,20 +238,26 @@ def _from_bytes(run: bytearray) -> str:
 
 
 def encode(
-    docs: DataFrame, text: str = "text", to: str = "ids", decoded: str | None = None, path: str | None = None
+    docs: DataFrame,
+    text: str = "text",
+    to: str = "ids",
+    decoded: str | None = None,
+    path: str | None = None,
+    keep_words: bool = False,
 ) -> DataFrame:
     """``docs`` with the ids of ``text`` in place of the text, as array<int> ``to``.
 
     Whole texts, without begin or end ids. A null text is empty and has no ids.
     ``decoded`` names a column for what the ids decode to. Columns that have these names
-    already are replaced.
+    already are replaced. ``keep_words`` leaves the encoder and its words in the worker
+    processes for later tasks, where their memory is not needed by other work.
     """
     path = path or tokenizer_path("piece_bpe_32k.model")
     kept = [c for c in docs.columns if c not in (text, to, decoded)]
     content = free_name(docs, "content")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encoder = MergeEncoder(path)
+        encoder = kept_encoder(path) if keep_words else MergeEncoder(path)
         for batch in slices(batches, content):
             ids = encoder.encode([b.decode() for b in batch[content].to_pylist()])
             starts = np.cumsum([0, *map(len, ids)], dtype=np.int32)
@@ -278,7 +293,7 @@ def decode(docs: DataFrame, ids: str = "ids", to: str = "decoded", path: str | N
 
 def op8_pieces(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
-    return encode(docs, decoded="decoded").select(
+    return encode(docs, decoded="decoded", keep_words=True).select(
         "doc_id",
         F.size("ids").cast("long").alias("n_tokens"),
         F.sha2(F.concat_ws(",", F.col("ids").cast("array<string>")).cast("binary"), 256).alias("ids_sha256"),
